@@ -50,9 +50,9 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...], epochs: float
 
 def _log_factorial(x: str) -> str:
     """ln x! by Stirling's series, shifted by 8 so that it is right to about 1e-10."""
-    y = f"(CAST({x} AS DOUBLE) + 9)"
-    shift = " + ".join(f"ln(CAST({x} AS DOUBLE) + {k})" for k in range(1, 9))
-    return f"(({y} - 0.5) * ln({y}) - {y} + 0.9189385332046727 + 1 / (12 * {y}) - 1 / (360 * {y} * {y} * {y}) - ({shift}))"
+    y = f"({x} + 9D)"
+    shift = " * ".join(f"({x} + {k}D)" for k in range(1, 9))
+    return f"(({y} - 0.5D) * ln({y}) - {y} + 0.9189385332046727D + 1D / (12D * {y}) - 1D / (360D * {y} * {y} * {y}) - ln({shift}))"
 
 
 def _hypergeometric(total: str, good: str, drawn: str, u: str) -> str:
@@ -64,8 +64,8 @@ def _hypergeometric(total: str, good: str, drawn: str, u: str) -> str:
     chance = f"exp({choose(good, 'x')} + {choose(f'({total} - {good})', f'({drawn} - x)')} - {choose(total, drawn)})"
     ks = f"sequence(greatest({low}, CAST(floor({mean} - {wide}) AS LONG)), least({high}, CAST(ceil({mean} + {wide}) AS LONG)))"
     return (
-        f"aggregate({ks}, named_struct('left', {u}, 'x', {low}, 'found', false), (a, x) -> IF(a.found, a, named_struct('left', a.left - {chance}, 'x', x, "
-        f"'found', a.left - {chance} <= 0)), a -> a.x)"
+        f"aggregate({ks}, named_struct('left', {u}, 'x', {low}, 'found', false), (h, x) -> IF(h.found, h, named_struct('left', h.left - {chance}, 'x', x, "
+        f"'found', h.left - {chance} <= 0)), h -> h.x)"
     )
 
 

@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, packing, sstable, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.read_archives(warc.archive(_table(spark, sf_dir, "pages"), min_bytes=0))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_token_sstables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sstable.write_shards(_table(spark, sf_dir, "documents"), end_id=2)
+    return sstable.read_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_pack_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(_table(spark, sf_dir, "documents"), capacity=2048, end_id=1)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=2048)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), epochs=1.5, cap=2.0)
     return planned.select("doc_id", "size", "source_size", "target", "taken")
@@ -23,11 +38,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_chunks": op1_warc_chunks,
+    "op3_token_sstables": op3_token_sstables,
     "op7_mix_sources": op7_mix_sources,
+    "op9_pack_bin_slack": op9_pack_bin_slack,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL = {
+    "op1_warc_chunks": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top, sha1(h) AS hex FROM p)
+        SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex || '0', (k * 5 // 4)::INT + 1, 2))::BIGINT >> (3 - (k * 5) % 4)) & 31)::INT + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM g
+    """,
     "op7_mix_sources": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('mix:' || doc_id) AS k FROM documents
