@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, sstable, warc
+from . import ann, exact_dedup, mixing, packing, quality, simhash, sstable, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,40 @@ def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _fold(modulus: int) -> Column:
+    return F.crc32(F.col("id").cast("string")) % modulus
+
+
+def _judged(docs: DataFrame, model, held_out: Column, least: float) -> DataFrame:
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op2_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), learn_from=_fold(3) != 1)
+    return _judged(docs, model, F.crc32(F.col("doc_id").cast("string")) % 3 == 1, 0.7)
+
+
+def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), learn_from=_fold(5) != 0)
+    return _judged(docs, model, F.crc32(F.col("doc_id").cast("string")) % 5 == 0, 0.3)
+
+
+def op4_ann_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(ann.index(_table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), width=200)
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(_table(spark, sf_dir, "documents"), width=4, most=4)
+
+
 def op3_token_sstables(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sstable.write_shards(_table(spark, sf_dir, "documents"), end_id=2)
     return sstable.read_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -39,8 +73,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_chunks": op1_warc_chunks,
+    "op2_toxicity_nnpu": op2_toxicity_nnpu,
     "op3_token_sstables": op3_token_sstables,
+    "op4_ann_permutation": op4_ann_permutation,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_simhash_pivots": op6_simhash_pivots,
     "op7_mix_sources": op7_mix_sources,
+    "op8_quality_fm": op8_quality_fm,
     "op9_pack_bin_slack": op9_pack_bin_slack,
     "op10_exact_dedup": op10_exact_dedup,
 }
