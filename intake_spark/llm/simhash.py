@@ -19,9 +19,10 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,20 +161,36 @@ def links(entries: DataFrame, most: int = 4, blocks: int = BLOCKS, tile: int = T
     return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(tiles, "a bigint, b bigint").distinct()
 
 
-def groups(docs: DataFrame, width: int = 4, most: int = 4, id_column="doc_id", text_column="text") -> DataFrame:
-    """Per row of docs: id, fingerprint (16 hex digits) and component_id, the smallest id that links reach."""
-    prints = fingerprints(docs, width, id_column, text_column)
+def _components(prints: DataFrame, most: int, id_column: str) -> DataFrame:
+    """The stored table of fp, component_id, and the id and fingerprint (rep_fp) of the component's first row."""
     entries = written(prints.groupBy("fp").agg(F.min(id_column).alias("_first")), "entries")
     roots = components(links(entries.select("fp"), most))
     rooted = entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
-    return prints.join(written(rooted.join(least, "root").select("fp", "component_id"), "fp-components"), "fp").select(
-        id_column, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    least = rooted.groupBy("root").agg(F.min(F.when(F.col("_first").isNotNull(), F.struct("_first", "fp"))).alias("rep"))
+    return written(rooted.join(least, "root").select("fp", F.col("rep._first").alias("component_id"), F.col("rep.fp").alias("rep_fp")), "fp-components")
+
+
+def groups(docs: DataFrame, width: int = 4, most: int = 4, id_column="doc_id", text_column="text") -> DataFrame:
+    """Per row of docs: id, fingerprint (16 hex digits) and component_id, the smallest id that links reach."""
+    prints = fingerprints(docs, width, id_column, text_column)
+    return prints.join(_components(prints, most, id_column).drop("rep_fp"), "fp").select(id_column, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, most: int = 4, id_column="doc_id", text_column="text") -> DataFrame:
-    """The rows of docs with one of each component kept: the one with the smallest id; rows with a null id stay. Of rows that repeat that id one stays."""
-    keep = groups(docs, width, most, id_column, text_column).select("component_id").distinct().withColumnRenamed("component_id", "_keep")
-    kept = docs.join(keep, docs[id_column] == keep["_keep"], "left_semi").dropDuplicates([id_column])
-    return kept.unionByName(docs.filter(docs[id_column].isNull()))
+    """The rows of docs with one of each component kept: the one with the smallest id. Rows with a null id stay.
+
+    Of rows that share the id and the fingerprint, one stays; fingerprints are computed again only for ids that occur more than once.
+    """
+    prints = fingerprints(docs, width, id_column, text_column)
+    kept = _components(prints, most, id_column).filter("component_id IS NOT NULL").select(F.col("component_id").alias("_keep"), F.col("rep_fp").alias("_rep")).distinct()
+    many = prints.groupBy(id_column).count().filter("count > 1").select(F.col(id_column).alias("_keep"), F.lit(True).alias("_many"))
+    kept = kept.join(many, "_keep", "left")
+
+    @F.pandas_udf(T.LongType())
+    def again(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else fingerprint(t, width) for t in texts], dtype="Int64")
+
+    place = Window.partitionBy(id_column, "_rep").orderBy(F.xxhash64(text_column))
+    rows = docs.join(kept, docs[id_column] == kept["_keep"]).withColumn("_fp", again(F.when(F.col("_many"), F.coalesce(docs[text_column], F.lit("")))))
+    rows = rows.filter("_fp IS NULL OR _fp = _rep").withColumn("_n", F.row_number().over(place)).filter("_n = 1").select(docs.columns)
+    return rows.unionByName(docs.filter(docs[id_column].isNull()))

@@ -107,8 +107,8 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     return Model(chosen, weights, bias)
 
 
-def score(docs: DataFrame, model, text_column="text") -> DataFrame:
-    """docs with a column score added; the model (of bounded size) is broadcast, and every whole text is read."""
+def score(docs: DataFrame, model, text_column="text", into="score") -> DataFrame:
+    """docs with the score as column `into`; the model (of bounded size) is broadcast, and every whole text is read."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
@@ -116,4 +116,4 @@ def score(docs: DataFrame, model, text_column="text") -> DataFrame:
         for texts in batches:
             yield pd.Series(sent.value.score(texts))
 
-    return docs.withColumn("score", scored(F.coalesce(docs[text_column], F.lit(""))))
+    return docs.withColumn(into, scored(F.coalesce(docs[text_column], F.lit(""))))
