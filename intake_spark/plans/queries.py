@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import intake
+
+QUERIES = {**intake.QUERIES}
+SQL = {**intake.SQL}
