@@ -17,6 +17,11 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column, use) -> Column:
+    """use(c) with c computed once, however often it is used, and wherever the optimiser moves the expression."""
+    return F.try_element_at(F.transform(F.array(c), use), F.lit(1))
+
+
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
@@ -74,6 +79,14 @@ def country(c: Column | str) -> Column:
     return F.coalesce(names[plain], plain)
 
 
+def is_json_object(c: Column | str) -> Column:
+    """Whether the text is one JSON object and nothing else. Spark's parsers stop at the end of the first value, so the text is parsed as
+    the first of two members: whatever follows it spoils the second."""
+    members = lambda x: F.json_object_keys(F.concat(F.lit('{"row":'), x, F.lit(',"end":1}')))
+    good = lambda x: F.startswith(x, F.lit("{")) & F.coalesce(members(x) == F.array(F.lit("row"), F.lit("end")), F.lit(False))
+    return let(strip(c), good)
+
+
 def search_signals(**values) -> Column:
     """A map of what every row of a search has matched on; empty values are left out."""
     given = {k: v if isinstance(v, str) else ", ".join(v) for k, v in values.items() if v}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import intake
+from . import intake, judging
 
-QUERIES = {**intake.QUERIES}
-SQL = {**intake.SQL}
+QUERIES = {**intake.QUERIES, **judging.QUERIES}
+SQL = {**intake.SQL, **judging.SQL}

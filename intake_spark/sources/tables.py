@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import is_json_object
+
 BATCH = r"^\d{4}-\d{2}-\d{2}[b-z]?$"
 ACCOUNT_COLUMNS = {
     "Company Name": "name", "Website": "domain", "Industry": "industry", "# Employees": "headcount", "Company Country": "country", "Keywords": "keywords", "Technologies": "technologies",
@@ -15,10 +17,8 @@ ACCOUNT_COLUMNS = {
 
 def parse_jsonl(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
     """lines with a struct `row` (null for what is not a JSON object) and `bad`; blank lines are left out."""
-    wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = lines.filter(F.trim(line) != "").withColumn("_all", F.from_json(line, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    bad = F.col("_all").isNull() | F.col("_all._corrupt").isNotNull() | ~F.startswith(F.ltrim(F.col(line)), F.lit("{"))
-    return parsed.withColumn("bad", bad).withColumn("row", F.when(~F.col("bad"), F.struct(*[F.col("_all")[f.name].alias(f.name) for f in schema.fields]))).drop("_all")
+    parsed = lines.filter(F.trim(line) != "").withColumn("bad", ~is_json_object(line))
+    return parsed.withColumn("row", F.when(~F.col("bad"), F.from_json(line, schema)))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
