@@ -221,10 +221,11 @@ WALK = FIRST + f""", {SEEN}, {EXCLUDED}, v_all AS (
 RESULT = "CASE WHEN status = 'skipped_prefilter' THEN 'Prefiltered' WHEN status = 'error' THEN 'Error' WHEN status IN ('done', 'hubspot_error', 'needs_review') THEN CASE verdict WHEN 'QUALIFIED' THEN 'Qualified' WHEN 'MAYBE' THEN 'Maybe' WHEN 'NOT_QUALIFIED' THEN 'Not Qualified' ELSE 'Error' END END"
 TODO = QUEUE + f""", v_res AS (SELECT *, {RESULT} AS result FROM v_queue), v_todo AS (SELECT * FROM v_res r WHERE account_id IS NOT NULL AND result IS NOT NULL
     AND NOT EXISTS (SELECT 1 FROM v_res l WHERE l.order_key % 2 = 0 AND l.account_id = r.account_id AND l.result = r.result))"""
-MATCH = FIRST + f""", {REGISTERED}, v_match AS (SELECT v.*, (SELECT count(*) FROM v_reg r WHERE r.organization_id = v.org_id) AS h1, (SELECT arg_min(struct_pack(a := account_id), reg_order) FROM v_reg r WHERE r.organization_id = v.org_id).a AS m1,
+MATCHED = f"""{REGISTERED}, v_match AS (SELECT v.*, (SELECT count(*) FROM v_reg r WHERE r.organization_id = v.org_id) AS h1, (SELECT arg_min(struct_pack(a := account_id), reg_order) FROM v_reg r WHERE r.organization_id = v.org_id).a AS m1,
     (SELECT count(*) FROM v_reg r WHERE r.domain = v.domain) AS h2, (SELECT arg_min(struct_pack(a := account_id), reg_order) FROM v_reg r WHERE r.domain = v.domain).a AS m2,
     (SELECT arg_min(struct_pack(a := account_id), reg_order) FROM v_reg r WHERE r.name = lower(v.name) AND (v.domain IS NULL OR r.domain IS NULL)).a AS m3 FROM v_valid v),
     v_id AS (SELECT *, CASE WHEN account_id IS NOT NULL THEN account_id WHEN h1 > 0 THEN m1 WHEN h2 > 0 THEN m2 ELSE m3 END AS matched_id FROM v_match)"""
+MATCH = f"{FIRST}, {MATCHED}"
 
 SQL = {
     "read_jsonl_quarantine": "SELECT event_id, event_id % 50 IN (7, 8) AS bad, CASE WHEN event_id % 50 NOT IN (7, 8) THEN json_extract_string(props, '$.k')::BIGINT END AS k FROM events WHERE event_id % 50 <> 9",

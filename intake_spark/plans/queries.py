@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import intake, judging
+from . import intake, judging, records
 
-QUERIES = {**intake.QUERIES, **judging.QUERIES}
-SQL = {**intake.SQL, **judging.SQL}
+QUERIES = {**intake.QUERIES, **judging.QUERIES, **records.QUERIES}
+SQL = {**intake.SQL, **judging.SQL, **records.SQL}
