@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import intake, judging, records
+from . import corpus, intake, judging, records
 
-QUERIES = {**intake.QUERIES, **judging.QUERIES, **records.QUERIES}
-SQL = {**intake.SQL, **judging.SQL, **records.SQL}
+QUERIES = {**intake.QUERIES, **judging.QUERIES, **records.QUERIES, **corpus.QUERIES}
+SQL = {**intake.SQL, **judging.SQL, **records.SQL, **corpus.SQL}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,3 +109,15 @@ def credits_used(files: DataFrame) -> DataFrame:
 def orphan_batches(candidates: DataFrame, queue: DataFrame, before: str) -> DataFrame:
     """Valid batches before a date with candidates and no queue."""
     return candidates.select("batch").filter(F.col("batch").rlike(BATCH) & (F.col("batch") < before)).distinct().join(queue.select("batch").distinct(), "batch", "left_anti")
+
+
+def staged(df: DataFrame, kind: str) -> DataFrame:
+    """Write df below the session's shared folder and read it back: cuts the lineage between rounds of a loop."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        base = spark.sparkContext.getCheckpointDir()
+    path = f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
