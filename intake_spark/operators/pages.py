@@ -177,7 +177,7 @@ def follow_links(pages: DataFrame, sig: Signals, hosts: DataFrame | None = None,
     folder = F.regexp_extract("url", r"^([a-z]+://[^/?#]+(?:/[^?#]*/)?)", 1)
     absolute = (
         F.when(F.col("href").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("href")).when(F.startswith("href", F.lit("//")), F.concat(F.lit("https:"), "href"))
-        .when(F.startswith("href", F.lit("/")), F.concat(base, "href")).otherwise(F.concat(F.regexp_replace(folder, "/?$", "/"), "href"))
+        .when(F.startswith("href", F.lit("/")), F.concat(base, "href")).otherwise(F.concat(F.regexp_replace(folder, "/+$", ""), F.lit("/"), "href"))
     )
     out = links.select("url", absolute.alias("link")).filter(F.col("link").rlike("^https?://") & F.col("link").rlike(sig.allow) & ~F.col("link").rlike(sig.denied)).distinct()
     return out if hosts is None else out.withColumn("_h", F.try_parse_url("link", F.lit("HOST"))).join(hosts.select(F.col("host").alias("_h")).distinct(), "_h", "left_semi").drop("_h")
