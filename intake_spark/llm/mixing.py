@@ -148,8 +148,9 @@ def plan_mix(docs: DataFrame, id_column="doc_id", text_column="text", source_col
     )
 
 
-def mix(docs: DataFrame, text_column="text", seed: str = SEED, **options) -> DataFrame:
-    """The mixed rows: the columns of docs, the text cut to its first words where the mix takes only those, and shard and position in it.
+def mix(docs: DataFrame, text_column="text", seed: str = SEED, placed: bool = True, **options) -> DataFrame:
+    """The mixed rows: the columns of docs, the text cut to its first words where the mix takes only those; and, if placed, mix_shard and mix_position,
+    in which case rows are dealt to their shard and shuffled there.
 
     A cut text is its first words joined by single spaces.
     """
@@ -157,9 +158,6 @@ def mix(docs: DataFrame, text_column="text", seed: str = SEED, **options) -> Dat
     each = planned.withColumn("copy", F.explode("copies"))
     part = F.array_join(F.slice(F.regexp_extract_all(F.col("row")[text_column], F.lit(WORD), F.lit(0)), F.lit(1), F.col("copy.words").cast("int")), " ")
     text = F.when(F.col("copy.words") < F.col("size"), part).otherwise(F.col("row")[text_column])
+    columns = [(text if c == text_column else F.col("row")[c]).alias(c) for c in docs.columns]
     order = Window.partitionBy("copy.shard").orderBy(F.xxhash64(F.lit(seed), "copy.epoch", F.col("row")), "copy.epoch")
-    return each.select(
-        *[(text if c == text_column else F.col("row")[c]).alias(c) for c in docs.columns],
-        F.col("copy.shard").alias("mix_shard"),
-        F.row_number().over(order).alias("mix_position"),
-    )
+    return each.select(*columns, *([F.col("copy.shard").alias("mix_shard"), F.row_number().over(order).alias("mix_position")] if placed else []))

@@ -190,7 +190,8 @@ def drop_near_copies(docs: DataFrame, width: int = 5, most: int = 4, id_column="
     def again(texts: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else fingerprint(t, width) for t in texts], dtype="Int64")
 
-    place = Window.partitionBy(id_column, "_rep").orderBy(F.xxhash64(text_column))
-    rows = docs.join(kept, docs[id_column] == kept["_keep"]).withColumn("_fp", again(F.when(F.col("_many"), F.coalesce(docs[text_column], F.lit("")))))
-    rows = rows.filter("_fp IS NULL OR _fp = _rep").withColumn("_n", F.row_number().over(place)).filter("_n = 1").select(docs.columns)
-    return rows.unionByName(docs.filter(docs[id_column].isNull()))
+    place = Window.partitionBy("_id", "_rep").orderBy(F.xxhash64("_text"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_column].alias("_id"), docs[text_column].alias("_text"))
+    found = rows.join(kept, rows["_id"] == kept["_keep"]).withColumn("_fp", again(F.when(F.col("_many"), F.coalesce("_text", F.lit("")))))
+    one = found.filter("_fp IS NULL OR _fp = _rep").withColumn("_n", F.row_number().over(place)).filter("_n = 1").select("row.*")
+    return one.unionByName(docs.filter(docs[id_column].isNull()))

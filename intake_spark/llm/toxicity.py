@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,18 +40,37 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(raw, -60, 60)))
 
 
-def nnpu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear classifier; x has a row per text (0 or 1), positive says which rows are confirmed."""
-    xp, xu = x[positive], x[~positive]
-    w, b = np.zeros(x.shape[1]), float(np.log(prior / (1 - prior)))
-    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
+@dataclass(frozen=True)
+class Rows:
+    """Texts as the features that occur in them, flat: text and feature of each occurrence."""
+
+    n: int
+    text: np.ndarray
+    feature: np.ndarray
+
+    @staticmethod
+    def of(rows: list[list[int]]) -> Rows:
+        sizes = [len(r) for r in rows]
+        return Rows(len(rows), np.repeat(np.arange(len(rows)), sizes), np.array([f for r in rows for f in r], np.int64))
+
+    def scores(self, w: np.ndarray, b: float) -> np.ndarray:
+        return np.bincount(self.text, w[self.feature], self.n) + b
+
+    def mean(self, s: np.ndarray, features: int) -> np.ndarray:
+        """Mean of s times each feature, and of s itself."""
+        return np.append(np.bincount(self.feature, s[self.text], features), s.sum()) / max(1, self.n)
+
+
+def nnpu(confirmed: Rows, unlabelled: Rows, features: int, prior: float, rounds: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear classifier."""
+    w, b = np.zeros(features), float(np.log(prior / (1 - prior)))
+    m, v = np.zeros(features + 1), np.zeros(features + 1)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-    mean = lambda rows, s: np.append(rows.T @ s, s.sum()) / max(1, len(s))
+    loss = lambda s: np.mean(-np.log1p(-np.minimum(s, 1 - 1e-12)))
     for step in range(1, rounds + 1):
-        sp, su = sigmoid(xp @ w + b), sigmoid(xu @ w + b)
-        rest = np.mean(-np.log1p(-np.minimum(su, 1 - 1e-12))) - prior * np.mean(-np.log1p(-np.minimum(sp, 1 - 1e-12)))
-        slope = mean(xu, su) - prior * mean(xp, sp)
-        grad = prior * mean(xp, sp - 1) + slope if rest >= 0 else -slope
+        sp, su = sigmoid(confirmed.scores(w, b)), sigmoid(unlabelled.scores(w, b))
+        slope = unlabelled.mean(su, features) - prior * confirmed.mean(sp, features)
+        grad = prior * confirmed.mean(sp - 1, features) + slope if loss(su) >= prior * loss(sp) else -slope
         grad[:-1] += ridge * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -99,21 +118,29 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
         for pdf in batches:
             yield pd.DataFrame({"positive": pdf["positive"], "features": [sorted(present(t or "", buckets)) for t in pdf["text"]]})
 
-    rows = texts.mapInPandas(reduce, "positive boolean, features array<int>").collect()
-    x, positive = np.zeros((len(rows), len(chosen)), np.float32), np.array([r["positive"] for r in rows], bool)
-    for i, r in enumerate(rows):
-        x[i, r["features"]] = 1
-    weights, bias = nnpu(x, positive, prior) if (~positive).any() else (np.zeros(len(chosen)), 0.0)
+    rows = sorted(texts.mapInPandas(reduce, "positive boolean, features array<int>").collect())  # the same fit whatever their order
+    split = {known: Rows.of([list(r["features"]) for r in rows if r["positive"] == known]) for known in (True, False)}
+    weights, bias = nnpu(split[True], split[False], len(chosen), prior) if split[False].n else (np.zeros(len(chosen)), 0.0)
     return Model(chosen, weights, bias)
 
 
-def score(docs: DataFrame, model, text_column="text", into="score") -> DataFrame:
-    """docs with the score as column `into`; the model (of bounded size) is broadcast, and every whole text is read."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, model):
+    """A function from a text Column to its score; the model, of bounded size, is broadcast, and every whole text is read."""
+    sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(sent.value.score(texts))
 
-    return docs.withColumn(into, scored(F.coalesce(docs[text_column], F.lit(""))))
+    return lambda text: scored(F.coalesce(text, F.lit("")))
+
+
+def score(docs: DataFrame, model, text_column="text") -> DataFrame:
+    """docs with a column score added, in place of one of that name."""
+    return docs.withColumn("score", scorer(docs.sparkSession, model)(docs[text_column]))
+
+
+def drop_toxic(docs: DataFrame, model, least: float = 0.7, text_column="text") -> DataFrame:
+    """The rows of docs that score below `least`, with the same columns."""
+    return docs.filter(scorer(docs.sparkSession, model)(docs[text_column]) < least)

@@ -67,6 +67,7 @@ def test_nnpu_never_rewards_negative_risk():
     toxic = rng.random(600) < 0.3
     x[:, 0] = toxic
     confirmed = x[toxic & (rng.random(600) < 0.5)]
-    w, b = toxicity.nnpu(np.concatenate([x, confirmed]), np.arange(600 + len(confirmed)) >= 600, 0.3)
+    rows = lambda a: toxicity.Rows.of([np.flatnonzero(r).tolist() for r in a])
+    w, b = toxicity.nnpu(rows(confirmed), rows(x), 40, 0.3)
     score = 1 / (1 + np.exp(-(x @ w + b)))
     assert np.isfinite(w).all() and np.argmax(w) == 0 and ((score > 0.5) == toxic).mean() > 0.95
