@@ -4,41 +4,43 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Distinct words that a worker remembers.
 CACHE_WORDS = 500_000
+#: A feature is dense in a text where it occurs twice, and in this share of the words.
+DENSE = 0.003
 
 
 class WordBuckets(dict):
-    """Lower-cased word to the buckets of itself and its leading 4, 5 and 6 letters; only those in `chosen`, by position there, if given."""
+    """Lower-cased word to the buckets of itself and its leading 3 to 8 letters; only those of the features in `chosen`, if given.
 
-    def __init__(self, buckets: int, chosen: list[int] | None = None, prefixes: tuple[int, ...] = (4, 5, 6)):
+    Feature b says that bucket b occurs in a text, feature b + buckets that it is dense there.
+    """
+
+    def __init__(self, buckets: int, chosen: list[int] | None = None, prefixes: tuple[int, ...] = (3, 4, 5, 6, 7, 8)):
         super().__init__()
         self.buckets, self.prefixes = buckets, prefixes
-        self.place = None if chosen is None else {b: i for i, b in enumerate(chosen)}
+        self.place = None if chosen is None else {f: i for i, f in enumerate(chosen)}
+        self.used = None if chosen is None else {f % buckets for f in chosen}
 
     def __missing__(self, word):
         if len(self) > CACHE_WORDS:
             self.clear()
         data = [b"w" + word.encode("utf-8", "replace"), *[b"p" + word[:n].encode("utf-8", "replace") for n in self.prefixes if len(word) >= n]]
-        found = [zlib.crc32(x) % self.buckets for x in data]
-        self[word] = out = tuple(found if self.place is None else [self.place[b] for b in found if b in self.place])
+        found = {zlib.crc32(x) % self.buckets for x in data}
+        self[word] = out = tuple(found if self.used is None else found & self.used)
         return out
 
-
-def distinct_words(text: str) -> set[str]:
-    """The text's words in lower case; long texts are read in parts, so that no more than their distinct words is held."""
-    if len(text) <= 4_000_000:
-        return set(_WORD.findall(text.lower()))
-    return {m.group() for m in _WORD.finditer(text.lower())}
-
-
-def present(text: str, buckets: WordBuckets) -> set[int]:
-    """The features that occur in the text."""
-    out: set[int] = set()
-    for word in distinct_words(text):
-        found = buckets[word]
-        if found:
-            out.update(found)
-    return out
+    def features(self, text: str) -> list[int]:
+        """The features of a text; with `chosen`, their places there. Long texts are read in parts, so that no more than their distinct words is held."""
+        lower = text.lower()
+        words = Counter(_WORD.findall(lower)) if len(lower) <= 4_000_000 else Counter(m.group() for m in _WORD.finditer(lower))
+        counts: dict[int, int] = {}
+        for word, n in words.items():
+            for bucket in self[word]:
+                counts[bucket] = counts.get(bucket, 0) + n
+        least = max(2, DENSE * words.total()) if counts else 2
+        found = [*counts, *[b + self.buckets for b, n in counts.items() if n >= least]]
+        return found if self.place is None else [self.place[f] for f in found if f in self.place]

@@ -2,8 +2,8 @@
 
 Positives are confirmed toxic texts, the unlabelled are texts of any kind; no label says that a text is clean. The risk is that of a
 logistic loss with class prior p: p * E_P[loss(+)] + max(0, E_U[loss(-)] - p * E_P[loss(-)]); where the second part is negative its gradient is
-followed upwards instead. Features are presence of hashed words and word beginnings; those kept are the ones whose presence differs most
-between positives and unlabelled texts. The fit uses a bounded sample: the `positives` and `unlabelled` texts with the
+followed upwards instead. Features are presence and density of hashed words and word beginnings; those kept are clearly and
+several times more frequent in positives than in unlabelled texts. The fit uses a bounded sample: the `positives` and `unlabelled` texts with the
 smallest hash of their id. Everything is scored.
 
 Nulls: a null text counts as empty, and empty texts get the score of a text without features; rows with a null label or id teach nothing,
@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import written
-from .text_features import WordBuckets, present
+from .text_features import WordBuckets
 
-BUCKETS, CHOSEN, POSITIVES, UNLABELLED, PRIOR = 1 << 18, 1024, 8_000, 24_000, 0.1
+BUCKETS, CHOSEN, POSITIVES, UNLABELLED, PRIOR = 1 << 20, 1024, 6_000, 12_000, 0.1
+#: A feature is kept if its rates differ by this many variances, and it is this many times as frequent in confirmed texts (1 / prior at most).
+STRENGTH, TIMES = 30, 3
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,7 @@ class Model:
 
     def score(self, texts) -> np.ndarray:
         buckets = WordBuckets(BUCKETS, self.chosen)
-        raw = np.array([self.bias + self.weights[list(present(t or "", buckets))].sum() for t in texts], np.float64)
+        raw = np.array([self.bias + self.weights[buckets.features(t or "")].sum() for t in texts], np.float64)
         return 1 / (1 + np.exp(-np.clip(raw, -60, 60)))
 
 
@@ -98,10 +100,10 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     texts = written(docs.select(docs[id_column].alias("id"), docs[text_column].alias("text")).join(F.broadcast(sample), "id").select("text", "positive"), "toxicity-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buckets, sums = WordBuckets(BUCKETS), np.zeros((2, BUCKETS), np.int64)
+        buckets, sums = WordBuckets(BUCKETS), np.zeros((2, 2 * BUCKETS), np.int32)
         for pdf in batches:
             for text, positive in zip(pdf["text"], pdf["positive"], strict=True):
-                sums[int(positive), list(present(text or "", buckets))] += 1
+                sums[int(positive), buckets.features(text or "")] += 1
         used = np.flatnonzero(sums.any(axis=0))
         yield pd.DataFrame({"bucket": used, "p": sums[1, used], "u": sums[0, used]})
 
@@ -110,13 +112,13 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     # The squared difference of the two rates in units of its variance.
     pooled = (F.col("p") + F.col("u") + 1) / (p + u)
     strength = F.pow(F.col("p") / p - F.col("u") / u, 2) / (pooled * (1 / p + 1 / u))
-    top = seen.withColumn("strength", strength).filter("strength > 12").orderBy(F.desc("strength"), "bucket").limit(CHOSEN).collect()
+    top = seen.withColumn("strength", strength).filter((F.col("strength") > STRENGTH) & (F.col("p") / p >= TIMES * F.col("u") / u)).orderBy(F.desc("strength"), "bucket").limit(CHOSEN).collect()
     chosen = sorted(r["bucket"] for r in top)
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         buckets = WordBuckets(BUCKETS, chosen)
         for pdf in batches:
-            yield pd.DataFrame({"positive": pdf["positive"], "features": [sorted(present(t or "", buckets)) for t in pdf["text"]]})
+            yield pd.DataFrame({"positive": pdf["positive"], "features": [sorted(buckets.features(t or "")) for t in pdf["text"]]})
 
     rows = sorted(texts.mapInPandas(reduce, "positive boolean, features array<int>").collect())  # the same fit whatever their order
     split = {known: Rows.of([list(r["features"]) for r in rows if r["positive"] == known]) for known in (True, False)}
