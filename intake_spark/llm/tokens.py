@@ -11,19 +11,27 @@ import itertools
 import json
 import os
 import re
+import sys
 import unicodedata
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Cached pre-tokens per worker; the cache is emptied when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 #: Characters up to here have had stable categories for long; texts beyond are encoded whole.
 COVERED = 0x530
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -44,7 +52,7 @@ class _Words(dict):
         self.tokenizer = tokenizer
 
     def __missing__(self, word):
-        self[word] = ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self[word] = ids = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         return ids
 
     def learn(self, words: list[str]) -> None:
@@ -53,7 +61,7 @@ class _Words(dict):
         for i in range(0, len(words), 4096):
             part = words[i : i + 4096]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[word] = np.array(e.ids, dtype="<u4").tobytes()
+                self[word] = _packed(e.ids)
 
 
 class Encoder:
@@ -76,7 +84,7 @@ class Encoder:
         split: dict[int, list[str]] = {}
         for i, text in enumerate(texts):
             if not self.by_word or self.uncovered.search(text):
-                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                out[i] = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
             elif len(text) > 4_000_000:
                 found, parts = (m.group() for m in self.pattern.finditer(text)), []
                 while some := list(itertools.islice(found, 100_000)):
