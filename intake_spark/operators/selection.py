@@ -140,9 +140,11 @@ def cap_pending(df: DataFrame, cap: int) -> DataFrame:
 
 def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int) -> DataFrame:
     """Every row that the selection gets to, cleaned, with status: invalid, resurfaced, pending or skipped_prefilter, and skip_reason."""
-    df = clean_rows(rows).withColumn("_key", row_key()).withColumn("_bad", F.col("problem").isNotNull())
+    # A bad row is a key of its own, so that the filter is on the rank alone and Spark drops later rows of a frequent key before the shuffle.
+    df = clean_rows(rows).withColumn("_bad", F.col("problem").isNotNull())
+    df = df.withColumn("_key", F.when(F.col("_bad"), F.concat(F.lit("bad:"), F.col("order_key").cast("string"))).otherwise(row_key())).filter("_key <> 'name:'")
     place = Window.partitionBy("batch", "_bad", "_key").orderBy("order_key")
-    df = df.withColumn("_n", F.row_number().over(place)).filter("_bad OR (_n = 1 AND _key <> 'name:')")
+    df = df.withColumn("_n", F.row_number().over(place)).filter("_n = 1")
     df = flag_excluded(df, excluded).join(seen.withColumn("_seen", F.lit(True)), "domain", "left")
     reason = F.when(F.col("domain").isNull(), "no_domain").when(F.col("excluded"), "excluded_keyword_tag").otherwise(prefilter(scope))
     status = F.when(F.col("_bad"), "invalid").when(F.col("_seen"), "resurfaced").when(reason.isNull(), "pending").otherwise("skipped_prefilter")

@@ -10,7 +10,7 @@ from ..operators.selection import Scope
 from ..streaming import streams
 from . import records as K
 from . import views as V
-from .intake import scratch
+from .intake import FIRST, scratch
 from .views import table
 
 SIGNALS = P.Signals(
@@ -247,6 +247,8 @@ SQL = {
     "job_mentions": f"WITH {JOBS} SELECT site, count(*) AS postings, count(*) FILTER (doc_id % 5 = 0) AS mentions FROM v_jobs GROUP BY 1",
     "pick_feed": f"WITH {JOBS}, n AS (SELECT site, place, count(*) AS jobs FROM v_jobs GROUP BY 1, 2), b AS (SELECT * FROM n WHERE NOT (length(site) = 12 AND place = 0) UNION ALL SELECT site, place + 1000, jobs FROM n) SELECT site, min(place) AS place, arg_min(jobs, place)::INT AS jobs FROM b GROUP BY 1",
     "site_summary": f"WITH {USABLE}, i AS (SELECT site, count(*) AS pages, count(*) FILTER (terms <> '-') AS with_terms FROM v_index GROUP BY 1), f AS (SELECT source AS site, count(*) AS refused FROM documents WHERE doc_id % 9 = 0 GROUP BY 1) SELECT site, pages, with_terms, coalesce(refused, 0) AS refused FROM i LEFT JOIN f USING (site)",
+    "stream_intake": f"""WITH {FIRST}, h AS (SELECT * FROM (SELECT *, order_key % 2 AS epoch, row_number() OVER (PARTITION BY batch, key, order_key % 2 ORDER BY order_key) AS m FROM v_key) WHERE m = 1 AND key <> 'name:')
+        SELECT epoch, batch, order_key, domain, CASE WHEN domain IS NULL THEN 'skipped_prefilter' ELSE 'pending' END AS status FROM h WHERE epoch = 0 OR domain IS NULL OR domain NOT IN (SELECT domain FROM h WHERE epoch = 0 AND domain IS NOT NULL)""",
     "stream_attempts": """WITH e AS (SELECT user_id::VARCHAR AS key, event_type = 'view' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events), f AS (SELECT key, min(n) FILTER (ok) AS hit, count(*) AS c FROM e GROUP BY 1)
         SELECT key, CASE WHEN hit <= 2 THEN hit ELSE least(c, 2) END AS attempts, CASE WHEN hit <= 2 THEN 'done' WHEN c >= 2 THEN 'given_up' ELSE 'error' END AS state FROM f""",
     "stream_upsert": K.SQL["merge_crm"],

@@ -278,6 +278,10 @@ SQL = {
         d AS (SELECT *, CASE WHEN reason = 'usage_limit' THEN 'wait_reset' WHEN reason = 'api_errors' THEN CASE WHEN streak < 4 THEN 'wait_api' ELSE 'stop' END WHEN (reason IS NULL OR reason = 'deadline') AND processed > 0 THEN 'continue' ELSE 'stop' END AS decision,
             date_trunc('day', t0) + CASE m WHEN 1 THEN INTERVAL 15 HOUR WHEN 2 THEN INTERVAL 30 MINUTE END AS goal FROM t)
         SELECT chain, k AS order_key, decision, CASE WHEN decision = 'wait_reset' THEN CASE WHEN m = 0 THEN greatest(0, 1893456000 - epoch(t0)) WHEN m IN (1, 2) THEN epoch(goal) - epoch(t0) + CASE WHEN goal <= t0 THEN 86400 ELSE 0 END END END::DOUBLE AS wait_seconds FROM d""",
+    "last_json": f"""WITH {DOCS}, l AS (SELECT *, '{{"domain":"' || CASE WHEN doc_id % 41 = 0 THEN ' ' ELSE 'C' || doc_id || '.example' END || '","name":"Co ' || doc_id || '","status":"' || CASE WHEN doc_id % 19 = 0 THEN 'error' WHEN doc_id % 23 = 0 THEN 'odd' ELSE 'ok' END || '","qualification":"' || q
+        || '","buyer_or_vendor":"' || b || '","buyer_vendor_reason":"r","evidence_links":["http://a"," "],"account_tier":"' || t || '","need_strength":"STRONG","current_approach":"MANUAL","timing":"' || CASE WHEN doc_id % 29 = 0 THEN 'SOON' ELSE 'UNKNOWN' END
+        || '","evidence_confidence":"HIGH","qualification_reason":"because ' || doc_id || '","strongest_signal":" ","main_uncertainty":"none","roles_to_contact":"CEO"}}' AS line FROM v)
+        SELECT doc_id, CASE WHEN no_name THEN replace(line, '"name":', '"title":') WHEN num THEN replace(line, '"HIGH"', '3') WHEN cut THEN NULL WHEN no_list THEN regexp_replace(line, '\\[.*\\]', '"x"') ELSE line END AS verdict_json FROM l""",
     "validate_verdicts": f"WITH {DOCS} SELECT doc_id, problem FROM c",
     "choose_verdict": f"""WITH {DOCS}, x AS (SELECT *, doc_id % 3 = 0 AND NOT cut AS st, problem IS NULL AS good, doc_id % 5 >= 2 AND NOT cut AS sv FROM c)
         SELECT doc_id, CASE WHEN st THEN 'structured' WHEN good THEN 'result' WHEN doc_id % 5 >= 2 AND NOT cut THEN 'saved' END AS origin, CASE WHEN st OR good THEN 'because ' || doc_id WHEN sv THEN 'saved ' || doc_id END AS reason FROM x""",
