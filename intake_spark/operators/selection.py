@@ -123,23 +123,25 @@ def scope_warnings(scope: Scope) -> Column:
     return F.array_compact(F.array(*out))
 
 
-def count_before(df: DataFrame, flag: str, into: str) -> DataFrame:
-    """df with how many rows of its batch come earlier and have the flag: sums by run of order keys first, then inside each run."""
+def count_before(df: DataFrame, flags: dict[str, str]) -> DataFrame:
+    """df with, for each new column, how many rows of its batch come earlier and have the flag: sums by run of order keys first, then inside each run."""
     df = df.withColumn("_run", F.floor(F.col("order_key") / RUN).cast("long"))
     earlier = Window.partitionBy("batch").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy("batch", "_run").agg(F.count_if(flag).alias("_sum")).withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
     inside = Window.partitionBy("batch", "_run").orderBy("order_key").rowsBetween(Window.unboundedPreceding, -1)
-    counted = df.withColumn("_inside", F.coalesce(F.sum(F.col(flag).cast("long")).over(inside), F.lit(0)))
-    return counted.join(sums, ["batch", "_run"]).withColumn(into, F.col("_base") + F.col("_inside")).drop("_run", "_base", "_inside")
+    sums = df.groupBy("batch", "_run").agg(*[F.count_if(flag).alias(f"_sum_{into}") for into, flag in flags.items()])
+    sums = sums.select("batch", "_run", *[F.coalesce(F.sum(f"_sum_{into}").over(earlier), F.lit(0)).alias(f"_base_{into}") for into in flags])
+    counted = df.withColumns({into: F.coalesce(F.sum(F.col(flag).cast("long")).over(inside), F.lit(0)) for into, flag in flags.items()}).join(sums, ["batch", "_run"])
+    return counted.withColumns({into: F.col(into) + F.col(f"_base_{into}") for into in flags}).drop("_run", *[f"_base_{into}" for into in flags])
 
 
 def cap_pending(df: DataFrame, cap: int) -> DataFrame:
     """Rows up to the one with which `cap` rows of the batch are pending; what comes later is untouched."""
-    return count_before(df.withColumn("_pending", F.coalesce(F.col("status") == "pending", F.lit(False))), "_pending", "_before").filter(F.col("_before") < cap).drop("_pending", "_before")
+    flagged = df.withColumn("_pending", F.coalesce(F.col("status") == "pending", F.lit(False)))
+    return count_before(flagged, {"_before": "_pending"}).filter(F.col("_before") < cap).drop("_pending", "_before")
 
 
 def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int) -> DataFrame:
-    """Every row that the selection gets to, cleaned, with status: invalid, resurfaced, pending or skipped_prefilter, and skip_reason."""
+    """Every row that the selection gets to, cleaned, with status (invalid, resurfaced, pending or skipped_prefilter), skip_reason and source_rank."""
     # A bad row is a key of its own, so that the filter is on the rank alone and Spark drops later rows of a frequent key before the shuffle.
     df = clean_rows(rows).withColumn("_bad", F.col("problem").isNotNull())
     df = df.withColumn("_key", F.when(F.col("_bad"), F.concat(F.lit("bad:"), F.col("order_key").cast("string"))).otherwise(row_key())).filter("_key <> 'name:'")
@@ -149,13 +151,15 @@ def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, ca
     reason = F.when(F.col("domain").isNull(), "no_domain").when(F.col("excluded"), "excluded_keyword_tag").otherwise(prefilter(scope))
     status = F.when(F.col("_bad"), "invalid").when(F.col("_seen"), "resurfaced").when(reason.isNull(), "pending").otherwise("skipped_prefilter")
     df = df.withColumn("status", status).withColumn("skip_reason", F.when(F.col("status") == "skipped_prefilter", reason)).withColumn("scope_warnings", scope_warnings(scope))
-    return cap_pending(df.drop("_key", "_bad", "_n", "_seen", "excluded"), cap)
+    df = df.drop("_key", "_bad", "_n", "_seen", "excluded").withColumns({"_pending": F.col("status") == "pending", "_candidate": F.col("status").isin("pending", "skipped_prefilter")})
+    # All candidates before a kept one are kept, so the rank among candidates comes from the same pass as the cap.
+    counted = count_before(df, {"_before": "_pending", "_rank": "_candidate"}).filter(F.col("_before") < cap)
+    return counted.withColumn("source_rank", F.when(F.col("_candidate"), F.col("_rank") + 1)).drop("_pending", "_candidate", "_before", "_rank")
 
 
 def select_candidates(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int) -> DataFrame:
     """The candidates of each batch, pending and skipped, ranked in source order."""
-    kept = walk(rows, seen, excluded, scope, cap).filter(F.col("status").isin("pending", "skipped_prefilter")).withColumn("_one", F.lit(True))
-    return count_before(kept, "_one", "_before").withColumn("source_rank", F.col("_before") + 1).drop("_one", "_before", "problem")
+    return walk(rows, seen, excluded, scope, cap).filter(F.col("status").isin("pending", "skipped_prefilter")).drop("problem")
 
 
 def selection_summary(walked: DataFrame, rows: DataFrame, cap: int) -> DataFrame:
