@@ -31,7 +31,7 @@ STATISTICS = 14
 
 class _Hashed(dict):
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = zlib.crc32(word.lower().encode("utf-8", "replace")) % BUCKETS
         return h

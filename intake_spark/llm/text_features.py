@@ -8,7 +8,7 @@ from collections import Counter
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Distinct words that a worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: A feature is dense in a text where it occurs twice, and in this share of the words.
 DENSE = 0.003
 

@@ -19,7 +19,7 @@ from functools import lru_cache
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Cached pre-tokens per worker; the cache is emptied when full.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 #: Characters up to here have had stable categories for long; texts beyond are encoded whole.
 COVERED = 0x530
 
