@@ -27,7 +27,7 @@ from .common import written
 GROUP_PIECES = 20_000
 
 
-def cut(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str | None = None, id_column="doc_id", text_column="text") -> DataFrame:
+def cut(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str | None = None, id_column="doc_id", text_column="text", added: bool = False) -> DataFrame:
     """Pieces of the documents' ids: id, start, length, doc_tokens and ids (little-endian unsigned 32-bit); all but a document's last are full."""
     id_type = docs.schema[id_column].dataType
 
@@ -35,7 +35,7 @@ def cut(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str |
         for batch in batches:
             names = batch.column(0)
             which, starts, lengths, totals, parts, held = [], [], [], [], [], 0
-            for row, ids in enumerate(tokens.encoded(batch.column(1).to_pylist(), tokenizer, end_id)):
+            for row, ids in enumerate(tokens.encoded(batch.column(1).to_pylist(), tokenizer, end_id, added=added)):
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
                     part = ids[4 * start : 4 * (start + capacity)]

@@ -52,12 +52,12 @@ def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_sstables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = sstable.write_shards(_table(spark, sf_dir, "documents"), end_id=2)
+    shards = sstable.write_shards(_table(spark, sf_dir, "documents"), end_id=2, added=True)
     return sstable.read_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op9_pack_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.cut(_table(spark, sf_dir, "documents"), capacity=2048, end_id=1)
+    pieces = packing.cut(_table(spark, sf_dir, "documents"), capacity=2048, end_id=1, added=True)
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=2048)
 
 

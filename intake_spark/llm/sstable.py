@@ -157,7 +157,7 @@ class Shard:
         return found
 
 
-def write_shards(docs: DataFrame, end_id: int = 2, tokenizer: str | None = None, id_column="doc_id", text_column="text", wide: bool = False, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def write_shards(docs: DataFrame, end_id: int = 2, tokenizer: str | None = None, id_column="doc_id", text_column="text", wide: bool = False, shard_bytes: int = SHARD_BYTES, added: bool = False) -> DataFrame:
     """Write shards below the shared folder; return the manifest, one row a shard. wide: 4 bytes an id, for vocabularies beyond 65,536."""
     base = new_path(docs.sparkSession, "sstables")
 
@@ -172,7 +172,7 @@ def write_shards(docs: DataFrame, end_id: int = 2, tokenizer: str | None = None,
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for doc_id, ids in zip(names, tokens.encoded(batch.column(1).to_pylist(), tokenizer, end_id), strict=True):
+            for doc_id, ids in zip(names, tokens.encoded(batch.column(1).to_pylist(), tokenizer, end_id, added=added), strict=True):
                 if writer is None:
                     name = new_name(part, len(done), ".sst")
                     writer, ids_of[0] = ShardWriter(fs.open_output_stream(f"{root}/{name}"), wide), doc_id

@@ -1,8 +1,8 @@
 """Token ids of texts by a public tokenizer file, encoded by the tokenizers library.
 
 For byte-level BPE files the library encodes each distinct pre-token once per worker and the ids are joined, which gives the same
-ids as encoding whole texts: BPE never crosses a pre-token. Other files, and texts with characters outside the blocks that the splitting
-pattern below covers, go to the library whole.
+ids as encoding whole texts: BPE never crosses a pre-token. Other files, texts with characters outside the blocks that the splitting
+pattern below covers, and texts with the content of an added token that counts, go to the library whole.
 """
 
 from __future__ import annotations
@@ -65,14 +65,18 @@ class _Words(dict):
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """added: the content of special tokens in a text gives their ids, as the library does by default; else it is ordinary text."""
+
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         spec = json.loads(self.tokenizer.to_str())
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = spec.get("normalizer") is None and spec["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        contents = [re.escape(t["content"]) for t in spec.get("added_tokens") or [] if t["content"] and (added or not t["special"])]
+        self.added = re.compile("|".join(contents) or r"(?!)")
         self.words = _Words(self.tokenizer)
         letter, number = _ranges("L"), _ranges("N")
         self.pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
@@ -83,7 +87,7 @@ class Encoder:
         out: list = [b""] * len(texts)
         split: dict[int, list[str]] = {}
         for i, text in enumerate(texts):
-            if not self.by_word or self.uncovered.search(text):
+            if not self.by_word or self.uncovered.search(text) or self.added.search(text):
                 out[i] = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
             elif len(text) > 4_000_000:
                 found, parts = (m.group() for m in self.pattern.finditer(text)), []
@@ -100,14 +104,14 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str | None = None) -> Encoder:
+def encoder(path: str | None = None, added: bool = False) -> Encoder:
     """The worker's encoder of a tokenizer file."""
-    return Encoder(path or default_path())
+    return Encoder(path or default_path(), added)
 
 
-def encoded(texts: list[str | None], path: str | None, end_id: int, at_once: int = 64):
+def encoded(texts: list[str | None], path: str | None, end_id: int, at_once: int = 64, added: bool = False):
     """Yield the ids of each text with the end id, as little-endian unsigned 32-bit integers; null counts as empty."""
-    coder, end = encoder(path), int(end_id).to_bytes(4, "little")
+    coder, end = encoder(path, added), int(end_id).to_bytes(4, "little")
     for i in range(0, len(texts), at_once):
         for ids in coder.encode([t or "" for t in texts[i : i + at_once]]):
             yield ids + end
