@@ -161,3 +161,8 @@ def mix(docs: DataFrame, text_column="text", seed: str = SEED, placed: bool = Tr
     columns = [(text if c == text_column else F.col("row")[c]).alias(c) for c in docs.columns]
     order = Window.partitionBy("copy.shard").orderBy(F.xxhash64(F.lit(seed), "copy.epoch", F.col("row")), "copy.epoch")
     return each.select(*columns, *([F.col("copy.shard").alias("mix_shard"), F.row_number().over(order).alias("mix_position")] if placed else []))
+
+
+def dealt(mixed: DataFrame) -> DataFrame:
+    """Placed rows of a mix in the order of their shards, without mix_shard and mix_position: the window that numbers them has brought each shard to one task."""
+    return mixed.sortWithinPartitions("mix_shard", "mix_position").drop("mix_shard", "mix_position")
