@@ -7,7 +7,7 @@ smallest footrule distance (ties included), ranked again by exact Euclidean dist
 with the smallest hash of their id. Every vector is indexed; queries are dealt in blocks over all index blocks.
 
 Takes no part: vectors that are null, empty or zero, that hold a null or non-finite component, whose id is null, or whose length differs
-from that of the smallest id's. Of rows with the same id the smallest vector counts. Ties go to the smaller id. Other columns take no part.
+from the most frequent one (ties to the larger). Of rows with the same id the smallest vector counts. Ties go to the smaller id. Other columns take no part.
 Empty input gives an empty result.
 """
 
@@ -43,8 +43,9 @@ def index(vectors: DataFrame, id_column="vec_id", vector_column="embedding", piv
     """The stored index: vec_id, block, nearest (pivot numbers, 2 bytes each) and vector (doubles), as binary."""
     rows = vectors.select(vectors[id_column].cast("long").alias("vec_id"), vectors[vector_column].cast("array<double>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    facts = rows.agg(F.count("*").alias("n"), F.min_by(F.size("vector"), "vec_id").alias("width")).first()
-    width, blocks = facts["width"] or 1, max(1, -(-facts["n"] // BLOCK_VECTORS))
+    sizes = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"))
+    facts = sizes.agg(F.sum("n").alias("n"), F.max(F.struct("n", "width")).getField("width").alias("width")).first()
+    width, blocks = facts["width"] or 1, max(1, -(-(facts["n"] or 0) // BLOCK_VECTORS))
     rows = rows.filter(F.size("vector") == width)
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
     centres = np.array([r["vector"] for r in chosen], np.float64).reshape(-1, width)
