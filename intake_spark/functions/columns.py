@@ -103,17 +103,19 @@ def strip_verdict(c: Column | str) -> Column:
 
 
 def page_name(url: Column | str) -> Column:
-    """File-safe name of host and path, at most 80 characters."""
+    """File-safe name of host and path; one of over 90 characters is cut to 80, and a hash of the address keeps it apart from others."""
     u = as_col(url)
     place = F.regexp_replace(F.concat(F.coalesce(F.try_parse_url(u, F.lit("HOST")), F.lit("")), F.coalesce(F.try_parse_url(u, F.lit("PATH")), F.lit(""))), "^/+|/+$", "")
-    name = F.left(F.regexp_replace(F.regexp_replace(place, "[^A-Za-z0-9._-]+", "-"), "^-+|-+$", ""), F.lit(80))
-    return F.when(name != "", name).otherwise("index")
+    name = F.regexp_replace(F.regexp_replace(place, "[^A-Za-z0-9._-]+", "-"), "^-+|-+$", "")
+    short = lambda x: F.when(F.length(x) > 90, F.concat(F.left(x, F.lit(80)), F.lit("-"), F.left(F.sha1(u), F.lit(8)))).otherwise(x)
+    return F.when(name != "", let(name, short)).otherwise("index")
 
 
 def reset_wait(message: Column | str, now: Column) -> Column:
     """Seconds from now until the reset time that a limit message names: an epoch after a bar, or a clock time (the next such time)."""
     text = F.coalesce(as_col(message), F.lit(""))
     epoch = F.regexp_extract(text, r"\|(\d{10})\b", 1).try_cast("bigint")
+    # How a message names an epoch or a clock time.
     clock = lambda i: F.regexp_extract(text, r"(?i)resets?(?:\s+at)?\s+(\d{1,2})(?::(\d{2}))?\s*(am|pm)?", i)
     hour, minute, half = clock(1).try_cast("int"), F.coalesce(clock(2).try_cast("int"), F.lit(0)), F.lower(clock(3))
     hour = F.when((half == "pm") & (hour != 12), hour + 12).when((half == "am") & (hour == 12), 0).otherwise(hour)

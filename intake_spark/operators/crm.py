@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.tables import staged
 from . import verdicts as G
 
 IDENTITY = ("name", "domain", "website")
@@ -33,8 +34,11 @@ def crm_matches(verdicts: DataFrame, crm: DataFrame) -> DataFrame:
 
 def build_properties(verdicts: DataFrame, queue: DataFrame, date: str, sourced_from: str = "Apollo", owner: str = "") -> DataFrame:
     """Per qualified verdict (fields of the contract, and queue rows by domain: domain, name, headcount): domain, the properties, or a reason."""
-    q = queue.select(C.normalize_domain("domain", "crm").alias("_qd"), F.col("name").alias("_qn"), C.to_int("headcount").alias("_qh")).filter("_qd <> ''")
-    q = q.groupBy("_qd").agg(F.first("_qn").alias("_qn"), F.first("_qh").alias("_qh"))
+    # Of several queue rows of a domain the first in queue order counts, as a whole row.
+    row = F.struct(F.col("name").alias("_qn"), C.to_int("headcount").alias("_qh"))
+    place = [c for c in ("batch", "order_key") if c in queue.columns]
+    q = queue.select(C.normalize_domain("domain", "crm").alias("_qd"), row.alias("_row"), F.struct(*place, row).alias("_place")).filter("_qd <> ''")
+    q = q.groupBy("_qd").agg(F.min_by("_row", "_place").alias("_row")).select("_qd", "_row.*")
     v = verdicts.withColumn("_vd", C.normalize_domain("domain", "crm"))
     df = v.join(q, F.col("_vd") == F.col("_qd"), "left")
     labels = lambda tokens: F.create_map(*[F.lit(x) for pair in tokens.items() for x in pair])
@@ -53,18 +57,18 @@ def build_properties(verdicts: DataFrame, queue: DataFrame, date: str, sourced_f
     return df.select(*carried, F.col("_vd").alias("key"), reason.alias("reason"), F.when(reason.isNull(), F.struct(*[values[p].alias(p) for p in PROPERTIES])).alias("props"))
 
 
-def bad_options(props: DataFrame, options: DataFrame, checked=(STATUS, STAGE, *ENUMS)) -> DataFrame:
+def bad_options(props: DataFrame, options: DataFrame, checked=(STATUS, STAGE, "sourcing_sourced_from", *ENUMS)) -> DataFrame:
     """props (key, props) to (key, property, value) of values that the live options do not hold; a property without options has no valid value."""
     pairs = F.array(*[F.struct(F.lit(p).alias("property"), F.col("props")[p].alias("value")) for p in checked])
     long = props.filter("props IS NOT NULL").select("key", F.explode(pairs).alias("x")).select("key", "x.*").filter("value IS NOT NULL")
     return long.join(options.select("property", "value").distinct(), ["property", "value"], "left_anti").select("key", "property", "value")
 
 
-def _changes(old: str, new: str) -> dict[str, Column]:
+def _changes(old: Column, new: Column) -> dict[str, Column]:
     """Property to its new value where the rules let it change, else null."""
     out = {}
     for p in PROPERTIES:
-        had, want = F.coalesce(F.col(old)[p], F.lit("")), F.col(new)[p]
+        had, want = F.coalesce(old[p], F.lit("")), new[p]
         if p in IDENTITY:
             test = F.lit(False)
         elif p == STAGE:
@@ -80,15 +84,16 @@ def _changes(old: str, new: str) -> dict[str, Column]:
 def plan_actions(props: DataFrame, crm: DataFrame, options: DataFrame | None = None, dry_run: bool = False) -> DataFrame:
     """props (key, reason, props) with action, id and changes (a struct of what is to be written): one row per domain, the smallest name first."""
     one = props.filter("props IS NOT NULL").withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy("props"))).filter("_n = 1").drop("_n")
+    one = staged(one.select("key", "props"), "properties")  # matched and checked below, but made once
     found = crm_matches(one.withColumn("domain", F.col("key")), crm).drop("domain")
     record = crm.select(F.col("id").alias("_rid"), F.struct(*[(F.col(p) if p in crm.columns else F.lit(None).cast("string")).alias(p) for p in PROPERTIES]).alias("old"))
     df = found.join(record, F.col("id") == F.col("_rid"), "left").drop("_rid")
     bad = bad_options(one, options).select("key").distinct().withColumn("_bad", F.lit(True)) if options is not None else None
     df = df.join(bad, "key", "left") if bad is not None else df.withColumn("_bad", F.lit(False))
     status = F.coalesce(F.col("old")[STATUS], F.lit(""))
-    changes = F.struct(*[c.alias(p) for p, c in _changes("old", "props").items()])
-    df = df.withColumn("_changes", changes)
-    nothing = F.coalesce(*[F.col("_changes")[p] for p in PROPERTIES]).isNull()
+    made = C.let(F.struct("old", "props"), lambda both: F.struct(*[c.alias(p) for p, c in _changes(both["old"], both["props"]).items()]))
+    df = df.withColumn("_changes", made)
+    nothing = C.let(F.col("_changes"), lambda x: F.coalesce(*[x[p] for p in PROPERTIES]).isNull())
     action = (
         F.when(F.coalesce("_bad", F.lit(False)), "invalid").when(F.col("matches") > 1, "conflict").when(F.col("matches") == 0, "created").when(status == "Qualified", "exists")
         .when(~status.isin("", "Not Reviewed"), "human_verdict_exists").when(nothing, "unchanged").otherwise("updated")

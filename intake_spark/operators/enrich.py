@@ -72,7 +72,13 @@ def leftover(results: DataFrame, ledger: DataFrame, push: DataFrame) -> DataFram
     return rows.join(ledger.select("domain").distinct(), "domain", "left_anti").join(push.select("domain"), "domain", "left_semi")
 
 
+def unmapped_industries(applied: DataFrame) -> DataFrame:
+    """The industries that no option stands for, one row per company: domain and text."""
+    return applied.filter("unmapped IS NOT NULL").select("domain", F.col("unmapped").alias("text"))
+
+
 def enrich_summary(applied: DataFrame) -> DataFrame:
+    """Counts; the unmapped industries themselves are rows of unmapped_industries."""
     of = lambda s: F.count_if(F.col("status") == s)
     return applied.agg(of("ok").alias("enriched"), of("not_found").alias("not_found"), of("no_new_data").alias("no_new_data"), F.count("unmapped").alias("unmapped"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .selection import count_before
 
 #: Verdict tokens and the result they stand for.
 RESULTS = {"QUALIFIED": "Qualified", "MAYBE": "Maybe", "NOT_QUALIFIED": "Not Qualified"}
@@ -47,8 +48,9 @@ def name_collisions(cands: DataFrame, reg: DataFrame) -> DataFrame:
 
 def build_queue(cands: DataFrame, reg: DataFrame, list_pattern: str = "sourced-{date}") -> DataFrame:
     """Queue rows: the candidate with the account id that was matched and the list name of its batch."""
-    before, _, after = list_pattern.partition("{date}")
-    return match_registered(cands, reg).withColumn("account_id", F.col("matched_id")).drop("matched_id").withColumn("list_name", F.concat(F.lit(before), "batch", F.lit(after)))
+    before, dated, after = list_pattern.partition("{date}")
+    name = F.concat(F.lit(before), "batch", F.lit(after)) if dated else F.lit(before)
+    return match_registered(cands, reg).withColumn("account_id", F.col("matched_id")).drop("matched_id").withColumn("list_name", name)
 
 
 def build_summary(queue: DataFrame) -> DataFrame:
@@ -87,5 +89,6 @@ def prioritize(queue: DataFrame, wanted: DataFrame, list_name: str) -> DataFrame
     out = queue.join(ids, F.col("account_id") == F.col("_ki"), "left").join(domains, F.col("domain") == F.col("_kd"), "left")
     out = out.withColumn("hit", F.coalesce("_hi", F.lit(False)) | F.coalesce("_hd", F.lit(False))).drop("_ki", "_hi", "_kd", "_hd")
     moved = F.col("hit") & F.coalesce(F.col("status") == "pending", F.lit(False))
-    place = Window.partitionBy("batch").orderBy(F.when(moved, 0).otherwise(1), "order_key")
-    return out.withColumn("priority", F.when(moved, list_name)).withColumn("position", F.row_number().over(place).cast("long"))
+    out = count_before(out.withColumns({"_moved": moved, "_stays": ~moved}), {"_first": "_moved", "_then": "_stays"}, {"_all_moved": "_first"})
+    position = F.when(F.col("_moved"), F.col("_first")).otherwise(F.col("_all_moved") + F.col("_then")) + 1
+    return out.withColumns({"priority": F.when(F.col("_moved"), list_name), "position": position}).drop("_moved", "_stays", "_first", "_then", "_all_moved")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..sources.tables import BATCH
+from ..sources.tables import BATCH, staged
+from .selection import count_before
 
 #: How a message of the judging tool that a limit is reached begins, and signs of a passing failure.
 LIMIT = (
@@ -29,13 +30,14 @@ def retryable(max_attempts: int) -> Column:
 def work_list(queue: DataFrame, batch: str, max_attempts: int) -> DataFrame:
     """Retryable rows up to the batch, oldest batch first, each domain once; position from 1 and whether a row is backlog.
 
-    Positions come from one sort by (batch, order_key): sums of earlier batches, and a window inside each batch.
+    Positions are sums: of the batches before, then of the runs of order keys before in the batch, then inside the run.
     """
     rows = queue.withColumn("domain", C.normalize_domain("domain", "crm")).filter((F.col("domain") != "") & F.col("batch").rlike(BATCH) & (F.col("batch") <= batch) & retryable(max_attempts))
     first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("domain").orderBy("batch", "order_key"))).filter("_n = 1").drop("_n")
+    first = staged(first.withColumn("_one", F.lit(True)), "work")
     sizes = first.groupBy("batch").agg(F.count("*").alias("_size")).withColumn("_base", F.coalesce(F.sum("_size").over(Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    place = F.row_number().over(Window.partitionBy("batch").orderBy("order_key"))
-    return first.join(sizes, "batch").withColumn("position", F.col("_base") + place).withColumn("backlog", F.col("batch") < batch).drop("_size", "_base")
+    placed = count_before(first, {"_before": "_one"}).join(sizes, "batch").withColumn("position", F.col("_base") + F.col("_before") + 1)
+    return placed.withColumn("backlog", F.col("batch") < batch).drop("_size", "_base", "_before", "_one")
 
 
 def pull_quota(work: DataFrame, cap: int) -> DataFrame:
@@ -100,9 +102,12 @@ def stop_point(outcomes: DataFrame, limits: Limits) -> DataFrame:
 def apply_outcomes(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Queue with the outcomes (batch, domain, state, kind, verdict, message, crm) folded in; rows without an outcome, or after the stop, stay.
 
-    crm: the action of the CRM write, or error; conflict, invalid and human_verdict_exists go to review.
+    crm: the action of the CRM write, or error; conflict, invalid and human_verdict_exists go to review. Of several outcomes of a row the first by
+    order_key counts, if outcomes have that, so that no row is ever doubled.
     """
-    o = outcomes.filter("state = 'done'").select("batch", "domain", *[F.col(c).alias(f"_{c}") for c in ("kind", "verdict", "message", "crm")])
+    said = F.struct("kind", "verdict", "message", "crm")
+    one = F.min_by(said, "order_key") if "order_key" in outcomes.columns else F.min(said)
+    o = outcomes.filter("state = 'done'").groupBy("batch", "domain").agg(one.alias("_o")).select("batch", "domain", *[F.col(f"_o.{c}").alias(f"_{c}") for c in ("kind", "verdict", "message", "crm")])
     new = (
         F.when(F.col("_kind").isNull(), F.col("status")).when(F.col("_verdict").isNull(), "error").when(F.col("_crm") == "error", "hubspot_error")
         .when(F.col("_crm").isin("conflict", "invalid", "human_verdict_exists"), "needs_review").otherwise("done")

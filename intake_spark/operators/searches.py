@@ -29,7 +29,7 @@ SCREEN_ONLY = [
     "page", "sortByField", "sortAscending", "finderViewId", "uniqueUrlId", "includedOrganizationKeywordFields", "includedAnyOfOrganizationKeywordFields", "excludedOrganizationKeywordFields",
     "displayMode", "tour", "recommendationConfigId", "finderTableLayoutId", "viewMode", "contactLabelIds", "per_page", "perPage",
 ]
-#: Known parameters that no filter stands for, why, and what to do instead.
+#: Fixed values (the keys): known parameters that no filter stands for; why, and what to do instead, in our own words.
 UNTRANSLATED = {
     "organizationIndustryTagIds": ("industry tags are not a filter", "filter by industry codes"), "organizationNotIndustryTagIds": ("excluding industry tags is not a filter", "exclude industry codes, or exclude by industry pattern"),
     "qNotOrganizationKeywordTags": ("excluding keywords is not a filter", "exclude by name or industry pattern, or by tag lookup"), "qKeywords": ("free text is not a filter", "use keyword tags, or drop it"),
@@ -44,6 +44,7 @@ LOOKUP = [
     "organization_job_locations", "organization_job_posted_at_range", "organization_locations", "organization_naics_codes", "organization_not_locations", "organization_num_employees_ranges", "organization_num_jobs_range",
     "organization_sic_codes", "q_organization_job_titles", "revenue_range", "total_funding_range",
 ]
+#: Filters that a search needs, alternatives parted by a bar.
 REQUIRED = ("organization_naics_codes|organization_sic_codes", "organization_num_employees_ranges", "organization_locations")
 
 
@@ -52,8 +53,10 @@ def _map(pairs: dict) -> Column:
 
 
 def _decoded(c: Column) -> Column:
+    """Decoded three times at most; what can't be decoded stays."""
+    once = lambda x: F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)
     for _ in range(3):
-        c = F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+        c = C.let(c, once)
     return c
 
 
@@ -73,20 +76,26 @@ def address_params(urls: DataFrame) -> DataFrame:
     return out.withColumn("base", F.when(shaped, F.substring_index("param", "[", 1)).otherwise(F.col("param"))).withColumn("side", side)
 
 
+def _params(df: DataFrame) -> DataFrame:
+    """The parameters of urls (search_id, url); a table of address_params, as one that was stored, is taken as it is."""
+    return df if "base" in df.columns else address_params(df)
+
+
 def _kinds(params: DataFrame) -> DataFrame:
-    flat, base = _map({k: f"{f}|{s}" for k, (f, s) in FLAT.items()}), F.col("base")
-    return params.withColumns({
-        "_flat": flat[base],
-        "filter": F.coalesce(F.substring_index(flat[base], "|", 1), _map({k: f for k, (f, _) in PARAMETERS.items()})[base]),
-        "kind": F.when(flat[base].isNotNull(), "range_int").otherwise(_map({k: kind for k, (_, kind) in PARAMETERS.items()})[base]),
-    }).withColumn("side", F.when(F.col("_flat").isNotNull(), F.substring_index("_flat", "|", -1)).otherwise(F.col("side")))
+    """params with the filter, its kind, and for known ones that do not translate why and what to do; by a table of names that is a few rows."""
+    rows = [(k, f, kind, None, None, None) for k, (f, kind) in PARAMETERS.items()]
+    rows += [(k, f, "range_int", side, None, None) for k, (f, side) in FLAT.items()]
+    rows += [(k, None, None, None, why, instead) for k, (why, instead) in UNTRANSLATED.items()]
+    schema = "base string, filter string, kind string, _flat string, known_reason string, known_fallback string"
+    names = params.sparkSession.createDataFrame(rows, schema)
+    return params.join(F.broadcast(names), "base", "left").withColumn("side", F.coalesce("_flat", "side"))
 
 
 def search_params(urls: DataFrame) -> DataFrame:
-    """Filters of each search: search_id, filter, kind, items (lists, in first-seen order), low and high (ranges), scalar."""
-    p = _kinds(address_params(urls)).filter(F.col("filter").isNotNull())
-    digits = F.regexp_replace("value", "[,$]", "")
-    p = p.withColumn("value", F.when(F.col("kind").isin("range_int", "int"), F.coalesce(digits.try_cast("double").cast("bigint").cast("string"), F.col("value"))).otherwise(F.col("value")))
+    """Filters of each search: search_id, filter, kind, items (lists, in first-seen order), low and high (ranges), scalar. urls: see _params."""
+    p = _kinds(_params(urls)).filter(F.col("filter").isNotNull())
+    whole = C.to_int(F.regexp_replace("value", "[$]", "")).cast("string")  # text that is no number, or one beyond 64 bits, stays as it is
+    p = p.withColumn("value", F.when(F.col("kind").isin("range_int", "int"), F.coalesce(whole, F.col("value"))).otherwise(F.col("value")))
     kind = F.substring_index("kind", "_", 1)
     p = p.filter(~((kind == "range") & ((F.col("value") == "") | ~F.coalesce(F.col("side").isin("min", "max"), F.lit(False)))))
     last = lambda test: F.max_by(F.when(test, F.col("value")), F.when(test, F.col("n")))
@@ -98,24 +107,27 @@ def search_params(urls: DataFrame) -> DataFrame:
     )
 
 
-def search_mode(urls: DataFrame) -> DataFrame:
+def search_mode(urls: DataFrame, params: DataFrame | None = None) -> DataFrame:
+    """search_id and mode; params: the urls' parameters, if they are at hand."""
     hit = F.coalesce(F.bool_or(F.col("base") == "accountLabelIds"), F.lit(False))
-    return urls.select("search_id").distinct().join(address_params(urls).groupBy("search_id").agg(hit.alias("listed")), "search_id", "left").select("search_id", F.when(F.col("listed"), "list").otherwise("net_new_search").alias("mode"))
+    listed = (_params(urls) if params is None else params).groupBy("search_id").agg(hit.alias("listed"))
+    every = urls.select("search_id").distinct().join(listed, "search_id", "left")
+    return every.select("search_id", F.when(F.col("listed"), "list").otherwise("net_new_search").alias("mode"))
 
 
 def unmapped_params(urls: DataFrame) -> DataFrame:
-    """search_id, param, value, reason, fallback of what does not translate."""
-    p = _kinds(address_params(urls))
+    """search_id, param, value, reason, fallback of what does not translate. urls: see _params."""
+    params = _params(urls)
+    p = _kinds(params)
     team = F.col("base") == "prospectedByCurrentTeam"
     no_side = F.startswith("kind", F.lit("range")) & F.col("_flat").isNull() & ~F.coalesce(F.col("side").isin("min", "max"), F.lit(False))
-    known_reason, known_fallback = _map({k: r for k, (r, _) in UNTRANSLATED.items()})[F.col("base")], _map({k: f for k, (_, f) in UNTRANSLATED.items()})[F.col("base")]
     reason = (
         F.when(F.col("base").isin(SCREEN_ONLY), F.lit(None)).when(team, F.when(F.lower("value") != "no", "saved accounts only is not net new"))
-        .when(no_side, "range without [min] or [max]").when(F.col("filter").isNotNull(), F.lit(None)).otherwise(F.coalesce(known_reason, F.lit("unknown parameter")))
+        .when(no_side, "range without [min] or [max]").when(F.col("filter").isNotNull(), F.lit(None)).otherwise(F.coalesce("known_reason", F.lit("unknown parameter")))
     )
-    fallback = F.when(team, "list mode").when(no_side, "set it by hand").otherwise(F.coalesce(known_fallback, F.lit("check what it does; add it to the parameters if a filter stands for it")))
+    fallback = F.when(team, "list mode").when(no_side, "set it by hand").otherwise(F.coalesce("known_fallback", F.lit("check what it does; add it to the parameters if a filter stands for it")))
     rows = p.select("search_id", "param", "value", reason.alias("reason"), fallback.alias("fallback")).filter("reason IS NOT NULL")
-    wrong = address_params(urls).filter((F.col("route") != "") & ~F.col("route").isin("/companies", "/accounts", "/organizations")).select("search_id", "route").distinct()
+    wrong = params.filter((F.col("route") != "") & ~F.col("route").isin("/companies", "/accounts", "/organizations")).select("search_id", "route").distinct()
     return rows.unionByName(wrong.select("search_id", F.concat(F.lit("#"), "route").alias("param"), F.lit("").alias("value"), F.lit("not an address of the companies tab").alias("reason"), F.lit("copy the address from the companies tab").alias("fallback")))
 
 
@@ -125,8 +137,9 @@ def resolve_date(c: Column | str, batch: Column | str) -> Column:
     token = F.lower(C.strip(text))
     unit = F.rtrim(F.regexp_extract(token, r"^(\d+)_(day|week|month|year)s?_ago$", 2))
     n = F.regexp_extract(token, r"^(\d+)_(day|week|month|year)s?_ago$", 1).try_cast("int")
-    days = n * _map({"day": 1, "week": 7, "month": 30, "year": 365})[unit]
-    return F.when(token == "today", day.cast("string")).when(days.isNotNull(), F.date_sub(day, days).cast("string")).otherwise(text)
+    days = n.cast("bigint") * _map({"day": 1, "week": 7, "month": 30, "year": 365})[unit]
+    known = F.datediff(day, F.lit("0001-01-01").cast("date"))  # what lies before the first year stays as it is
+    return F.when(token == "today", day.cast("string")).when(days <= known, F.date_sub(day, F.least(days, known.cast("bigint")).cast("int")).cast("string")).otherwise(text)
 
 
 def resolve_dates(params: DataFrame, batch: Column | str) -> DataFrame:

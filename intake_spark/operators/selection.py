@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.tables import staged
 
 #: Rows of one batch that one task walks through; order keys are numbers, so a batch of any size is many such runs.
 RUN = 65_536
@@ -123,13 +124,16 @@ def scope_warnings(scope: Scope) -> Column:
     return F.array_compact(F.array(*out))
 
 
-def count_before(df: DataFrame, flags: dict[str, str]) -> DataFrame:
-    """df with, for each new column, how many rows of its batch come earlier and have the flag: sums by run of order keys first, then inside each run."""
+def count_before(df: DataFrame, flags: dict[str, str], totals: dict[str, str] | None = None) -> DataFrame:
+    """df with, for each new column of flags, how many rows of its batch come earlier and have the flag: sums by run of order keys first,
+    then inside each run. totals: new columns with the flag's count in the whole batch, by names of columns of flags."""
     df = df.withColumn("_run", F.floor(F.col("order_key") / RUN).cast("long"))
     earlier = Window.partitionBy("batch").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("batch", "_run").orderBy("order_key").rowsBetween(Window.unboundedPreceding, -1)
     sums = df.groupBy("batch", "_run").agg(*[F.count_if(flag).alias(f"_sum_{into}") for into, flag in flags.items()])
-    sums = sums.select("batch", "_run", *[F.coalesce(F.sum(f"_sum_{into}").over(earlier), F.lit(0)).alias(f"_base_{into}") for into in flags])
+    bases = [F.coalesce(F.sum(f"_sum_{into}").over(earlier), F.lit(0)).alias(f"_base_{into}") for into in flags]
+    whole = [F.sum(f"_sum_{of}").over(Window.partitionBy("batch")).alias(into) for into, of in (totals or {}).items()]
+    sums = sums.select("batch", "_run", *bases, *whole)
     counted = df.withColumns({into: F.coalesce(F.sum(F.col(flag).cast("long")).over(inside), F.lit(0)) for into, flag in flags.items()}).join(sums, ["batch", "_run"])
     return counted.withColumns({into: F.col(into) + F.col(f"_base_{into}") for into in flags}).drop("_run", *[f"_base_{into}" for into in flags])
 
@@ -140,8 +144,25 @@ def cap_pending(df: DataFrame, cap: int) -> DataFrame:
     return count_before(flagged, {"_before": "_pending"}).filter(F.col("_before") < cap).drop("_pending", "_before")
 
 
-def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int) -> DataFrame:
-    """Every row that the selection gets to, cleaned, with status (invalid, resurfaced, pending or skipped_prefilter), skip_reason and source_rank."""
+def search_signals(filters: dict | None) -> Column:
+    """What every row of a search has matched on, from its filters, as a map; filters that are not set are left out."""
+    given = filters or {}
+    low = lambda name: (given.get(name) or {}).get("min")
+    # Names of what a row has matched on, and the filters that say so.
+    return C.search_signals(
+        technologies_any=given.get("currently_using_any_of_technology_uids"),
+        job_titles_any=given.get("q_organization_job_titles"),
+        job_posted_since=low("organization_job_posted_at_range"),
+        total_funding_min=low("total_funding_range"),
+        latest_funding_since=low("latest_funding_date_range"),
+        naics=given.get("organization_naics_codes"),
+        keyword_tags=given.get("q_organization_keyword_tags"),
+    )
+
+
+def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int, filters: dict | None = None) -> DataFrame:
+    """Every row that the selection gets to, cleaned, with status (invalid, resurfaced, pending or skipped_prefilter), skip_reason, source_rank
+    and search_signals (what the filters of the search say of each row)."""
     # A bad row is a key of its own, so that the filter is on the rank alone and Spark drops later rows of a frequent key before the shuffle.
     df = clean_rows(rows).withColumn("_bad", F.col("problem").isNotNull())
     df = df.withColumn("_key", F.when(F.col("_bad"), F.concat(F.lit("bad:"), F.col("order_key").cast("string"))).otherwise(row_key())).filter("_key <> 'name:'")
@@ -152,14 +173,15 @@ def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, ca
     status = F.when(F.col("_bad"), "invalid").when(F.col("_seen"), "resurfaced").when(reason.isNull(), "pending").otherwise("skipped_prefilter")
     df = df.withColumn("status", status).withColumn("skip_reason", F.when(F.col("status") == "skipped_prefilter", reason)).withColumn("scope_warnings", scope_warnings(scope))
     df = df.drop("_key", "_bad", "_n", "_seen", "excluded").withColumns({"_pending": F.col("status") == "pending", "_candidate": F.col("status").isin("pending", "skipped_prefilter")})
+    df = staged(df.withColumn("search_signals", search_signals(filters)), "walk")  # counted and joined below, but computed once
     # All candidates before a kept one are kept, so the rank among candidates comes from the same pass as the cap.
     counted = count_before(df, {"_before": "_pending", "_rank": "_candidate"}).filter(F.col("_before") < cap)
     return counted.withColumn("source_rank", F.when(F.col("_candidate"), F.col("_rank") + 1)).drop("_pending", "_candidate", "_before", "_rank")
 
 
-def select_candidates(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int) -> DataFrame:
+def select_candidates(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int, filters: dict | None = None) -> DataFrame:
     """The candidates of each batch, pending and skipped, ranked in source order."""
-    return walk(rows, seen, excluded, scope, cap).filter(F.col("status").isin("pending", "skipped_prefilter")).drop("problem")
+    return walk(rows, seen, excluded, scope, cap, filters).filter(F.col("status").isin("pending", "skipped_prefilter")).drop("problem")
 
 
 def selection_summary(walked: DataFrame, rows: DataFrame, cap: int) -> DataFrame:
@@ -176,7 +198,20 @@ def skip_counts(candidates: DataFrame) -> DataFrame:
     return candidates.filter("skip_reason IS NOT NULL").groupBy("skip_reason").agg(F.count("*").alias("n"))
 
 
-def import_accounts(accounts: DataFrame, seen: DataFrame, scope: Scope, tags: list[str]) -> DataFrame:
-    """An accounts export as candidates: all rows are walked; rows with an excluded tag count as excluded."""
+def walk_accounts(accounts: DataFrame, seen: DataFrame, scope: Scope, tags: list[str], filters: dict | None = None) -> DataFrame:
+    """The rows of an accounts export (as read with a batch id), all walked; rows with an excluded tag count as excluded."""
     tagged = accounts.filter(keyword_excluded(accounts, tags)).select(F.lit(None).cast("string").alias("org_id"), C.normalize_domain("domain").alias("domain")).distinct()
-    return select_candidates(accounts, seen, tagged, scope, 1 << 62)
+    return walk(accounts, seen, tagged, scope, 1 << 62, filters)
+
+
+def import_accounts(accounts: DataFrame, seen: DataFrame, scope: Scope, tags: list[str], filters: dict | None = None) -> DataFrame:
+    """An accounts export as candidates."""
+    return walk_accounts(accounts, seen, scope, tags, filters).filter(F.col("status").isin("pending", "skipped_prefilter")).drop("problem")
+
+
+def import_counts(walked: DataFrame, accounts: DataFrame) -> DataFrame:
+    """What an import would do, without doing it: (batch, what, n) with rows, to_qualify, already_queued, invalid, and skipped by reason."""
+    kinds = F.create_map(*[F.lit(x) for pair in (("pending", "to_qualify"), ("resurfaced", "already_queued"), ("invalid", "invalid")) for x in pair])
+    what = F.coalesce(kinds[F.col("status")], F.concat(F.lit("skipped: "), "skip_reason"))
+    given = accounts.groupBy("batch").agg(F.count("*").alias("n")).select("batch", F.lit("rows").alias("what"), "n")
+    return given.unionByName(walked.groupBy("batch", what.alias("what")).agg(F.count("*").alias("n")))

@@ -29,7 +29,9 @@ def page_text(s, d):
 
 
 def page_names(s, d):
-    return table(s, d, "pages").select("page_id", C.page_name("url").alias("name"))
+    """Names of pages at their addresses and at deeper ones, up to far beyond the longest name."""
+    deep = F.expr("concat(url, repeat('/section', CAST(page_id % 15 AS INT)))")
+    return table(s, d, "pages").select("page_id", C.page_name(deep).alias("name"))
 
 
 def answers(s, d):
@@ -217,7 +219,8 @@ SQL = {
     "page_text": r"""WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)', 1) AS title, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
             '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?is)<nav\b.*?</nav>', ' ', 'g'), '(?is)<title\b.*?</title>', ' ', 'g'), '<[^>]+>', ' ', 'g') AS body FROM pages)
         SELECT page_id, trim(regexp_replace(plain_title, '\s+', ' ', 'g')) AS title, trim(regexp_replace(plain_body, '\s+', ' ', 'g')) AS markdown FROM (SELECT page_id, %s AS plain_title, %s AS plain_body FROM t)""" % (_entities("title"), _entities("body")),
-    "page_names": f"SELECT page_id, left(trim(regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://([^?#]+)', 1), '^/+|/+$', '', 'g'), '[^A-Za-z0-9._-]+', '-', 'g'), '-'), 80) AS name FROM pages",
+    "page_names": """WITH u AS (SELECT page_id, url || repeat('/section', (page_id % 15)::INT) AS url FROM pages), n AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://([^?#]+)', 1), '^/+|/+$', '', 'g'), '[^A-Za-z0-9._-]+', '-', 'g'), '-') AS name FROM u)
+        SELECT page_id, CASE WHEN length(name) > 90 THEN left(name, 80) || '-' || left(sha1(url), 8) ELSE name END AS name FROM n""",
     "refusal": "SELECT page_id AS n, CASE page_id % 6 WHEN 5 THEN 'no answer' WHEN 1 THEN 'http 401' WHEN 3 THEN 'http 503' ELSE CASE WHEN page_id % 10 = 0 THEN 'bot challenge' END END AS reason FROM pages",
     "site_status": f"""WITH {PAGES}, w AS (SELECT site, page_id AS n, page_id % 4 <> 0 AS live, page_id % 4 <> 0 AND page_id % 3 <> 0 AS tried, CASE page_id % 6 WHEN 5 THEN 'no answer' WHEN 1 THEN 'http 401' WHEN 3 THEN 'http 503' ELSE CASE WHEN page_id % 10 = 0 THEN 'bot challenge' END END AS why FROM v_pages WHERE site IS NOT NULL),
         g AS (SELECT site, bool_or(live) AS live, bool_or(tried) AS tried, coalesce(bool_or(tried AND why IS NULL), false) AS good, arg_max(coalesce(why, ''), n) FILTER (tried) AS why FROM w GROUP BY 1)

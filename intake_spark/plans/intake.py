@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +16,8 @@ PROPS = T.StructType([T.StructField("k", T.LongType())])
 
 
 def scratch(spark) -> str:
-    """A new folder for written tables, in the shared folder if the session names one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/intake-{uuid.uuid4().hex}"
+    """A new folder for written tables."""
+    return tables.new_path(spark, "intake")
 
 
 def clean(s, d):
@@ -49,10 +42,9 @@ def page_order(s, d):
     path = scratch(s)
     events = table(s, d, "events").selectExpr("event_id", "CAST(event_id DIV 1000 + 1 AS STRING) AS page", "to_json(named_struct('event_id', event_id)) AS value")
     events.repartition("page").sortWithinPartitions("page", "event_id").select(F.concat(F.lit("page-"), "page").alias("page"), "value").write.partitionBy("page").text(path)
-    schema = T.StructType([T.StructField("event_id", T.LongType())])
-    lines = s.read.text(path).selectExpr("value", "_metadata.file_path AS file")
-    parsed = tables.parse_jsonl(lines, schema).filter("NOT bad")
-    return parsed.select("row.event_id", tables.page_number(F.regexp_replace("file", "%3D|=", "-")).alias("page_no")).groupBy("page_no").agg(F.count("*").alias("lines"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+    rows = tables.read_pages(s, path, T.StructType([T.StructField("event_id", T.LongType())]))
+    ends = [F.min_by("event_id", "order_key").alias("first_event"), F.max_by("event_id", "order_key").alias("last_event")]
+    return rows.groupBy("page_no").agg(F.count("*").alias("lines"), *ends)
 
 
 def write_once(s, d):
@@ -146,6 +138,13 @@ def select_candidates(s, d):
     return out.select("batch", "order_key", "domain", "name", "org_id", "status", "skip_reason", F.array_join("scope_warnings", "; ").alias("scope_warnings"), "source_rank")
 
 
+def candidate_signals(s, d):
+    """What the search has matched on, on each candidate."""
+    out = S.select_candidates(V.source_rows(s, d), S.seen_domains(V.seen(s, d)), V.excluded(s, d), SCOPE, CAP, V.FILTERS)
+    pairs = F.transform(F.array_sort(F.map_entries("search_signals")), lambda x: F.concat(x["key"], F.lit("="), x["value"]))
+    return out.select("batch", "order_key", F.array_join(pairs, "; ").alias("signals"))
+
+
 def selection_summary(s, d):
     return S.selection_summary(_walk(s, d), V.source_rows(s, d), CAP)
 
@@ -159,6 +158,27 @@ def import_accounts(s, d):
     return S.import_accounts(rows, S.seen_domains(V.seen(s, d)), SCOPE, ["wholesale"]).select("batch", "order_key", "domain", "status", "skip_reason")
 
 
+def _export(s, d):
+    """source rows as an accounts export, written as CSV in several files and read back."""
+    path = scratch(s)
+    columns = {"Company Name": "name", "Website": "domain", "Industry": "industry", "# Employees": "headcount", "Company Country": "country", "Keywords": "keywords", "Apollo Account Id": "account_id", "Parent company (Apollo data)": "parent_company"}
+    rows = V.source_rows(s, d).repartitionByRange(4, "order_key").sortWithinPartitions("order_key")
+    rows.select([F.col(c).alias(name) for name, c in columns.items()]).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return tables.read_accounts_csv(s, path, "2030-01-15")
+
+
+def import_csv(s, d):
+    """An accounts export, read, tagged, selected and built into a queue."""
+    picked = S.import_accounts(_export(s, d), S.seen_domains(V.seen(s, d)), SCOPE, ["wholesale"])
+    built = R.build_queue(picked, V.registered(s, d), "csv:accounts")
+    return built.select("batch", "source_rank", "domain", "status", "skip_reason", "list_name")
+
+
+def import_counts(s, d):
+    rows = _export(s, d)
+    return S.import_counts(S.walk_accounts(rows, S.seen_domains(V.seen(s, d)), SCOPE, ["wholesale"]), rows)
+
+
 def match_registered(s, d):
     return R.match_registered(valid(s, d), V.registered(s, d)).select("order_key", "domain", "matched_id")
 
@@ -204,7 +224,7 @@ def prioritize(s, d):
 
 QUERIES = {f.__name__: f for f in (
     read_jsonl_quarantine, page_order, write_once, rewrite_batches, append_ledger, batch_ids, latest_batch, credits_used, orphan_batches, clean_rows, row_problems, keyword_excluded, seen_domains, first_seen, net_new, flag_excluded,
-    prefilter, scope_warnings, cap_pending, select_candidates, selection_summary, skip_counts, import_accounts, match_registered, name_collisions, build_queue, build_summary, result_value, unregistered, unregistered_batches,
+    prefilter, scope_warnings, cap_pending, select_candidates, candidate_signals, selection_summary, skip_counts, import_accounts, import_csv, import_counts, match_registered, name_collisions, build_queue, build_summary, result_value, unregistered, unregistered_batches,
     mark_registered, prioritize,
 )}
 
@@ -226,6 +246,11 @@ MATCHED = f"""{REGISTERED}, v_match AS (SELECT v.*, (SELECT count(*) FROM v_reg
     (SELECT arg_min(struct_pack(a := account_id), reg_order) FROM v_reg r WHERE r.name = lower(v.name) AND (v.domain IS NULL OR r.domain IS NULL)).a AS m3 FROM v_valid v),
     v_id AS (SELECT *, CASE WHEN account_id IS NOT NULL THEN account_id WHEN h1 > 0 THEN m1 WHEN h2 > 0 THEN m2 ELSE m3 END AS matched_id FROM v_match)"""
 MATCH = f"{FIRST}, {MATCHED}"
+IMPORT = f"""{ROWS}, {SEEN}, r AS (SELECT *, {V.sql_domain('domain')} AS dom, nullif(trim(name), '') AS nm FROM v_rows),
+    p AS (SELECT *, account_id IS NOT NULL AND NOT regexp_matches(account_id, '^[a-f0-9]{{24}}$') OR domain IS NOT NULL AND dom IS NULL OR coalesce(nm, domain) IS NULL AS bad, coalesce(dom, 'name:' || coalesce(lower(nm), '')) AS key FROM r),
+    f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY order_key) AS n FROM p WHERE NOT bad) WHERE n = 1 AND key <> 'name:'),
+    t AS (SELECT DISTINCT dom FROM r WHERE contains(lower(concat_ws(', ', keywords, industry)), 'wholesale') AND dom IS NOT NULL),
+    w AS (SELECT *, coalesce(dom IN (SELECT domain FROM v_seen), false) AS again, CASE WHEN dom IS NULL THEN 'no_domain' WHEN dom IN (SELECT dom FROM t) THEN 'excluded_keyword_tag' ELSE {REASON} END AS why FROM f)"""
 
 SQL = {
     "read_jsonl_quarantine": "SELECT event_id, event_id % 50 IN (7, 8) AS bad, CASE WHEN event_id % 50 NOT IN (7, 8) THEN json_extract_string(props, '$.k')::BIGINT END AS k FROM events WHERE event_id % 50 <> 9",
@@ -260,6 +285,10 @@ SQL = {
         t AS (SELECT DISTINCT dom FROM r WHERE contains(lower(concat_ws(', ', keywords, industry)), 'wholesale') AND dom IS NOT NULL),
         w AS (SELECT *, CASE WHEN dom IS NULL THEN 'no_domain' WHEN dom IN (SELECT dom FROM t) THEN 'excluded_keyword_tag' ELSE {REASON} END AS why FROM f)
         SELECT batch, order_key, dom AS domain, CASE WHEN why IS NULL THEN 'pending' ELSE 'skipped_prefilter' END AS status, why AS skip_reason FROM w""",
+    "import_csv": f"""WITH {IMPORT} SELECT '2030-01-15' AS batch, row_number() OVER (ORDER BY order_key) AS source_rank, dom AS domain, CASE WHEN why IS NULL THEN 'pending' ELSE 'skipped_prefilter' END AS status, why AS skip_reason, 'csv:accounts' AS list_name FROM w WHERE NOT again""",
+    "import_counts": f"""WITH {IMPORT}, x AS (SELECT 'rows' AS what FROM r UNION ALL SELECT 'invalid' FROM p WHERE bad UNION ALL SELECT CASE WHEN again THEN 'already_queued' WHEN why IS NULL THEN 'to_qualify' ELSE 'skipped: ' || why END FROM w)
+        SELECT '2030-01-15' AS batch, what, count(*) AS n FROM x GROUP BY what""",
+    "candidate_signals": f"""WITH {WALK} SELECT batch, order_key, 'job_posted_since=30_days_ago; naics=4451, 4452; technologies_any=crm, erp' AS signals FROM v_walk WHERE status IN ('pending', 'skipped_prefilter')""",
     "match_registered": f"WITH {MATCH} SELECT order_key, domain, matched_id FROM v_id",
     "name_collisions": f"""WITH {MATCH} SELECT batch, domain, 'dedupe_name_collision: ' || domain || ' vs ' || other AS note FROM (SELECT v.batch, v.domain, v.order_key, arg_min(r.domain, r.reg_order) AS other FROM v_id v JOIN v_reg r
         ON coalesce(r.name, '') = coalesce(lower(v.name), '') AND r.domain <> v.domain WHERE v.domain IS NOT NULL AND v.matched_id IS NULL GROUP BY 1, 2, 3)""",

@@ -8,20 +8,34 @@ from ..functions import columns as C
 from ..operators import runs as N
 from ..operators import searches as E
 from ..operators import verdicts as G
+from ..sources.tables import staged
 from . import views as V
 from .views import QUEUE, table
 
 LIMITS = N.Limits(cap=60, seconds=5000.0, errors=3, transients=2)
 
 
+#: A parameter that the address has besides those that all have, by the search's number; and whether its values are a list, a range or one value.
+MORE = {
+    **dict.fromkeys(("organizationNotLocations", "currentlyUsingAnyOfTechnologyUids", "qOrganizationJobTitles", "organizationJobLocations", "qOrganizationKeywordTags", "notOrganizationNaicsCodes", "organizationSicCodes", "notOrganizationSicCodes", "marketSegments", "qOrganizationDomainsList", "organizationIds"), "list"),
+    **dict.fromkeys(("organizationFoundedYearRange", "organizationNumJobsRange", "organizationHeadcountGrowthRange"), "number"), "organizationJobPostedAtRange": "date", "latestFundingDetectedAtRange": "text", "qOrganizationName": "one", "organizationHeadcountGrowthPastNMonths": "whole",
+}
+MORE_VALUES = {
+    "list": lambda p: f"{p}[]=v+', p_size, '&{p}[]=v+', p_size, '&{p}[]=&{p}[]=w%252Fx", "number": lambda p: f"{p}[min]=$1%2C', p_size, '000.9&{p}[max]=1e30", "date": lambda p: f"{p}[min]=today&{p}[max]=99999999_years_ago",
+    "text": lambda p: f"{p}[min]=x&{p}[max]=2%2C000", "one": lambda p: f"{p}=a%20b&{p}=last', p_size, '", "whole": lambda p: f"{p}=', p_size, '.7",
+}
+MORE_URL = "element_at(array(%s), CAST(p_partkey %% %d + 1 AS INT))" % (", ".join(f"concat('&{MORE_VALUES[kind](p)}')" for p, kind in MORE.items()), len(MORE))
+OTHER_URL = "element_at(array(%s), CAST(p_partkey %% %d + 1 AS INT))" % (", ".join(f"'&{p}=z'" for p in (*E.UNTRANSLATED, *E.SCREEN_ONLY)), len(E.UNTRANSLATED) + len(E.SCREEN_ONLY))
+
+
 def urls(s, d):
-    """Every part as a search address."""
+    """Every part as a search address; each parameter that there is occurs in some."""
     return table(s, d, "part").selectExpr(
         "p_partkey AS search_id",
         "concat(CASE WHEN p_partkey % 7 = 0 THEN '\"' ELSE '' END, 'https://app.example/#/', element_at(array('companies', 'people', 'accounts'), CAST(p_partkey % 3 + 1 AS INT)), '?page=1&organizationLocations[]=', replace(p_name, ' ', '%2520'),"
         " '&organizationLocations[]=Chile&organizationLocations[]=Chile&organizationNumEmployeesRanges[]=', p_size, '%2C99', '&revenueRange[min]=$', p_size, ',000.9&revenueRange[max]=', CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'many' END,"
         " '&totalFundingMin=', p_size * 10, '&latestFundingDateRange[min]=', p_size, '_days_ago', CASE WHEN p_partkey % 5 = 0 THEN '&accountLabelIds[]=l1' ELSE '&organizationNaicsCodes[]=4451' END,"
-        " '&prospectedByCurrentTeam[]=', CASE WHEN p_partkey % 2 = 0 THEN 'no' ELSE 'yes' END, CASE WHEN p_partkey % 6 = 0 THEN '&qKeywords=a+b&totalFundingRange=5&oddOne=1' ELSE '' END, CASE WHEN p_partkey % 7 = 0 THEN '\"' ELSE '' END) AS url",
+        " '&prospectedByCurrentTeam[]=', CASE WHEN p_partkey % 2 = 0 THEN 'no' ELSE 'yes' END, CASE WHEN p_partkey % 6 = 0 THEN '&qKeywords=a+b&totalFundingRange=5&oddOne=1' ELSE '' END, '&totalFundingMax=1%2C000&latestFundingAmountMin=$5&latestFundingAmountMax=inf', " + MORE_URL + ", " + OTHER_URL + ", CASE WHEN p_partkey % 7 = 0 THEN '\"' ELSE '' END) AS url",
         "p_brand", "p_type", "p_size", "p_retailprice",
     )
 
@@ -43,19 +57,19 @@ def unmapped_params(s, d):
 
 
 def resolve_dates(s, d):
-    out = E.resolve_dates(E.search_params(urls(s, d)), F.lit("2030-01-15b")).filter("filter = 'latest_funding_date_range'")
-    return out.select("search_id", "low")
+    out = E.resolve_dates(E.search_params(urls(s, d)), F.lit("2030-01-15b")).filter("filter IN ('latest_funding_date_range', 'organization_job_posted_at_range', 'latest_funding_detected_at_range')")
+    return out.select("search_id", "filter", "low", "high")
 
 
-def _searches(s, d):
-    u = urls(s, d)
-    return E.search_mode(u).withColumn("source_url", F.when(F.col("search_id") % 11 == 0, "example: x").otherwise("u")).withColumn("mode", F.when(F.col("search_id") % 13 == 0, "odd").otherwise(F.col("mode")))
+def _searches(u, params):
+    return E.search_mode(u, params).withColumn("source_url", F.when(F.col("search_id") % 11 == 0, "example: x").otherwise("u")).withColumn("mode", F.when(F.col("search_id") % 13 == 0, "odd").otherwise(F.col("mode")))
 
 
 def search_errors(s, d):
     u = urls(s, d)
+    params = staged(E.address_params(u), "search-params")  # used four times
     acks = u.filter("search_id % 2 = 1").select("search_id", F.lit("prospectedByCurrentTeam[]").alias("param"))
-    return E.search_errors(_searches(s, d), E.search_params(u), E.unmapped_params(u), acks)
+    return E.search_errors(_searches(u, params), E.search_params(params), E.unmapped_params(params), acks)
 
 
 def _stored(s, d, rest):
@@ -214,16 +228,23 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 PART = "p AS (SELECT p_partkey AS id, p_name, p_brand, p_type, p_size, p_retailprice, p_partkey % 5 = 0 AS listed, ['companies', 'people', 'accounts'][(p_partkey % 3 + 1)::INT] AS tab FROM part)"
-PARAMS = PART + """, f AS (
+MORE_SQL = ", ".join("[%s][(id %% %d + 1)::INT] AS %s" % (", ".join(f"'{x}'" for x in xs), len(MORE), name) for name, xs in (("more", MORE), ("kind", MORE.values())))
+OTHER_SQL = "SELECT * FROM (VALUES %s) o(k, param, reason)" % ", ".join(f"({k}, '{p}', '{why}')" for k, (p, (why, _)) in enumerate(E.UNTRANSLATED.items()))
+PARAMS = PART + f""", f AS (
     SELECT id AS search_id, 'organization_locations' AS filter, CASE WHEN p_name = 'Chile' THEN 'Chile' ELSE p_name || '|Chile' END AS items, NULL AS low, NULL AS high, NULL AS scalar FROM p
     UNION ALL SELECT id, 'organization_num_employees_ranges', p_size || ',99', NULL, NULL, NULL FROM p
     UNION ALL SELECT id, 'revenue_range', '', p_size || '000', CASE WHEN id % 4 <> 0 THEN 'many' END, NULL FROM p
-    UNION ALL SELECT id, 'total_funding_range', '', (p_size * 10)::VARCHAR, NULL, NULL FROM p
+    UNION ALL SELECT id, 'total_funding_range', '', (p_size * 10)::VARCHAR, '1000', NULL FROM p
+    UNION ALL SELECT id, 'latest_funding_amount_range', '', '5', 'inf', NULL FROM p
+    UNION ALL SELECT id, lower(regexp_replace(more, '([A-Z])', '_\\1', 'g')), CASE WHEN kind = 'list' THEN 'v ' || p_size || '|w/x' ELSE '' END,
+        CASE kind WHEN 'number' THEN '1' || p_size || '000' WHEN 'date' THEN 'today' WHEN 'text' THEN 'x' END, CASE kind WHEN 'number' THEN '1e30' WHEN 'date' THEN '99999999_years_ago' WHEN 'text' THEN '2,000' END,
+        CASE kind WHEN 'one' THEN 'last' || p_size WHEN 'whole' THEN p_size::VARCHAR END FROM (SELECT *, {MORE_SQL} FROM p)
     UNION ALL SELECT id, 'latest_funding_date_range', '', p_size || '_days_ago', NULL, NULL FROM p
     UNION ALL SELECT id, CASE WHEN listed THEN 'account_label_ids' ELSE 'organization_naics_codes' END, CASE WHEN listed THEN 'l1' ELSE '4451' END, NULL, NULL, NULL FROM p)"""
 UNMAPPED = """u AS (SELECT id AS search_id, 'prospectedByCurrentTeam[]' AS param, 'yes' AS value, 'saved accounts only is not net new' AS reason FROM p WHERE id % 2 = 1
     UNION ALL SELECT id, 'qKeywords', 'a b', 'free text is not a filter' FROM p WHERE id % 6 = 0 UNION ALL SELECT id, 'totalFundingRange', '5', 'range without [min] or [max]' FROM p WHERE id % 6 = 0
-    UNION ALL SELECT id, 'oddOne', '1', 'unknown parameter' FROM p WHERE id % 6 = 0 UNION ALL SELECT id, '#/' || tab, '', 'not an address of the companies tab' FROM p WHERE tab = 'people')"""
+    UNION ALL SELECT id, 'oddOne', '1', 'unknown parameter' FROM p WHERE id % 6 = 0 UNION ALL SELECT id, param, 'z', reason FROM p JOIN (""" + OTHER_SQL + f""") ON id % {len(E.UNTRANSLATED) + len(E.SCREEN_ONLY)} = k
+    UNION ALL SELECT id, '#/' || tab, '', 'not an address of the companies tab' FROM p WHERE tab = 'people')"""
 RETRY = "(status = 'pending' OR status = 'error' AND attempts < 2 OR status = 'hubspot_error' AND hubspot_attempts < 2)"
 WORK = QUEUE + f", w AS (SELECT *, row_number() OVER (ORDER BY batch, order_key) AS position, batch < '1997-06-01' AS backlog FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY batch, order_key) AS n FROM v_queue WHERE batch <= '1997-06-01' AND {RETRY}) WHERE n = 1)"
 OUT = """o AS (SELECT user_id || '-' || month(ts) AS run, event_id AS k, value AS dur, event_id % 17 = 0 AS crm, CASE event_type WHEN 'click' THEN 'ok' WHEN 'view' THEN 'ok' WHEN 'error' THEN 'error' WHEN 'signup' THEN 'transient' ELSE CASE WHEN event_id % 10 = 0 THEN 'usage_limit' ELSE 'ok' END END AS kind FROM events),
@@ -247,7 +268,8 @@ SQL = {
     "search_params": f"WITH {PARAMS} SELECT * FROM f",
     "search_mode": f"WITH {PART} SELECT id AS search_id, CASE WHEN listed THEN 'list' ELSE 'net_new_search' END AS mode FROM p",
     "unmapped_params": f"WITH {PART}, {UNMAPPED} SELECT * FROM u",
-    "resolve_dates": f"WITH {PART} SELECT id AS search_id, (DATE '2030-01-15' - p_size)::DATE::VARCHAR AS low FROM p",
+    "resolve_dates": f"""WITH {PARAMS} SELECT search_id, filter, CASE filter WHEN 'latest_funding_date_range' THEN (DATE '2030-01-15' - p_size)::DATE::VARCHAR WHEN 'organization_job_posted_at_range' THEN '2030-01-15' ELSE low END AS low, high
+        FROM f JOIN p ON search_id = id WHERE filter IN ('latest_funding_date_range', 'organization_job_posted_at_range', 'latest_funding_detected_at_range')""",
     "search_errors": f"""WITH {PARAMS}, {UNMAPPED}, s AS (SELECT id, CASE WHEN id % 13 = 0 THEN 'odd' WHEN listed THEN 'list' ELSE 'net_new_search' END AS mode, listed FROM p)
         SELECT id AS search_id, 'the source is an example' AS error FROM s WHERE id % 11 = 0
         UNION ALL SELECT search_id, 'unacknowledged unmapped filter ' || param || ': ' || reason FROM u WHERE NOT (search_id % 2 = 1 AND param = 'prospectedByCurrentTeam[]')
@@ -256,7 +278,7 @@ SQL = {
     "merge_search": """WITH o AS (SELECT * FROM part WHERE p_partkey % 3 <> 0), n AS (SELECT * FROM part WHERE p_partkey % 3 <> 1)
         SELECT coalesce(o.p_partkey, n.p_partkey) AS search_id, CASE WHEN n.p_partkey IS NOT NULL THEN n.p_type || '1' ELSE o.p_type || '0' END AS filters, CASE WHEN n.p_partkey IS NOT NULL THEN '' ELSE o.p_brand END AS acknowledged, o.p_name AS pre_filter FROM o FULL JOIN n ON o.p_partkey = n.p_partkey""",
     "acknowledge": "SELECT p_partkey AS search_id, CASE WHEN p_partkey % 2 = 0 THEN p_brand || '|new' ELSE p_brand END AS acknowledged FROM part WHERE p_partkey % 3 <> 2",
-    "exclusion_params": f"WITH {PARAMS} SELECT search_id, filter, items, low, high FROM f WHERE filter NOT IN ('account_label_ids') UNION ALL SELECT id, 'q_organization_keyword_tags', 'Wholesale', NULL, NULL FROM p",
+    "exclusion_params": f"WITH {PARAMS} SELECT search_id, filter, items, low, high FROM f WHERE filter NOT IN ('account_label_ids', 'q_organization_keyword_tags', 'q_organization_domains_list', 'organization_ids', 'latest_funding_detected_at_range', 'q_organization_name') UNION ALL SELECT id, 'q_organization_keyword_tags', 'Wholesale', NULL, NULL FROM p",
     "company_filter": "SELECT p_partkey FROM part WHERE p_brand IN ('Brand#2', 'Brand#17') AND coalesce(p_type, '') <> 'ECONOMY' AND (p_size BETWEEN 1 AND 10 OR p_size BETWEEN 20 AND 30) AND p_retailprice >= 950",
     "retryable": f"WITH {QUEUE} SELECT order_key, {RETRY} AS retryable FROM v_queue",
     "work_list": f"WITH {WORK} SELECT batch, order_key, domain, position, backlog FROM w",

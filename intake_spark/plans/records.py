@@ -51,7 +51,7 @@ def build_properties(s, d):
 
 def options(s, d):
     """Options from the verdicts' own labels, but for one label; nation and part add industries."""
-    known = [(p, v) for p, vs in [*[(f"sourcing_{k}", t.values()) for k, t in G.TOKENS.items()], (H.STATUS, ["Qualified"]), (H.STAGE, ["Qualified"])] for v in vs if v != "Tier B"]
+    known = [(p, v) for p, vs in [*[(f"sourcing_{k}", t.values()) for k, t in G.TOKENS.items()], (H.STATUS, ["Qualified"]), (H.STAGE, ["Qualified"]), ("sourcing_sourced_from", ["Apollo"])] for v in vs if v != "Tier B"]
     pairs = F.array(*[F.struct(F.lit(p).alias("property"), F.lit(v).alias("value")) for p, v in known])
     return table(s, d, "region").select(F.explode(pairs).alias("x")).select("x.*").distinct()
 
@@ -69,7 +69,7 @@ def plan_actions(s, d):
 
 
 def field_changes(s, d):
-    return H.field_changes(_plan(s, d), crm(s, d)).filter("property IN ('sourcing_account_stage', 'sourcing_sourced_from', 'numberofemployees', 'sourcing_p1_date', 'sourcing_qualification_status')")
+    return H.field_changes(_plan(s, d), crm(s, d))
 
 
 def merge_crm(s, d):
@@ -105,7 +105,7 @@ def industry_index(s, d):
 
 
 def _results(s, d):
-    return table(s, d, "orders").filter("o_orderkey % 2 = 0").selectExpr(
+    return table(s, d, "orders").selectExpr(
         "o_orderkey AS order_key", "concat('www.c', o_custkey, '.example') AS domain", "o_orderkey % 6 <> 0 AS found", "CASE WHEN o_orderkey % 8 = 0 THEN '0' ELSE concat(o_orderkey, '.7') END AS estimated_num_employees",
         "CASE WHEN o_orderkey % 10 = 2 THEN 'Vertical Farming' WHEN o_orderkey % 10 <> 4 THEN 'economy AND Small Ring' END AS industry",
     )
@@ -128,6 +128,10 @@ def enrich_leftover(s, d):
     return I.leftover(_results(s, d), ledger, I.pushed(V.queue(s, d))).select("order_key", "domain")
 
 
+def unmapped_industries(s, d):
+    return I.unmapped_industries(_applied(s, d))
+
+
 def enrich_summary(s, d):
     return I.enrich_summary(_applied(s, d))
 
@@ -172,7 +176,7 @@ def run_notes(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    crm_matches, build_properties, bad_options, plan_actions, field_changes, merge_crm, action_counts, pushed, enrich_todo, limit_todo, industry_index, map_industry, apply_enrichment, enrich_leftover, enrich_summary, run_counts, report_rows,
+    crm_matches, build_properties, bad_options, plan_actions, field_changes, merge_crm, action_counts, pushed, enrich_todo, limit_todo, industry_index, map_industry, apply_enrichment, enrich_leftover, unmapped_industries, enrich_summary, run_counts, report_rows,
     needs_review, held_rows, run_cost, run_notes,
 )}
 
@@ -190,7 +194,7 @@ TODO = PUSHED + ", " + CRM + ", td AS (SELECT pu.domain, pu.crm_id, pu.p, CASE W
 KEY = lambda x, d: "regexp_replace(%s, '[^a-z0-9]', '', 'g')" % (f"regexp_replace(replace(replace(lower({x}), '_', ' '), '&', ' and '), '\\band\\b', ' ', 'g')" if d else f"replace(replace(lower({x}), '_', ' '), '&', ' and ')")
 INDEX = "op AS (SELECT p_partkey AS k, p_type || ' & ' || p_name AS label, upper(p_type || '_' || replace(p_name, ' ', '_')) AS value FROM part), ks AS (%s), ix AS (SELECT key, arg_min(value, k * 4 + i) AS value FROM ks WHERE key <> '' GROUP BY 1)" % " UNION ALL ".join(
     f"SELECT k, {i} AS i, value, {KEY(x, w)} AS key FROM op" for i, (x, w) in enumerate((("label", 0), ("label", 1), ("value", 0), ("value", 1))))
-RESULTS = f"""rs AS (SELECT o_orderkey AS k, 'c' || o_custkey || '.example' AS domain, o_orderkey % 6 <> 0 AS found, CASE WHEN o_orderkey % 8 <> 0 THEN o_orderkey END AS n, CASE WHEN o_orderkey % 10 = 2 THEN 'Vertical Farming' WHEN o_orderkey % 10 <> 4 THEN 'economy AND Small Ring' END AS industry FROM orders WHERE o_orderkey % 2 = 0),
+RESULTS = f"""rs AS (SELECT o_orderkey AS k, 'c' || o_custkey || '.example' AS domain, o_orderkey % 6 <> 0 AS found, CASE WHEN o_orderkey % 8 <> 0 THEN o_orderkey END AS n, CASE WHEN o_orderkey % 10 = 2 THEN 'Vertical Farming' WHEN o_orderkey % 10 <> 4 THEN 'economy AND Small Ring' END AS industry FROM orders),
     mp AS (SELECT rs.*, coalesce((SELECT value FROM ix WHERE key = {KEY("rs.industry", 0)}), (SELECT value FROM ix WHERE key = {KEY("rs.industry", 1)})) AS mapped FROM rs)"""
 APPLIED = TODO + ", " + INDEX + ", " + RESULTS + """, la AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY k DESC) AS n2 FROM mp) WHERE n2 = 1),
     ap AS (SELECT la.domain, la.found, CASE WHEN found AND nullif(emp, '') IS NULL AND n > 0 THEN n::VARCHAR END AS numberofemployees, CASE WHEN found AND ind IS NULL AND industry IS NOT NULL THEN mapped END AS industry,
@@ -208,6 +212,9 @@ SQL = {
     "bad_options": f"WITH {PROPS} SELECT key, 'sourcing_account_tier' AS property, 'Tier B' AS value FROM pr WHERE reason IS NULL AND t = 'TIER_B'",
     "plan_actions": f"WITH {PLAN} SELECT key, matches, CASE WHEN t = 'TIER_B' THEN 'invalid' ELSE action END AS action FROM ac",
     "field_changes": f"""WITH {PLAN}, u AS (SELECT * FROM ac WHERE action = 'updated') SELECT id, 'sourcing_qualification_status' AS property, st AS old_value, 'Qualified' AS new_value FROM u UNION ALL SELECT id, 'sourcing_p1_date', '', '2030-01-15' FROM u
+        UNION ALL SELECT id, 'sourcing_account_tier', NULL, 'Tier ' || right(t, 1) FROM u UNION ALL SELECT id, 'sourcing_need_strength', NULL, 'Strong' FROM u UNION ALL SELECT id, 'sourcing_current_approach', NULL, 'Manual' FROM u
+        UNION ALL SELECT id, 'sourcing_timing', NULL, 'Unknown' FROM u UNION ALL SELECT id, 'sourcing_evidence_confidence', NULL, 'High' FROM u UNION ALL SELECT id, 'sourcing_qualification_reason', NULL, 'because ' || doc_id FROM u
+        UNION ALL SELECT id, 'sourcing_main_uncertainty', NULL, 'none' FROM u UNION ALL SELECT id, 'sourcing_roles_to_contact', NULL, 'CEO' FROM u UNION ALL SELECT id, 'sourcing_evidence_links', NULL, 'http://a' FROM u
         UNION ALL SELECT id, 'sourcing_account_stage', stage, 'Qualified' FROM u WHERE stage IN ('', 'Sourced') UNION ALL SELECT id, 'sourcing_sourced_from', src, 'Apollo' FROM u WHERE src IS NULL UNION ALL SELECT id, 'numberofemployees', emp, h::VARCHAR FROM u WHERE emp = '' AND h <> 0""",
     "merge_crm": f"""WITH {PLAN}, n AS (SELECT crm.*, u.key IS NOT NULL AS up, u.h AS nh FROM crm LEFT JOIN (SELECT * FROM ac WHERE action = 'updated') u ON u.id = crm.id)
         SELECT domain, CASE WHEN up THEN 'Qualified' ELSE st END AS sourcing_qualification_status, CASE WHEN up AND stage IN ('', 'Sourced') THEN 'Qualified' ELSE stage END AS sourcing_account_stage, CASE WHEN up AND src IS NULL THEN 'Apollo' ELSE src END AS sourcing_sourced_from,
@@ -221,6 +228,7 @@ SQL = {
     "map_industry": f"WITH {INDEX}, {RESULTS} SELECT k AS order_key, industry, mapped FROM mp",
     "apply_enrichment": f"WITH {APPLIED} SELECT * FROM ad",
     "enrich_leftover": f"WITH {APPLIED} SELECT k AS order_key, domain FROM rs WHERE domain IN (SELECT domain FROM pu) AND domain NOT IN (SELECT domain FROM ad WHERE status = 'ok')",
+    "unmapped_industries": f"WITH {APPLIED} SELECT domain, unmapped AS text FROM ad WHERE unmapped IS NOT NULL",
     "enrich_summary": f"WITH {APPLIED} SELECT count(*) FILTER (status = 'ok') AS enriched, count(*) FILTER (status = 'not_found') AS not_found, count(*) FILTER (status = 'no_new_data') AS no_new_data, count(unmapped) AS unmapped FROM ad",
     "run_counts": f"""WITH {LINES}, q AS (SELECT batch AS run, count(*) FILTER (status <> 'skipped_prefilter') AS pulled, count(*) FILTER (status = 'skipped_prefilter') AS prefiltered, count(*) FILTER (status = 'pending') AS pending_left FROM v_queue GROUP BY 1),
         l AS (SELECT run, count(*) FILTER (backlog) AS backlog, count(*) AS processed, count(*) FILTER (qualification = 'QUALIFIED') AS qualified, count(*) FILTER (qualification <> 'QUALIFIED') AS not_qualified, count(*) FILTER (status IN ('error', 'hubspot_error')) AS errors,

@@ -13,6 +13,11 @@ from ..operators.selection import Scope
 #: The scope that queries use.
 SCOPE = Scope(name_pattern="tion ther|schaft|quele", industry_pattern="^es$", subsidiaries=True, countries=("United States", "Canada"), headcount_min=1000, headcount_max=9000)
 CAP = 40
+#: Filters of the search that the candidates come from.
+FILTERS = {
+    "currently_using_any_of_technology_uids": ["crm", "erp"], "q_organization_job_titles": [], "organization_job_posted_at_range": {"min": "30_days_ago"}, "total_funding_range": {"max": 5},
+    "latest_funding_date_range": {"min": ""}, "organization_naics_codes": ["4451", "4452"], "organization_num_employees_ranges": ["11,50"],
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

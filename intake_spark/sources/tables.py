@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from ..functions.columns import is_json_object
 
 BATCH = r"^\d{4}-\d{2}-\d{2}[b-z]?$"
+#: Order keys of one file; longer than any file has bytes.
+FILE_SPAN = 1 << 40
+#: Columns of an accounts export and ours.
 ACCOUNT_COLUMNS = {
     "Company Name": "name", "Website": "domain", "Industry": "industry", "# Employees": "headcount", "Company Country": "country", "Keywords": "keywords", "Technologies": "technologies",
     "Apollo Account Id": "account_id", "Parent company (Apollo data)": "parent_company",
@@ -24,36 +27,54 @@ def parse_jsonl(lines: DataFrame, schema: T.StructType, line: str = "value") ->
     return parsed.withColumn("row", F.when(~F.col("bad"), F.from_json(line, schema)))
 
 
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """rows as a reader gives them, with file and block (where the split begins in it), to rows with order_key and line_no.
+
+    order_key is a number: files follow each other by page number, then name, and rows by place in their file. A reader hands out splits
+    in an order of its own, so the place of a row in its split is counted from the first of that split. Only one row per split is gathered.
+    """
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
+    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = numbered.groupBy("file", "block").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows")).withColumns({
+        "_before": F.coalesce(F.sum("_rows").over(in_file), F.lit(0)),
+        "_file": F.dense_rank().over(Window.orderBy(page_number(F.col("file")), "file")).cast("long") - 1,
+    })
+    # A row takes a byte of its file at least, so that the rows of a split end before the next one begins.
+    place = F.col("_at") - F.col("_first")
+    out = numbered.join(splits, ["file", "block"]).withColumns({"order_key": F.col("_file") * FILE_SPAN + F.col("block") + place, "line_no": F.col("_before") + place + 1})
+    return out.drop("_at", "_first", "_rows", "_before", "_file", "block")
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(rows with file and order_key, bad lines as file, line_no and value)."""
-    at = ["_metadata.file_path AS file", "_metadata.file_block_start AS block"]
-    lines = spark.read.text(path).selectExpr("value", *at).withColumn("order_key", F.monotonically_increasing_id())
-    parsed = parse_jsonl(lines, schema)
-    numbered = lines.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("block", "order_key")))
-    files = parsed.filter("bad").select("file", "order_key")
-    bad = numbered.join(files.select("file").distinct(), "file", "left_semi").join(files, ["file", "order_key"], "left_semi")
-    return parsed.filter("NOT bad").select("file", "order_key", "row.*"), bad.select("file", F.col("line_no").cast("long").alias("line_no"), "value")
+    """(rows with file and order_key, a number that keeps line order; bad lines as file, line_no and value)."""
+    lines = spark.read.text(path).selectExpr("value", "_metadata.file_path AS file", "_metadata.file_block_start AS block")
+    parsed = parse_jsonl(in_file_order(lines), schema)
+    return parsed.filter("NOT bad").select("file", "order_key", "row.*"), parsed.filter("bad").select("file", "line_no", "value")
 
 
 def page_number(file: Column) -> Column:
     return F.regexp_extract(file, r"page-(\d+)", 1).try_cast("int")
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of page files with page_no and order_key, a struct that orders page-2 before page-10 and keeps line order."""
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, batch: str | None = None) -> DataFrame:
+    """Rows of page files, ready for the selection: page_no, an order_key that has page-2 before page-10 and keeps line order, and the batch, if given."""
     rows, _ = read_jsonl(spark, path, schema)
-    return rows.withColumn("page_no", page_number(F.col("file"))).withColumn("order_key", F.struct("page_no", "order_key"))
+    rows = rows.withColumn("page_no", page_number(F.col("file")))
+    return rows if batch is None else rows.withColumn("batch", F.lit(batch))
 
 
-def read_accounts_csv(spark: SparkSession, path: str) -> DataFrame:
-    """An accounts export with our column names; technologies are split on commas."""
+def read_accounts_csv(spark: SparkSession, path: str, batch: str | None = None) -> DataFrame:
+    """An accounts export with our column names, in file order, ready for the import; technologies are split on commas."""
     df = spark.read.csv(path, header=True, multiLine=True, escape='"')
-    df = df.select([F.col(f"`{c}`").alias(c.lstrip("﻿").strip()) for c in df.columns])
-    if "Apollo Account Id" not in df.columns:
+    names = {c: c.lstrip("\ufeff").strip() for c in df.columns}
+    if "Apollo Account Id" not in names.values():
         raise ValueError("this is no accounts export: it has no column 'Apollo Account Id'")
-    out = df.select([F.col(f"`{c}`").alias(ACCOUNT_COLUMNS[c]) for c in df.columns if c in ACCOUNT_COLUMNS])
-    parts = F.filter(F.transform(F.split("technologies", ","), lambda x: F.trim(x)), lambda x: x != "")
-    return out.withColumn("technologies", parts).withColumn("order_key", F.monotonically_increasing_id()) if "technologies" in out.columns else out.withColumn("order_key", F.monotonically_increasing_id())
+    known = [F.col(f"`{c}`").alias(ACCOUNT_COLUMNS[name]) for c, name in names.items() if name in ACCOUNT_COLUMNS]
+    out = in_file_order(df.select(*known, "_metadata.file_path", "_metadata.file_block_start").withColumnsRenamed({"file_path": "file", "file_block_start": "block"}))
+    if "technologies" in out.columns:
+        parts = F.transform(F.split("technologies", ","), lambda x: F.trim(x))
+        out = out.withColumn("technologies", F.filter(parts, lambda x: x != ""))
+    return out.drop("file", "line_no") if batch is None else out.drop("file", "line_no").withColumn("batch", F.lit(batch))
 
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -72,7 +93,8 @@ def absent_batches(df: DataFrame, old: DataFrame | None) -> DataFrame:
 
 def write_batch_once(df: DataFrame, path: str) -> None:
     """Append the batches that are not there yet; a batch that exists is never changed."""
-    absent_batches(df, existing(df.sparkSession, path)).repartition("batch").write.partitionBy("batch").mode("append").parquet(path)
+    # Rebalanced, a small batch is one file, and Spark splits a large one over several writers.
+    absent_batches(df, existing(df.sparkSession, path)).hint("rebalance", "batch").write.partitionBy("batch").mode("append").parquet(path)
 
 
 def rewrite_batches(df: DataFrame, path: str) -> None:
@@ -111,13 +133,25 @@ def orphan_batches(candidates: DataFrame, queue: DataFrame, before: str) -> Data
     return candidates.select("batch").filter(F.col("batch").rlike(BATCH) & (F.col("batch") < before)).distinct().join(queue.select("batch").distinct(), "batch", "left_anti")
 
 
-def staged(df: DataFrame, kind: str) -> DataFrame:
-    """Write df below the session's shared folder and read it back: cuts the lineage between rounds of a loop."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where all of Spark is one process, a temporary one will do."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def new_path(spark: SparkSession, kind: str) -> str:
+    """A path below the shared folder that nothing uses yet."""
+    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, kind: str) -> DataFrame:
+    """Write df below the shared folder and read it back: it is computed once, however often it is used."""
+    path = new_path(df.sparkSession, kind)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
