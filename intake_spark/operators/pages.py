@@ -184,7 +184,7 @@ def follow_links(pages: DataFrame, sig: Signals, hosts: DataFrame | None = None,
 
 
 def word_count(c: Column | str) -> Column:
-    return C.let(C.strip(c), lambda x: F.when(x == "", 0).otherwise(F.size(F.split(x, r"(?U)\s+"))))
+    return F.regexp_count(C.as_col(c), F.lit(r"(?U)\S+"))
 
 
 def prepared(pages: DataFrame) -> DataFrame:
@@ -217,9 +217,11 @@ def first_of_both(rows: DataFrame) -> DataFrame:
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:
-    """The pages that stay, prepared."""
-    good = prepared(pages).filter("good")
-    return good.join(first_of_both(good), ["site", "order_key"], "left_semi")
+    """The pages that stay, prepared. Texts are hashed, counted and matched once; what that gives is stored without them."""
+    made = ["url", "title", "hash", "words", "good"]
+    good = staged(prepared(pages).filter("good").select("site", "order_key", *made), "good-pages")
+    stays = good.join(first_of_both(good), ["site", "order_key"], "left_semi")
+    return pages.drop(*made).join(stays, ["site", "order_key"])
 
 
 def terms(c: Column | str, pattern: str) -> Column:
@@ -229,9 +231,18 @@ def terms(c: Column | str, pattern: str) -> Column:
 
 
 def page_index(usable: DataFrame, sig: Signals) -> DataFrame:
-    """usable with terms and place in the site's index: pages with terms first, then longer ones."""
-    out = usable.withColumn("terms", terms("markdown", sig.any_of(sig.topic_terms)))
-    return out.withColumn("place", F.row_number().over(Window.partitionBy("site").orderBy((F.col("terms") == "-").cast("int"), F.desc("words"), "order_key")))
+    """usable with terms and place in the site's index: pages with terms first, then longer ones.
+
+    A place is the pages of the groups (with or without terms, number of words) before, and then the place in the group, so that no site is one task's.
+    """
+    found = usable.select("site", "order_key", "words", terms("markdown", sig.any_of(sig.topic_terms)).alias("terms"))
+    found = staged(found.withColumn("_none", (F.col("terms") == "-").cast("int")), "page-terms")
+    group = ["site", "_none", "words"]
+    before = Window.partitionBy("site").orderBy("_none", F.desc("words")).rowsBetween(Window.unboundedPreceding, -1)
+    bases = found.groupBy(*group).agg(F.count("*").alias("_pages")).select(*group, F.coalesce(F.sum("_pages").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy(*group).orderBy("order_key"))
+    placed = found.withColumn("_inside", inside).join(bases, group).select("site", "order_key", "terms", (F.col("_base") + F.col("_inside")).cast("int").alias("place"))
+    return usable.join(placed, ["site", "order_key"])
 
 
 def dropped_files(pages: DataFrame, usable: DataFrame) -> DataFrame:

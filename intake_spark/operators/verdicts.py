@@ -25,8 +25,12 @@ LOWEST = "TIER_C"
 
 def last_json(c: Column | str) -> Column:
     """The text if it is a JSON object, else its last line that is one once spaces and backticks are taken off; null if there is none."""
-    lines = lambda text: F.transform(F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), lambda x: F.regexp_replace(x, r"(?U)^[\s`]+|[\s`]+$", ""))
-    return C.let(C.strip(c), lambda text: F.when(C.is_json_object(text), text).otherwise(F.try_element_at(F.filter(lines(text), C.is_json_object), F.lit(-1))))
+    apart = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+    # Few lines begin like an object; only those are trimmed and parsed.
+    begins = lambda x: x.rlike(r"(?U)^[\s`]*\{")
+    trimmed = lambda x: F.regexp_replace(x, r"(?U)^[\s`]+|[\s`]+$", "")
+    last = lambda text: F.try_element_at(F.filter(F.transform(F.filter(F.split(text, apart), begins), trimmed), C.is_json_object), F.lit(-1))
+    return C.let(C.strip(c), lambda text: F.when(C.is_json_object(text), text).otherwise(last(text)))
 
 
 def field(v: Column | str, key: str) -> Column:
