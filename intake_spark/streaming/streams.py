@@ -31,13 +31,20 @@ def stream_intake(rows: DataFrame, out: str, checkpoint: str, excluded: DataFram
 
 
 def stream_attempts(events: DataFrame, max_attempts: int = 2) -> DataFrame:
-    """events (key, order_key, ok) to one row per key and micro-batch: attempts, and state done, error or given_up. A done company stays done."""
+    """events (key, order_key, ok) to one row per key and micro-batch: attempts, and state done, error or given_up. A done company stays done.
+
+    No more than the first max_attempts events of a micro-batch can matter, so a task holds that many and the batch at hand, however many a key has.
+    """
     out = T.StructType([T.StructField("key", T.StringType()), T.StructField("attempts", T.LongType()), T.StructField("state", T.StringType())])
     kept = T.StructType([T.StructField("attempts", T.LongType()), T.StructField("state", T.StringType())])
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         attempts, now = state.get if state.exists else (0, "pending")
-        for ok in pd.concat(list(frames)).sort_values("order_key")["ok"]:
+        first = None
+        for frame in frames:
+            both = frame if first is None else pd.concat([first, frame])
+            first = both.sort_values("order_key", kind="stable").head(max_attempts)
+        for ok in first["ok"]:
             if now in ("done", "given_up"):
                 break
             attempts += 1
