@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import tables
+
 #: A word, for every operator here: a run of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Characters of a text that are looked at together, at least; a longer one is cut before white space after so many.
+PART_CHARS = 1_000_000
+_GAP = re.compile(r"(?<=[^\x20\x09-\x0D])[\x20\x09-\x0D]")
+
+
+def parts_of(text: str, size: int | None = None, gap: re.Pattern = _GAP) -> Iterator[str]:
+    """The text in parts, cut where gap matches (between a word and the white space behind it); joined they are the text. Most texts are one part."""
+    at, size = 0, size or PART_CHARS
+    while len(text) - at > size and (cut := gap.search(text, at + size)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a new temporary one only where that is unset."""
-    set_to = spark.conf.get("spark.checkpoint.dir", None)
-    if set_to:
-        return set_to.rstrip("/")
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The folder that the driver and all executors share."""
+    return tables.shared_dir(spark)
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
@@ -28,11 +39,26 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = new_path(df.sparkSession, kind)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, kind: str, arrow_rows: int | None = None) -> DataFrame:
+    """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    arrow_rows: at most so many rows go to Python at once, where rows are large; the session's own setting holds again afterwards.
+    """
+    spark, rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = new_path(spark, kind), spark.conf.get(rows)
+    try:
+        if arrow_rows:
+            spark.conf.set(rows, str(min(arrow_rows, int(before) if int(before) > 0 else arrow_rows)))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(rows, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def sliced(batch, rows: int = 256):
+    """An Arrow batch or array in slices, so that a task turns no more than a few texts at a time into Python objects."""
+    for i in range(0, len(batch), rows):
+        yield batch.slice(i, rows)
 
 
 def text_of(df: DataFrame, column: str = "text") -> Column:

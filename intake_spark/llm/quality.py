@@ -17,24 +17,29 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .caches import Generations
+from .common import sliced, written
 
 BUCKETS, RANK, PER_CLASS, EPOCHS = 4096, 8, 3000, 60
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 STATISTICS = 14
+#: Bytes of words that a task remembers, about, and what Python needs for one.
+CACHE_BYTES, WORD_BYTES = 24 << 20, 130
 
 
-class _Hashed(dict):
-    def __missing__(self, word):
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = h = zlib.crc32(word.lower().encode("utf-8", "replace")) % BUCKETS
-        return h
+class _Hashed(Generations):
+    """Word to its bucket."""
+
+    def __init__(self):
+        super().__init__(CACHE_BYTES, lambda word, bucket: WORD_BYTES + len(word))
+
+    def make(self, words: list[str]) -> list[int]:
+        return [zlib.crc32(w.lower().encode("utf-8", "replace")) % BUCKETS for w in words]
 
 
 def statistics(text: str, words: list[str]) -> list[float]:
@@ -56,7 +61,8 @@ def statistics(text: str, words: list[str]) -> list[float]:
 def inputs(text: str, hashed: _Hashed) -> tuple[np.ndarray, np.ndarray, list[float]]:
     """Buckets, their values, and the statistics."""
     words = _WORD.findall(text)
-    places, counts = np.unique(np.fromiter(map(hashed.__getitem__, words), np.int64, len(words)), return_counts=True)
+    hashed.learn(words)
+    places, counts = np.unique(np.fromiter(map(hashed.known.__getitem__, words), np.int64, len(words)), return_counts=True)
     values = np.sqrt(counts)
     return places, values / max(1e-9, float(np.sqrt((values**2).sum()))), statistics(text, words)
 
@@ -117,13 +123,15 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     sample = docs.sparkSession.createDataFrame(ids, schema)
     texts = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text")).join(F.broadcast(sample), "id").select("text", "label")
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = _Hashed()
-        for pdf in batches:
-            found = [inputs(t or "", hashed) for t in pdf["text"]]
-            yield pd.DataFrame({"label": pdf["label"], "at": [f[0].astype("<i2").tobytes() for f in found], "x": [f[1].astype("<f4").tobytes() for f in found], "stats": [[float(s) for s in f[2]] for f in found]})
+        for some in (part for batch in batches for part in sliced(batch)):
+            found = [inputs(t.as_py() or "", hashed) for t in some.column(0)]
+            at, x = ([f[k].astype(kind).tobytes() for f in found] for k, kind in ((0, "<i2"), (1, "<f4")))
+            stats = pa.array([[float(s) for s in f[2]] for f in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([some.column(1), pa.array(at, pa.binary()), pa.array(x, pa.binary()), stats], names=["label", "at", "x", "stats"])
 
-    rows = written(texts.mapInPandas(each, "label int, at binary, x binary, stats array<double>"), "quality-sample").collect()
+    rows = written(texts.mapInArrow(each, "label int, at binary, x binary, stats array<double>"), "quality-sample").collect()
     if len({r["label"] for r in rows}) < 2:
         return nothing(share[1] / (share[0] + share[1]))
     stats = np.array([r["stats"] for r in rows])

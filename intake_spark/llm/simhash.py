@@ -1,9 +1,8 @@
 """SimHash near-duplicates with pivot distance tables.
 
 A fingerprint has a bit set where over half of the text's shingle hashes have it. Equal fingerprints are one entry. Each entry gets a
-table row: its Hamming distances to PIVOTS reference fingerprints. Distances to single references tell little in 64 bits (they
-concentrate near 32), so they cannot deal entries out to tasks; entries are dealt by blocks that must agree instead: of BLOCKS bit
-blocks, at most `most` can differ, so two entries within `most` bits agree on BLOCKS - most of them, and meet under that choice of blocks.
+table row: its Hamming distances to PIVOTS reference fingerprints. A table discards pairs that are looked at, but to look at few of
+them entries have to be dealt out first: by blocks that must agree. Of BLOCKS bit blocks (more, where more entries need longer keys), at most `most` can differ, so two entries within `most` bits agree on BLOCKS - most of them, and meet under that choice of blocks.
 Where entries meet, pairs whose table rows differ by more than `most` in any coordinate are discarded, the rest are verified. A meeting
 place with over TILE entries is split into square tiles, so it is never one task's. A tile gives a spanning forest of its
 links, not all of them; components come from contraction.
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import parts_of, written
 from .components import components
 
 PIVOTS, BLOCKS, TILE = 16, 6, 4096
@@ -34,15 +33,13 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def shingle_hashes(text: str, width: int, seed: int = 42, at_once: int = 200_000) -> Iterator[np.ndarray]:
-    """XXH64 of the text's shingles of lower-cased words, joined by spaces, in parts; fewer words than width: of them all; none: nothing."""
-    data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
+def shingle_hashes(text: str, width: int, seed: int = 42, at_once: int | None = None) -> Iterator[np.ndarray]:
+    """XXH64 of the text's shingles of lower-cased words, joined by spaces, in parts of at_once characters; fewer words than width: of them all; none: nothing."""
     digest = xxhash.xxh64_intdigest
-    found = (m.group() for m in _WORD.finditer(data)) if len(data) > 4_000_000 else iter(_WORD.findall(data))
     words: list[bytes] = []
     first = True
-    while more := list(itertools.islice(found, at_once)):
-        words += more
+    for part in parts_of(text, at_once):
+        words += _WORD.findall(part.encode("utf-8", "surrogatepass").translate(_LOWER))
         if len(words) < width:
             continue
         ends = np.cumsum([len(w) + 1 for w in words])
@@ -90,6 +87,14 @@ def pivot_table(entries: DataFrame) -> DataFrame:
     return entries.select("fp", *[c.alias(f"near{i}") for i, c in enumerate(packed)])
 
 
+def blocks_for(entries: int, most: int) -> int:
+    """The fewest blocks by which a few of so many entries, at random, meet at a place: the more entries, the more bits have to agree."""
+    blocks = most + 2
+    while blocks < 32 and entries > 4 << (64 * (blocks - most) // blocks):
+        blocks += 1
+    return blocks
+
+
 def _masks(most: int, blocks: int) -> list[int]:
     edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
     spans = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in itertools.pairwise(edges)]
@@ -164,7 +169,7 @@ def links(entries: DataFrame, most: int = 4, blocks: int = BLOCKS, tile: int = T
 def _components(prints: DataFrame, most: int, id_column: str) -> DataFrame:
     """The stored table of fp, component_id, and the id and fingerprint (rep_fp) of the component's first row."""
     entries = written(prints.groupBy("fp").agg(F.min(id_column).alias("_first")), "entries")
-    roots = components(links(entries.select("fp"), most))
+    roots = components(links(entries.select("fp"), most, blocks_for(entries.count(), most)))
     rooted = entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min(F.when(F.col("_first").isNotNull(), F.struct("_first", "fp"))).alias("rep"))
     return written(rooted.join(least, "root").select("fp", F.col("rep._first").alias("component_id"), F.col("rep.fp").alias("rep_fp")), "fp-components")

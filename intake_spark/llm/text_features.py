@@ -6,40 +6,45 @@ import re
 import zlib
 from collections import Counter
 
+from .caches import Generations
+from .common import parts_of
+
 _WORD = re.compile(r"[^\W\d_]+")
-#: Distinct words that a worker remembers.
-CACHE_WORDS = 200_000
+#: Bytes of words and their buckets that a task remembers, about; and what Python needs for a word and for a bucket.
+CACHE_BYTES, WORD_BYTES, BUCKET_BYTES = 24 << 20, 120, 40
 #: A feature is dense in a text where it occurs twice, and in this share of the words.
 DENSE = 0.003
 
 
-class WordBuckets(dict):
+class WordBuckets(Generations):
     """Lower-cased word to the buckets of itself and its leading 3 to 8 letters; only those of the features in `chosen`, if given.
 
     Feature b says that bucket b occurs in a text, feature b + buckets that it is dense there.
     """
 
     def __init__(self, buckets: int, chosen: list[int] | None = None, prefixes: tuple[int, ...] = (3, 4, 5, 6, 7, 8)):
-        super().__init__()
+        super().__init__(CACHE_BYTES, lambda word, found: WORD_BYTES + len(word) + BUCKET_BYTES * len(found))
         self.buckets, self.prefixes = buckets, prefixes
         self.place = None if chosen is None else {f: i for i, f in enumerate(chosen)}
         self.used = None if chosen is None else {f % buckets for f in chosen}
 
-    def __missing__(self, word):
-        if len(self) > CACHE_WORDS:
-            self.clear()
+    def make(self, words: list[str]) -> list[tuple[int, ...]]:
+        return [self._buckets(w) for w in words]
+
+    def _buckets(self, word: str) -> tuple[int, ...]:
         data = [b"w" + word.encode("utf-8", "replace"), *[b"p" + word[:n].encode("utf-8", "replace") for n in self.prefixes if len(word) >= n]]
         found = {zlib.crc32(x) % self.buckets for x in data}
-        self[word] = out = tuple(found if self.used is None else found & self.used)
-        return out
+        return tuple(found if self.used is None else found & self.used)
 
     def features(self, text: str) -> list[int]:
-        """The features of a text; with `chosen`, their places there. Long texts are read in parts, so that no more than their distinct words is held."""
-        lower = text.lower()
-        words = Counter(_WORD.findall(lower)) if len(lower) <= 4_000_000 else Counter(m.group() for m in _WORD.finditer(lower))
+        """The features of a text; with `chosen`, their places there. No more than the distinct words of a long text is held."""
+        words: Counter[str] = Counter()
+        for part in parts_of(text):
+            words.update(_WORD.findall(part.lower()))
+        self.learn(words)
         counts: dict[int, int] = {}
         for word, n in words.items():
-            for bucket in self[word]:
+            for bucket in self.known[word]:
                 counts[bucket] = counts.get(bucket, 0) + n
         least = max(2, DENSE * words.total()) if counts else 2
         found = [*counts, *[b + self.buckets for b, n in counts.items() if n >= least]]

@@ -1,8 +1,10 @@
 """Token ids of texts by a public tokenizer file, encoded by the tokenizers library.
 
-For byte-level BPE files the library encodes each distinct pre-token once per worker and the ids are joined, which gives the same
-ids as encoding whole texts: BPE never crosses a pre-token. Other files, texts with characters outside the blocks that the splitting
-pattern below covers, and texts with the content of an added token that counts, go to the library whole.
+For byte-level BPE files the library encodes distinct pre-tokens and the ids are joined, which gives the same ids as encoding whole
+texts: BPE never crosses a pre-token. Pre-tokens are encoded many to a call: those that begin with a space follow each other, the
+others are put on lines of their own, and the library's pre-tokenizer parts them again. A worker remembers those used lately, up to a
+bound in bytes. Other files, texts with characters outside the blocks that the splitting pattern below covers, and texts
+with the content of an added token that counts, go to the library whole.
 """
 
 from __future__ import annotations
@@ -14,12 +16,27 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+
+from .caches import Generations
+from .common import parts_of
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Cached pre-tokens per worker; the cache is emptied when full.
-CACHE_WORDS = 600_000
+#: Bytes of pre-tokens and their ids that a worker remembers, about.
+CACHE_BYTES = 96 << 20
+#: What Python needs for an entry besides its characters and ids.
+ENTRY_BYTES = 180
+#: Pre-tokens in one call of the library.
+AT_ONCE = 2000
+#: Characters of texts whose pre-tokens are looked up together.
+GROUP_CHARS = 1_000_000
+#: Pre-tokens end before white space that follows anything else, so texts can be cut there.
+_GAP = re.compile(r"(?<=\S)\s")
 #: Characters up to here have had stable categories for long; texts beyond are encoded whole.
 COVERED = 0x530
 
@@ -44,24 +61,35 @@ def _ranges(category: str) -> str:
     return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in re.finditer("x+", marks))
 
 
-class _Words(dict):
-    """Pre-token to its ids as bytes; a miss is encoded alone."""
+class _Words(Generations):
+    """Pre-token to its ids as bytes."""
 
     def __init__(self, tokenizer):
-        super().__init__()
+        super().__init__(CACHE_BYTES, lambda word, ids: ENTRY_BYTES + len(word) + len(ids))
         self.tokenizer = tokenizer
-
-    def __missing__(self, word):
-        self[word] = ids = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        return ids
-
-    def learn(self, words: list[str]) -> None:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[word] = _packed(e.ids)
+        vocabulary = tokenizer.get_vocab()
+        size = max(vocabulary.values(), default=0) + 1
+        self.spaced = np.zeros(size, bool)  # tokens that begin with a space
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        newline = tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 else None
+
+    def make(self, words: list[str]) -> list[bytes]:
+        """The ids of each pre-token."""
+        kinds: tuple[list[str], list[str], list[str]] = ([], [], [])
+        for word in words:
+            kinds[2 if word[-1].isspace() or self.newline is None else 0 if word[0] == " " else 1].append(word)
+        found = {w: _packed(e.ids) for w, e in zip(kinds[2], self.tokenizer.encode_batch_fast(kinds[2], add_special_tokens=False), strict=True)}
+        for kind, mark in ((0, ""), (1, "\n")):
+            for some in itertools.batched(kinds[kind], AT_ONCE):
+                ids = np.array(self.tokenizer.encode_batch_fast([mark + mark.join(some)], add_special_tokens=False)[0].ids, "<u4")
+                starts = np.flatnonzero(self.spaced[ids]) if kind == 0 else np.flatnonzero(ids == self.newline) + 1
+                if len(starts) != len(some):
+                    raise ValueError("the tokenizer doesn't part pre-tokens as expected")
+                ends = [*(starts[1:] - kind).tolist(), len(ids)]
+                raw = ids.tobytes()
+                found |= {w: raw[4 * a : 4 * b] for w, a, b in zip(some, starts.tolist(), ends, strict=True)}
+        return [found[w] for w in words]
 
 
 class Encoder:
@@ -72,46 +100,53 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
-        spec = json.loads(self.tokenizer.to_str())
-        pre = spec.get("pre_tokenizer") or {}
-        self.by_word = spec.get("normalizer") is None and spec["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-        contents = [re.escape(t["content"]) for t in spec.get("added_tokens") or [] if t["content"] and (added or not t["special"])]
+        pre = self.tokenizer.pre_tokenizer
+        pre = json.loads(pre.__getstate__()) if pre is not None else {}
+        byte_level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        self.by_word = self.tokenizer.normalizer is None and type(self.tokenizer.model).__name__ == "BPE" and byte_level
+        known = self.tokenizer.get_added_tokens_decoder().values()
+        contents = [re.escape(t.content) for t in known if t.content and (added or not t.special)]
         self.added = re.compile("|".join(contents) or r"(?!)")
-        self.words = _Words(self.tokenizer)
+        self.words = _Words(self.tokenizer) if self.by_word else None
         letter, number = _ranges("L"), _ranges("N")
         self.pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
         self.uncovered = re.compile(f"[\x1c-\x1f{chr(COVERED)}-\U0010ffff]")  # Python counts four controls as white space, the library doesn't
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out: list = [b""] * len(texts)
-        split: dict[int, list[str]] = {}
+        out: list[list[bytes]] = [[] for _ in texts]
+        split: list[tuple[int, list[str]]] = []
+        size = 0
         for i, text in enumerate(texts):
             if not self.by_word or self.uncovered.search(text) or self.added.search(text):
-                out[i] = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            elif len(text) > 4_000_000:
-                found, parts = (m.group() for m in self.pattern.finditer(text)), []
-                while some := list(itertools.islice(found, 100_000)):
-                    self.words.learn(list({*some} - self.words.keys()))
-                    parts.append(b"".join(map(self.words.__getitem__, some)))
-                out[i] = b"".join(parts)
-            else:
-                split[i] = self.pattern.findall(text)
-        self.words.learn([w for w in set(itertools.chain.from_iterable(split.values())) if w not in self.words])
-        for i, words in split.items():
-            out[i] = b"".join(map(self.words.__getitem__, words))
-        return out
-
-
-@lru_cache(maxsize=2)
+                out[i].append(_packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
+                continue
+            for part in parts_of(text, gap=_GAP):
+                split.append((i, self.pattern.findall(part)))
+                size += len(part)
+                if size >= GROUP_CHARS:
+                    self._join(split, out)
+                    split, size = [], 0
+        self._join(split, out)
+        return [b"".join(x) for x in out]
+
+    def _join(self, split: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        """Add the ids of split texts to out."""
+        if split:
+            self.words.learn(itertools.chain.from_iterable(words for _, words in split))
+        for i, words in split:
+            out[i].append(b"".join(map(self.words.known.__getitem__, words)))
+
+
+@lru_cache(maxsize=1)
 def encoder(path: str | None = None, added: bool = False) -> Encoder:
     """The worker's encoder of a tokenizer file."""
     return Encoder(path or default_path(), added)
 
 
-def encoded(texts: list[str | None], path: str | None, end_id: int, at_once: int = 64, added: bool = False):
+def encoded(texts: pa.Array, path: str | None, end_id: int, at_once: int = 256, added: bool = False) -> Iterator[bytes]:
     """Yield the ids of each text with the end id, as little-endian unsigned 32-bit integers; null counts as empty."""
     coder, end = encoder(path, added), int(end_id).to_bytes(4, "little")
     for i in range(0, len(texts), at_once):
-        for ids in coder.encode([t or "" for t in texts[i : i + at_once]]):
+        for ids in coder.encode([t or "" for t in texts.slice(i, at_once).to_pylist()]):
             yield ids + end

@@ -18,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import sliced, written
 from .text_features import WordBuckets
 
 BUCKETS, CHOSEN, POSITIVES, UNLABELLED, PRIOR = 1 << 20, 1024, 6_000, 12_000, 0.1
@@ -96,31 +97,46 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
     others = first(docs.select(docs[id_column].alias("id")).filter(F.col("id").isNotNull() & allowed), unlabelled)
     id_type = docs.schema[id_column].dataType
     both = pd.DataFrame({"id": confirmed + others, "positive": [True] * len(confirmed) + [False] * len(others)})
-    sample = spark.createDataFrame(both, T.StructType([T.StructField("id", id_type), T.StructField("positive", T.BooleanType())]))
-    texts = written(docs.select(docs[id_column].alias("id"), docs[text_column].alias("text")).join(F.broadcast(sample), "id").select("text", "positive"), "toxicity-sample")
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buckets, sums = WordBuckets(BUCKETS), np.zeros((2, 2 * BUCKETS), np.int32)
-        for pdf in batches:
-            for text, positive in zip(pdf["text"], pdf["positive"], strict=True):
-                sums[int(positive), buckets.features(text or "")] += 1
+    wanted = spark.createDataFrame(both, T.StructType([T.StructField("id", id_type), T.StructField("positive", T.BooleanType())]))
+    rows = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text")).join(F.broadcast(wanted), "id").select("positive", "text")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = WordBuckets(BUCKETS)
+        for batch in batches:
+            for some in sliced(batch):
+                found = [np.array(sorted(buckets.features(t.as_py() or "")), "<i4").tobytes() for t in some.column(1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.binary())], names=["positive", "features"])
+
+    sample = written(rows.mapInArrow(read, "positive boolean, features binary"), "toxicity-sample")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, texts = np.zeros((2, 2 * BUCKETS), np.int32), np.zeros(2, np.int64)
+        for batch in batches:
+            for positive, features in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[int(positive), np.frombuffer(features.as_buffer(), "<i4")] += 1
+                texts[int(positive)] += 1
         used = np.flatnonzero(sums.any(axis=0))
-        yield pd.DataFrame({"bucket": used, "p": sums[1, used], "u": sums[0, used]})
+        columns = [np.append(used, -1), np.append(sums[1, used], texts[1]), np.append(sums[0, used], texts[0])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["feature", "p", "u"])
 
-    p, u = float(len(confirmed)), float(max(1, len(others)))
-    seen = texts.mapInPandas(count, "bucket bigint, p bigint, u bigint").groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    seen = written(sample.mapInArrow(count, "feature bigint, p bigint, u bigint").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u")), "toxicity-counts")
+    # Feature -1 counts the texts themselves: those that were found, each as often as it occurs.
+    texts = seen.filter("feature = -1").first()
+    p, u = (float(max(1, texts[c])) if texts else 1.0 for c in ("p", "u"))
     # The squared difference of the two rates in units of its variance.
     pooled = (F.col("p") + F.col("u") + 1) / (p + u)
     strength = F.pow(F.col("p") / p - F.col("u") / u, 2) / (pooled * (1 / p + 1 / u))
-    top = seen.withColumn("strength", strength).filter((F.col("strength") > STRENGTH) & (F.col("p") / p >= TIMES * F.col("u") / u)).orderBy(F.desc("strength"), "bucket").limit(CHOSEN).collect()
-    chosen = sorted(r["bucket"] for r in top)
+    clear = seen.filter("feature >= 0").withColumn("strength", strength).filter((F.col("strength") > STRENGTH) & (F.col("p") / p >= TIMES * F.col("u") / u))
+    chosen = sorted(r["feature"] for r in clear.orderBy(F.desc("strength"), "feature").limit(CHOSEN).collect())
 
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buckets = WordBuckets(BUCKETS, chosen)
-        for pdf in batches:
-            yield pd.DataFrame({"positive": pdf["positive"], "features": [sorted(buckets.features(t or "")) for t in pdf["text"]]})
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(2 * BUCKETS, -1, np.int32)
+        place[chosen] = np.arange(len(chosen), dtype=np.int32)
+        for batch in batches:
+            kept = [place[np.frombuffer(x.as_buffer(), "<i4")] for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[x >= 0] for x in kept], pa.list_(pa.int32()))], names=["positive", "features"])
 
-    rows = sorted(texts.mapInPandas(reduce, "positive boolean, features array<int>").collect())  # the same fit whatever their order
+    rows = sorted(sample.mapInArrow(reduce, "positive boolean, features array<int>").collect())  # the same fit whatever their order
     split = {known: Rows.of([list(r["features"]) for r in rows if r["positive"] == known]) for known in (True, False)}
     weights, bias = nnpu(split[True], split[False], len(chosen), prior) if split[False].n else (np.zeros(len(chosen)), 0.0)
     return Model(chosen, weights, bias)
@@ -130,10 +146,10 @@ def scorer(spark: SparkSession, model):
     """A function from a text Column to its score; the model, of bounded size, is broadcast, and every whole text is read."""
     sent = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf(T.DoubleType())
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.DoubleType())
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series(sent.value.score(texts))
+            yield pa.array(sent.value.score(t for some in sliced(texts) for t in some.to_pylist()), pa.float64())
 
     return lambda text: scored(F.coalesce(text, F.lit("")))
 
