@@ -28,14 +28,15 @@ GROUP_PIECES = 20_000
 
 
 def cut(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str | None = None, id_column="doc_id", text_column="text", added: bool = False) -> DataFrame:
-    """Pieces of the documents' ids: id, start, length, doc_tokens and ids (little-endian unsigned 32-bit); all but a document's last are full."""
+    """Pieces of the documents' ids: id, row (a number of the row, as rows may share an id), start, length, doc_tokens and ids (little-endian
+    unsigned 32-bit); all but a document's last are full. A very long text's ids are held at once, and handed on a few megabytes at a time."""
     id_type = docs.schema[id_column].dataType
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column(0)
+            names = (batch.column(0), batch.column(2))
             which, starts, lengths, totals, parts, held = [], [], [], [], [], 0
-            for row, ids in enumerate(tokens.encoded(batch.column(1).to_pylist(), tokenizer, end_id, added=added)):
+            for row, ids in enumerate(tokens.encoded(batch.column(1), tokenizer, end_id, added=added)):
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
                     part = ids[4 * start : 4 * (start + capacity)]
@@ -48,10 +49,11 @@ def cut(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str |
 
     def made(names, which, starts, lengths, totals, parts):
         longs = [pa.array(x, pa.int64()) for x in (starts, lengths, totals)]
-        return pa.RecordBatch.from_arrays([names.take(pa.array(which, pa.int64())), *longs, pa.array(parts, pa.binary())], names=[id_column, "start", "length", "doc_tokens", "ids"])
+        of = [x.take(pa.array(which, pa.int64())) for x in names]
+        return pa.RecordBatch.from_arrays([*of, *longs, pa.array(parts, pa.binary())], names=[id_column, "row", "start", "length", "doc_tokens", "ids"])
 
-    schema = T.StructType([T.StructField(id_column, id_type), *[T.StructField(c, T.LongType()) for c in ("start", "length", "doc_tokens")], T.StructField("ids", T.BinaryType())])
-    return docs.select(id_column, text_column).mapInArrow(pieces, schema)
+    schema = T.StructType([T.StructField(id_column, id_type), *[T.StructField(c, T.LongType()) for c in ("row", "start", "length", "doc_tokens")], T.StructField("ids", T.BinaryType())])
+    return docs.select(docs[id_column], docs[text_column], F.monotonically_increasing_id()).mapInArrow(pieces, schema)
 
 
 def fill(lengths: list[int], counts: dict[int, int], gap: int) -> list[tuple[int, int]]:
