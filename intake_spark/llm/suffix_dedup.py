@@ -3,18 +3,21 @@
 A corpus-wide suffix array would order every suffix in one place. Only whether a window of `width` bytes starts elsewhere is asked,
 so suffixes are dealt out first: each window belongs to the place in it with the smallest hash of GRAM bytes (the leftmost, if tied), which
 depends on the window's bytes alone. Windows in a row that share a place form a segment; equal windows meet under the hash of their place.
-Equal segments are counted, and those counted twice are repeated as a whole. Where different segments meet under a place,
-one copy of each goes into a suffix array with the others of its task, a few megabytes at a time:
+Places that occur once are left out. Equal segments of the others are counted, and those counted twice are repeated as a whole (they are told apart
+by 64-bit hashes next to that of the place). Where different segments meet under a place, one copy of each goes into a suffix
+array with the others of its task, a few megabytes at a time:
 
-- stage one sorts directly only the suffixes that are smaller than their successors, 8 bytes at a time up to width;
+- stage one sorts directly only the suffixes that are smaller than their successors;
 - stage two scans the buckets of first bytes in order and induces each remaining suffix from its successor;
 - common prefixes of neighbours then tell which windows are repeated.
 
-Under a place with over HOT segments, windows are spread by their own hash instead and counted. Equal segments and those windows
-are told apart by 64-bit hashes next to that of their place.
+A place that many texts share (the edge of a common passage) would hold segments without bound. The segments of a place with over CROWD
+of them are cut again, by the smallest hash of a longer run of bytes, and so on up to runs of a whole window; whatever the step, equal windows meet
+and arrays decide where different segments do. No step gathers a place in one task to count it.
 
 Nulls: a null text counts as empty, a null id is kept. Repeated rows are occurrences of their own. Texts under width bytes lose nothing.
-Empty input gives an empty result. Other columns take no part.
+Very long texts are cut in runs of BUFFER bytes that overlap by a window; Spark's limit of 2 GB a text holds. Empty input gives an empty
+result. Other columns take no part.
 """
 
 from __future__ import annotations
@@ -24,22 +27,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import text_of, written
 
-WIDTH, GRAM, HOT = 200, 32, 8192
+WIDTH, GRAM, CROWD = 200, 104, 512
 BUFFER, ARRAY_BYTES, BATCH_BYTES = 512 << 10, 2 << 20, 8_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-SEGMENT = "anchor bigint, seg bigint, shape int, k bigint, n int, lo int, times bigint"
+SEGMENT = "anchor bigint, seg bigint, shape int, k bigint, n int, lo int"
+SPAN = "k bigint, n int, start int, end int"
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A random number for each byte, powers of the multiplier, and of its inverse modulo 2^64."""
-    size = 2 * BUFFER + 4096
+def _tables(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random number for each byte, and `size` powers of the multiplier, and of its inverse modulo 2^64."""
     power = lambda base: np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, base, np.uint64))])
     symbols = np.random.default_rng(12).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return symbols, power(np.uint64(MULTIPLIER)), power(np.uint64(pow(MULTIPLIER, -1, 1 << 64)))
@@ -54,7 +57,7 @@ class Hashes:
     """Hashes of any substrings of a buffer, from one running sum."""
 
     def __init__(self, data: np.ndarray):
-        symbols, powers, self.inverse = _tables()
+        symbols, powers, self.inverse = _tables(max(4 * BUFFER, 1 << len(data).bit_length()))
         self.sums = np.concatenate([[np.uint64(0)], np.cumsum(symbols[data] * powers[: len(data)])])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -102,36 +105,48 @@ def cut_segments(parts: list[tuple[int, int, np.ndarray]], width: int, gram: int
     return np.array([p[0] for p in parts])[of], lo - begin + base, windows, at - lo, anchor, seg
 
 
-def _segments(width: int, gram: int, combine: bool):
-    """Arrow function from (text, k, n) to segments; combine: equal ones of a batch become one with their number."""
+def _cuts(batch: pa.RecordBatch, width: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """cut_segments over the first column of a batch, about BUFFER bytes at a time; the document is the row of the batch."""
+    parts, size = [], 0
+    for i, text in enumerate(batch.column(0)):
+        data = np.frombuffer(text.as_buffer(), np.uint8)
+        for at in range(0, max(1, len(data) - width + 1), BUFFER):
+            parts.append((i, at, data[at : at + BUFFER + width - 1]))
+            size += len(parts[-1][2])
+            if size >= BUFFER:
+                yield cut_segments(parts, width, gram)
+                parts, size = [], 0
+    if parts:
+        yield cut_segments(parts, width, gram)
+
+
+def _segments(width: int, gram: int, only_places: bool):
+    """Arrow function from (text, k, n) to SEGMENT (shape: windows and, in the low 16 bits, the offset of the place); only_places: to the places (anchor)
+    and how often they occur, equal ones of a cut together."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, n = batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64)
-            parts, size, found = [], 0, []
-            for i, text in enumerate(batch.column(0)):
-                data = np.frombuffer(text.as_buffer(), np.uint8)
-                for at in range(0, max(1, len(data) - width + 1), BUFFER):
-                    parts.append((i, at, data[at : at + BUFFER + width - 1]))
-                    size += len(parts[-1][2])
-                    if size >= BUFFER:
-                        found.append(cut_segments(parts, width, gram))
-                        parts, size = [], 0
-            if parts:
-                found.append(cut_segments(parts, width, gram))
-            if found:
-                yield table(k, n, *[np.concatenate(c) for c in zip(*found, strict=True)])
-
-    def table(k, n, doc, lo, windows, offset, anchor, seg):
-        shape, times = windows * 65536 + offset, np.ones(len(doc), np.int64)
-        if combine:
-            order = np.lexsort((shape, seg, anchor))
-            doc, lo, shape, anchor, seg = doc[order], lo[order], shape[order], anchor[order], seg[order]
-            new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (seg[1:] != seg[:-1]) | (shape[1:] != shape[:-1])]) if len(doc) else np.zeros(0, bool)
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(doc)))
-            doc, lo, shape, anchor, seg = doc[first], lo[first], shape[first], anchor[first], seg[first]
-        columns = [anchor, seg, shape.astype(np.int32), k[doc] if len(doc) else doc, n[doc].astype(np.int32) if len(doc) else doc.astype(np.int32), lo.astype(np.int32), times.astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "seg", "shape", "k", "n", "lo", "times"])
+            k, n = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for doc, lo, windows, offset, anchor, seg in _cuts(batch, width, gram):
+                if only_places:
+                    anchors, times = np.unique(anchor, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(times, pa.int64())], names=["anchor", "times"])
+                    continue
+                columns = [anchor, seg, (windows * 65536 + offset).astype(np.int32), k[doc], n[doc].astype(np.int32), lo.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "seg", "shape", "k", "n", "lo"])
+
+    return each
+
+
+def _cut_again(width: int, gram: int):
+    """Arrow function from (data, k, n, lo, times), segments of a crowded place, to smaller segments: SEGMENT, times and data."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = batch.column(0)
+            k, n, base, times = (batch.column(i).to_numpy() for i in range(1, 5))
+            for piece, lo, windows, offset, anchor, seg in _cuts(batch, width, gram):
+                own = [data[p].as_buffer()[a : a + w + width - 1].to_pybytes() for p, a, w in zip(piece.tolist(), lo.tolist(), windows.tolist(), strict=True)]
+                columns = [anchor, seg, (windows * 65536 + offset).astype(np.int32), k[piece], n[piece], (base[piece] + lo).astype(np.int32), times[piece]]
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.array(own, pa.binary())], names=["anchor", "seg", "shape", "k", "n", "lo", "times", "data"])
 
     return each
 
@@ -144,26 +159,40 @@ def _words(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
 
 
 def sort_directly(data: np.ndarray, at: np.ndarray, left: np.ndarray, width: int) -> np.ndarray:
-    """Order of the suffixes at `at` by their first width bytes; `left` bytes remain in each. An ended suffix is smaller."""
-    left = np.minimum(left, width)
-    order, group, active = np.arange(len(at)), np.zeros(len(at), np.int64), np.arange(len(at))
-    for come in range(0, width, 8):
-        if not len(active):
-            break
-        rows = order[active]
-        words = _words(data, at[rows] + come, left[rows] - come)
-        by = np.lexsort((words, group[active]))
-        order[active] = rows[by]
-        words, groups = words[by], group[active][by]
-        new = np.concatenate([[True], (words[1:] != words[:-1]) | (groups[1:] != groups[:-1])])
-        # A group is numbered by where it starts, so numbers stay in order.
-        group[active] = np.maximum.accumulate(np.where(new, active, 0))
-        tied = ~new
-        tied[:-1] |= ~new[1:]
-        active = active[tied]
-    if len(active):
+    """Order of the suffixes at `at` by their first width bytes; `left` bytes remain in each. An ended suffix is smaller.
+
+    A group of suffixes that agree so far goes on where they differ: blocks that have the same hash in all of them are passed over, then 8 bytes
+    are sorted by. A group is done when all of it has the same hash of what counts; equal suffixes need no order.
+    """
+    hashes, left = Hashes(data), np.minimum(left, width)
+    order, active = np.arange(len(at)), np.arange(len(at))
+    starts, depth = np.zeros(min(1, len(at)), np.int64), np.zeros(len(at), np.int64)
+
+    def block(rows: np.ndarray, a: np.ndarray, size: int) -> np.ndarray:
+        """Identity of up to `size` bytes from a on."""
+        end = np.minimum(a + size, left[rows])
+        a = np.minimum(a, end)
+        return hashes.of(at[rows] + a, at[rows] + end) ^ (end - a).astype(np.uint64) * np.uint64(MULTIPLIER)
+
+    def alike(values: np.ndarray) -> np.ndarray:
+        """Whether all of a group are the same, for each of the group."""
+        return np.repeat(np.minimum.reduceat(values, starts) == np.maximum.reduceat(values, starts), np.diff(np.append(starts, len(values))))
+
+    while len(active):
         rows = order[active]
-        order[active] = rows[np.lexsort((left[rows], group[active]))]
+        for size in (64, 16) if len(starts) > 1 else ():
+            depth += np.where(alike(block(rows, depth, size)), size, 0)
+        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(active))))
+        rest = np.clip(left[rows] - depth, 0, 8)
+        words = _words(data, at[rows] + np.minimum(depth, left[rows]), rest)
+        by = np.lexsort((rest, words, group))
+        order[active] = rows = rows[by]
+        words, rest, depth = words[by], rest[by], depth[by] + 8
+        new = np.concatenate([[True], (words[1:] != words[:-1]) | (rest[1:] != rest[:-1]) | (group[1:] != group[:-1])])
+        starts = np.flatnonzero(new)
+        more = ~alike(block(rows, np.zeros(len(rows), np.int64), width))
+        active, depth, new = active[more], depth[more], new[more]
+        starts = np.flatnonzero(new)
     return order
 
 
@@ -263,49 +292,57 @@ def _array_spans(width: int):
     return each
 
 
-def _window_hashes(width: int):
-    """Arrow function from (anchor, k, n, lo, data) to a row for each window."""
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                h = Hashes(np.frombuffer(r["data"], np.uint8)).all(width).view(np.int64)
-                same = lambda x, kind: pa.array(np.full(len(h), x), kind)  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays(
-                    [same(r["anchor"], pa.int64()), pa.array(h), same(r["k"], pa.int64()), same(r["n"], pa.int32()), pa.array(np.arange(len(h), dtype=np.int32) + r["lo"], pa.int32()), same(r["times"], pa.int64())],
-                    names=["anchor", "win", "k", "n", "start", "times"],
-                )
+def _end(width: int):
+    """Where a segment ends in its text."""
+    return F.col("lo") + F.floor(F.col("shape") / 65536).cast("int") + (width - 1)
 
-    return each
 
+def _met(kinds: DataFrame) -> DataFrame:
+    """Stored kinds of segments (anchor, seg, shape, times, ...) that are repeated or meet others, with how many meet at the place and how many of those
+    occur once. Places are counted with map-side sums and joined, so that a crowded one is nobody's alone."""
+    places = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("times") == 1).alias("once"))
+    return kinds.join(places, "anchor").filter("times > 1 OR kinds > 1")
 
-def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """texts (text, k, n: bytes) to spans (k, n, start, end) in bytes; together they cover what is repeated."""
-    long = texts.filter(F.col("n") >= width).select("text", "k", "n")
-    place = Window.partitionBy("anchor")
-    counted = (
-        long.mapInArrow(_segments(width, gram, True), SEGMENT).repartition("anchor")
-        .groupBy("anchor", "seg", "shape").agg(F.sum("times").alias("times"), F.min(F.struct("k", "n", "lo")).alias("rep"))
-        .withColumns({"kinds": F.count("*").over(place), "once": F.count_if(F.col("times") == 1).over(place)})
-    )
-    live = written(counted.filter("times > 1 OR kinds > 1"), "segments")
-    whole = live.filter("times > 1").select("anchor", "seg", "shape")
-    end = F.col("lo") + F.floor(F.col("shape") / 65536).cast("int") + (width - 1)
-    spans = long.mapInArrow(_segments(width, gram, False), SEGMENT).drop("times").join(whole, ["anchor", "seg", "shape"], "left_semi").select("k", "n", F.col("lo").alias("start"), end.alias("end"))
-
-    wanted = live.filter("kinds > 1 AND once > 0").select("rep.*", "anchor", "seg", "shape", "times", (F.col("kinds") > hot).alias("hot"))
-    asked = wanted.groupBy("k", "n").agg(F.collect_list(F.struct("lo", "anchor", "seg", "shape", "times", "hot")).alias("asked"))
-    size = F.floor(F.col("x.shape") / 65536).cast("int") + (width - 1)
-    taken = long.join(asked, ["k", "n"]).select("k", "n", F.encode("text", "utf-8").alias("bytes"), F.explode("asked").alias("x"))
-    pieces = written(taken.select("x.*", "k", "n", F.expr("substring(bytes, x.lo + 1, CAST(x.shape DIV 65536 AS INT) + %d)" % (width - 1)).alias("data")), "pieces")
+
+def _solved(pieces: DataFrame, width: int) -> DataFrame:
+    """Spans of the repeated windows among pieces (SEGMENT, times, data) of places that are not crowded."""
     columns = ["anchor", "seg", "shape", "k", "n", "lo", "times", "data"]
-    cold = pieces.filter("NOT hot").select(columns).repartition("anchor").sortWithinPartitions("anchor", "seg", "shape")
-    spans = spans.unionByName(cold.mapInArrow(_array_spans(width), "k bigint, n int, start int, end int"))
-    windows = pieces.filter("hot").dropDuplicates(["anchor", "seg", "shape"]).select(columns).mapInArrow(_window_hashes(width), "anchor bigint, win bigint, k bigint, n int, start int, times bigint")
-    again = windows.groupBy("anchor", "win").agg(F.count("*").alias("c")).filter("c > 1")
-    return spans.unionByName(windows.filter("times = 1").join(again, ["anchor", "win"], "left_semi").select("k", "n", "start", (F.col("start") + width).alias("end")))
+    dealt = pieces.select(columns).repartition("anchor").sortWithinPartitions("anchor", "seg", "shape")
+    return dealt.mapInArrow(_array_spans(width), SPAN)
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT, id_column="doc_id", text_column="text") -> DataFrame:
+def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = CROWD) -> DataFrame:
+    """texts (text, k, n: bytes) to spans (k, n, start, end) in bytes; together they cover what is repeated. hot: segments that make a place crowded."""
+    key = ["anchor", "seg", "shape"]
+    long = texts.filter(F.col("n") >= width).select("text", "k", "n")
+    # Segments of places that occur more than once; the rest can't be repeated.
+    again = long.mapInArrow(_segments(width, gram, True), "anchor bigint, times bigint").groupBy("anchor").agg(F.sum("times").alias("times")).filter("times > 1").select("anchor")
+    segments = written(long.mapInArrow(_segments(width, gram, False), SEGMENT).join(again, "anchor", "left_semi"), "segments")
+    kinds = segments.groupBy(*key).agg(F.count("*").alias("times"), F.min(F.struct("k", "n", "lo")).alias("rep"))
+    live = written(_met(kinds), "kinds")
+    spans = segments.join(live.filter("times > 1").select(key), key, "left_semi").select("k", "n", F.col("lo").alias("start"), _end(width).alias("end"))
+
+    wanted = live.filter("kinds > 1 AND once > 0").select("rep.*", *key, "times", "kinds")
+    asked = wanted.groupBy("k", "n").agg(F.collect_list(F.struct("lo", *key, "times", "kinds")).alias("asked"))
+    taken = long.join(asked, ["k", "n"]).select("k", "n", F.encode("text", "utf-8").alias("bytes"), F.explode("asked").alias("x"))
+    data = F.expr("substring(bytes, x.lo + 1, CAST(x.shape DIV 65536 AS INT) + %d)" % (width - 1))
+    pieces = written(taken.select("x.*", "k", "n", data.alias("data")), "pieces")
+    spans = spans.unionByName(_solved(pieces.filter(F.col("kinds") <= hot), width))
+
+    crowded = pieces.filter(F.col("kinds") > hot)
+    while gram < width and not crowded.isEmpty():
+        gram = min(width, gram + max(8, (width - gram) // 2))
+        smaller = written(crowded.select("data", "k", "n", "lo", "times").mapInArrow(_cut_again(width, gram), SEGMENT + ", times bigint, data binary"), "smaller-segments")
+        kinds = smaller.groupBy(*key).agg(F.sum("times").alias("times"), F.min(F.struct("k", "n", "lo", "data")).alias("rep"))
+        live = written(_met(kinds), "kinds")
+        whole = smaller.filter("times = 1").join(live.filter("times > 1").select(key), key, "left_semi")
+        pieces = live.filter("kinds > 1 AND once > 0").select(*key, "rep.*", "times", "kinds")
+        spans = spans.unionByName(whole.select("k", "n", F.col("lo").alias("start"), _end(width).alias("end"))).unionByName(_solved(pieces.filter(F.col("kinds") <= hot), width))
+        crowded = pieces.filter(F.col("kinds") > hot)
+    return spans
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = CROWD, id_column="doc_id", text_column="text") -> DataFrame:
     """Per row of docs: id, n_bytes, n_removed, n_spans and kept (the remaining bytes)."""
     text = text_of(docs, text_column)
     keyed = docs.select(docs[id_column].alias("id"), text.alias("text"), F.xxhash64(docs[id_column], text).alias("k"), F.octet_length(text).cast("int").alias("n"))
@@ -337,5 +374,3 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: i
 
     schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType())])
     return keyed.join(spans, ["k", "n"], "left").select("id", "text", "spans").mapInArrow(cut, schema)
-
-
