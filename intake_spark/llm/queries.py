@@ -62,8 +62,8 @@ def op9_pack_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mixing.plan_mix(_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), epochs=1.5, cap=2.0)
-    return planned.select("doc_id", "size", "source_size", "target", "taken")
+    planned = mixing.taken_by_shard(_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), epochs=1.5, cap=2.0)
+    return planned.select("doc_id", "size", "source_size", "target", "taken", "shards", "positions")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,10 +94,10 @@ SQL = {
         FROM g
     """,
     "op7_mix_sources": r"""
-        WITH d AS (
+        WITH RECURSIVE d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('mix:' || doc_id) AS k FROM documents
         ), s AS (
-            SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w FROM d GROUP BY source
+            SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n, row_number() OVER (ORDER BY source NULLS LAST) AS no, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w FROM d GROUP BY source
         ), c AS (
             SELECT *, source_size * 2.0::DOUBLE AS cap,
                    coalesce(sum(source_size * 2.0::DOUBLE) OVER (ORDER BY source_size * 2.0::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
@@ -107,15 +107,48 @@ SQL = {
         ), t AS (
             SELECT *, min(CASE WHEN (total - before) / rest * w <= cap THEN before END) OVER () AS b FROM c
         ), u AS (
-            SELECT source, source_size, least(cap, w * max(CASE WHEN before = b AND (total - before) / rest * w <= cap THEN (total - before) / rest END) OVER ()) AS target FROM t
+            SELECT source, source_size, no, greatest(1, ceil(n / 4096), least(n, 32)) AS nb, least(cap, w * max(CASE WHEN before = b AND (total - before) / rest * w <= cap THEN (total - before) / rest END) OVER ()) AS target FROM t
         ), p AS (
-            SELECT d.*, u.source_size, u.target, round(u.target)::BIGINT AS goal,
+            SELECT d.*, u.no, u.source_size, u.target, round(u.target)::BIGINT AS goal, floor(('0x' || substr(k, 1, 8))::BIGINT / 4294967296.0::DOUBLE * nb)::BIGINT AS block,
                    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS come
             FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source
+        ), b AS (  -- blocks, how often they are taken, and in which order of their source
+            SELECT no, block, any_value(goal) AS goal, any_value(source_size) AS source_size, sum(size) AS words, min(come) AS come FROM p GROUP BY 1, 2
+        ), tk AS (
+            SELECT no, block, e AS epoch, greatest(0, least(words, goal - e * source_size - come)) AS words FROM b, range(0, 3) t(e)
+        ), rk AS (
+            SELECT *, row_number() OVER (PARTITION BY no ORDER BY md5('mix:' || no || ':' || epoch || ':' || block), epoch, block) AS place FROM tk WHERE words > 0
+        ), qs AS (
+            SELECT list(no ORDER BY no) AS nos, list(quota ORDER BY no) AS ks FROM (SELECT no, count(*) AS quota FROM rk GROUP BY 1)
+        ), tree AS (  -- a node draws source by source (i) how many of its n blocks to the left are of the source; then it gives way to two nodes
+            SELECT 0 AS lo, greatest(16, (SELECT ceil(sum(target) / 8000000) FROM u))::BIGINT AS hi, 0 AS i, 0::BIGINT AS total, 0::BIGINT AS n, ks, []::BIGINT[] AS lefts FROM qs
+            UNION ALL
+            SELECT x.lo, x.hi, x.i, x.total, x.n, x.ks, x.lefts FROM (
+                SELECT unnest(CASE
+                    WHEN i = 0 THEN [{'lo': lo, 'hi': hi, 'i': 1, 'total': list_sum(ks)::BIGINT, 'n': (list_sum(ks)::BIGINT * ((lo + hi) // 2 - lo)) // (hi - lo), 'ks': ks, 'lefts': lefts}]
+                    WHEN i <= len(ks) THEN [{'lo': lo, 'hi': hi, 'i': i + 1, 'total': total - ks[i], 'n': n - drawn, 'ks': ks, 'lefts': list_append(lefts, drawn)}]
+                    ELSE [{'lo': lo, 'hi': (lo + hi) // 2, 'i': 0, 'total': 0::BIGINT, 'n': 0::BIGINT, 'ks': lefts, 'lefts': []::BIGINT[]},
+                          {'lo': (lo + hi) // 2, 'hi': hi, 'i': 0, 'total': 0::BIGINT, 'n': 0::BIGINT, 'ks': list_transform(ks, lambda k, j: k - lefts[j]), 'lefts': []::BIGINT[]}] END) AS x
+                FROM (
+                    SELECT *, low + len(list_filter(range(1, len(chances) + 1), lambda j: list_sum(chances[1:j]) < chance)) AS drawn FROM (
+                        SELECT *, (('0x' || substr(md5('mix:' || lo || ':' || hi || ':' || (i - 1)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS chance,
+                            list_transform(range(low, least(good, n) + 1), lambda x: exp(lgamma(good + 1) - lgamma(x + 1) - lgamma(good - x + 1) + lgamma(total - good + 1) - lgamma(n - x + 1)
+                                - lgamma(total - good - n + x + 1) - lgamma(total + 1) + lgamma(n + 1) + lgamma(total - n + 1))) AS chances
+                        FROM (SELECT *, greatest(0, n - total + good) AS low FROM (SELECT *, CASE WHEN i BETWEEN 1 AND len(ks) THEN ks[i] ELSE 0 END AS good FROM tree WHERE hi - lo > 1)))))
+        ), lv AS (
+            SELECT lo AS shard, unnest((SELECT nos FROM qs)) AS no, unnest(ks) AS blocks FROM tree WHERE hi - lo = 1 AND i = 0
+        ), dr AS (
+            SELECT *, sum(blocks) OVER (PARTITION BY no ORDER BY shard) AS upto FROM lv
+        ), lies AS (  -- what each draw takes of each document, and where it lies in the shard
+            SELECT doc_id, rk.epoch, dr.shard, row_number() OVER (PARTITION BY dr.shard ORDER BY md5('mix:' || rk.epoch || ':' || doc_id), rk.epoch) AS position
+            FROM p JOIN rk USING (no, block) JOIN b USING (no, block) JOIN dr ON dr.no = p.no AND rk.place > dr.upto - dr.blocks AND rk.place <= dr.upto WHERE least(size, rk.words - (p.come - b.come)) > 0
+        ), sh AS (
+            SELECT doc_id, string_agg(shard, ',' ORDER BY epoch) AS shards, string_agg(position, ',' ORDER BY epoch) AS positions FROM lies GROUP BY 1
         )
         SELECT doc_id, size::BIGINT AS size, source_size, target,
-               (greatest(0, least(size, goal - come)) + greatest(0, least(size, goal - source_size - come)) + greatest(0, least(size, goal - 2 * source_size - come)))::BIGINT AS taken
-        FROM p
+               (greatest(0, least(size, goal - come)) + greatest(0, least(size, goal - source_size - come)) + greatest(0, least(size, goal - 2 * source_size - come)))::BIGINT AS taken,
+               coalesce(shards, '') AS shards, coalesce(positions, '') AS positions
+        FROM p LEFT JOIN sh USING (doc_id)
     """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
