@@ -1,12 +1,13 @@
 """Exact duplicates by sorting content: range partitions from sampled splitters, an external sort inside each, equal neighbours compared in full.
 
 Splitters are taken over (64 leading characters, 64-bit hash, salt), so that the sample the driver sees is small
-however long the texts are; the full text follows in the sort and in the comparison. Texts that hold more than one
-row in a thousand (and over HOT_ROWS) are found first by counting digests with map-side sums: at most a thousand of them
-can exist, so they are broadcast, and their rows are salted over SALTS sort groups whose results are merged.
+however long the texts are; the full text follows in the sort and in the comparison. Texts with more than one row
+in a thousand (and over HOT_ROWS) would crowd one partition. They are found in a sample of SAMPLE_ROWS rows, at most about a thousand of them can exist,
+and their rows are salted over as many sort groups as hold PART_ROWS each. Every group is sorted and its neighbours compared like any other;
+what the groups of one text find (how many, and which id is best) is then put together.
 
 Nulls: a null text counts as empty; a null id ranks below all others. Ties: of rows with equal id and text exactly one stays.
-Empty input gives an empty result. Columns other than the two named are carried through whatever their names.
+Empty input gives an empty result. Columns other than the two named are carried through whatever their names. Texts of any length are compared whole.
 """
 
 from __future__ import annotations
@@ -14,19 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import text_of, written
 
-HOT_ROWS, HOT_SHARE, SALTS = 1024, 1000, 32
+HOT_ROWS, HOT_SHARE, PART_ROWS, SAMPLE_ROWS = 1024, 1000, 1 << 16, 1 << 18
 
 
-def hot_texts(keyed: DataFrame, rows: int, largest: bool) -> DataFrame:
-    """Digest, size and best (id, salt) of each text with more than max(HOT_ROWS, rows / HOT_SHARE) rows; at most HOT_SHARE of them."""
-    best = F.max if largest else F.min
-    return (
-        keyed.groupBy("_sha")
-        .agg(F.count("*").alias("_hot_n"), best(F.struct("_none", "_id", "_salt")).alias("_hot_best"))
-        .filter(F.col("_hot_n") > max(HOT_ROWS, rows // HOT_SHARE))
-    )
+def hot_texts(keyed: DataFrame, rows: int) -> DataFrame:
+    """The stored table of (_head, _hash) of texts with more than max(HOT_ROWS, rows / HOT_SHARE) rows, by a sample, and over how many groups to salt them."""
+    share = min(1.0, SAMPLE_ROWS / max(1, rows))
+    some = keyed.select("_head", "_hash") if share == 1 else keyed.select("_head", "_hash").sample(share, 1)
+    about = F.col("count") / F.lit(share)
+    hot = some.groupBy("_head", "_hash").count().filter(about > max(HOT_ROWS, rows / HOT_SHARE))
+    return written(hot.select("_head", "_hash", F.greatest(F.lit(4), F.ceil(about / PART_ROWS)).cast("int").alias("_salts")), "hot-texts")
 
 
 def content_sort(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest", normalise=None) -> DataFrame:
@@ -43,16 +43,10 @@ def content_sort(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         (normalise(text) if normalise else text).alias("_key"),
         id_.alias("_id"),
         (id_.isNotNull() if largest else id_.isNull()).alias("_none"),
-    ).withColumns({
-        "_sha": F.sha2("_key", 256),
-        "_salt": F.pmod(F.hash("_id"), F.lit(SALTS)),
-    })
-    hot = hot_texts(keyed, docs.count(), largest)
-    salted = keyed.join(F.broadcast(hot), "_sha", "left").withColumns({
-        "_part": F.when(F.col("_hot_n").isNotNull(), F.col("_salt")).otherwise(F.lit(-1)),
-        "_head": F.substring("_key", 1, 64),
-        "_hash": F.xxhash64("_key"),
-    })
+    ).withColumns({"_head": F.substring("_key", 1, 64), "_hash": F.xxhash64("_key")})
+    hot = hot_texts(keyed, docs.count())
+    salt = F.pmod(F.hash("_id", "_row"), F.col("_salts"))
+    salted = keyed.join(F.broadcast(hot), ["_head", "_hash"], "left").withColumn("_part", F.coalesce(salt, F.lit(-1)))
     place = ["_head", "_hash", "_part"]
     group = Window.partitionBy(*place, "_key")
     order = group.orderBy(F.col("_none").desc() if largest else F.col("_none"), F.col("_id").desc() if largest else F.col("_id"))
@@ -60,15 +54,19 @@ def content_sort(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "_rank": F.row_number().over(order),
         "_best": F.first("_id").over(order),
         "_n": F.count("*").over(group),
-    })
-    is_hot = F.col("_hot_n").isNotNull()
+    }).withColumn("_sha", F.sha2("_key", 256))
+    total, best, first = F.col("_n"), F.col("_best"), F.col("_rank") == 1
+    if not hot.isEmpty():
+        parts = written(ranked.filter("_part >= 0").filter("_rank = 1").select("_sha", "_n", F.struct("_none", "_best", "_part").alias("_top")), "hot-parts")
+        whole = parts.groupBy("_sha").agg(F.sum("_n").alias("_hot_n"), (F.max if largest else F.min)("_top").alias("_hot"))
+        ranked = ranked.join(F.broadcast(whole), "_sha", "left")
+        salted_ = F.col("_part") >= 0
+        total, best = F.when(salted_, F.col("_hot_n")).otherwise(total), F.when(salted_, F.col("_hot._best")).otherwise(best)
+        first = first & (~salted_ | (F.col("_hot._part") == F.col("_part")))
     text_back = F.when(F.col("_null"), F.lit(None)).otherwise(F.col("_key")) if normalise is None else F.col("_text")
     return ranked.select(
         F.struct(*[(text_back if c == text_column else F.col("_row")[c]).alias(c) for c in docs.columns]).alias("row"),
-        F.when(is_hot, F.col("_hot_best._id")).otherwise(F.col("_best")).alias("keep_id"),
-        F.when(is_hot, F.col("_hot_n")).otherwise(F.col("_n")).alias("group_size"),
-        ((F.col("_rank") == 1) & (~is_hot | (F.col("_hot_best._salt") == F.col("_salt")))).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
+        best.alias("keep_id"), total.alias("group_size"), first.alias("kept"), F.col("_sha").alias("text_sha256"),
     )
 
 
