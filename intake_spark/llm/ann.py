@@ -1,10 +1,11 @@
 """Nearest neighbours by a permutation index.
 
-Every vector is represented by its PREFIX nearest pivots in order. In each index block those orders are posted in inverted files,
-one per pivot, with (position, vector). A query adds up, over its own pivots' files, how much each posted vector's footrule distance
-drops below that of a vector that shares none of them; the candidates are the RERANK share of each block, and LEAST at least, with the
-smallest footrule distance (ties included), ranked again by exact Euclidean distance in double precision. Pivots are a bounded sample: the PIVOTS vectors
-with the smallest hash of their id. Every vector is indexed; queries are dealt in blocks over all index blocks.
+Every vector is represented by its pivots in order of nearness, and posted in the inverted files of its POSTED nearest ones, with its order
+and itself. A query visits the files of its own nearest pivots: a SHARE of all, and more where those hold under LEAST_VISITED
+postings. In each file, what is posted is ranked by the footrule distance of the first PREFIX places of the two orders; the RERANK share with
+the smallest, and LEAST at least (ties included), is ranked again by exact Euclidean distance in double precision. A vector that a query meets in
+several files is looked at in the first of them only. So work goes with the length of the files that are visited. Pivots are a
+bounded sample: the PIVOTS vectors with the smallest hash of their id. Every vector is indexed; long files are dealt in chunks, and so are their visitors.
 
 Takes no part: vectors that are null, empty or zero, that hold a null or non-finite component, whose id is null, or whose length differs
 from the most frequent one (ties to the larger). Of rows with the same id the smallest vector counts. Ties go to the smaller id. Other columns take no part.
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-PIVOTS, PREFIX, RERANK, LEAST = 128, 64, 0.2, 256
+PIVOTS, PREFIX, POSTED, SHARE, RERANK, LEAST, LEAST_VISITED = 128, 64, 2, 0.5, 0.3, 32, 512
 BLOCK_VECTORS, BLOCK_QUERIES = 8192, 2048
+POSTING = "pivot int, position int, vec_id bigint, nearest binary, vector binary"
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -39,27 +41,27 @@ def orders(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(far, axis=1, kind="stable")[:, :prefix].astype(np.uint16)
 
 
-def index(vectors: DataFrame, id_column="vec_id", vector_column="embedding", pivots: int = PIVOTS, prefix: int = PREFIX) -> DataFrame:
-    """The stored index: vec_id, block, nearest (pivot numbers, 2 bytes each) and vector (doubles), as binary."""
+def index(vectors: DataFrame, id_column="vec_id", vector_column="embedding", pivots: int = PIVOTS, posted: int = POSTED) -> DataFrame:
+    """The stored posting files: pivot, position of the pivot in the vector's order (below `posted`), vec_id, nearest (all pivots in order, 2 bytes
+    each) and vector (doubles), as binary."""
     rows = vectors.select(vectors[id_column].cast("long").alias("vec_id"), vectors[vector_column].cast("array<double>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     sizes = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n"))
-    facts = sizes.agg(F.sum("n").alias("n"), F.max(F.struct("n", "width")).getField("width").alias("width")).first()
-    width, blocks = facts["width"] or 1, max(1, -(-(facts["n"] or 0) // BLOCK_VECTORS))
-    rows = rows.filter(F.size("vector") == width)
+    width = sizes.agg(F.max(F.struct("n", "width")).getField("width").alias("width")).first()["width"] or 1
+    rows = written(rows.filter(F.size("vector") == width).groupBy("vec_id").agg(F.min("vector").alias("vector")), "ann-vectors")
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
     centres = np.array([r["vector"] for r in chosen], np.float64).reshape(-1, width)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            near = orders(x, centres, prefix)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r.tobytes() for r in near], pa.binary()), pa.array([r.tobytes() for r in x], pa.binary())], names=["vec_id", "nearest", "vector"]
-            )
+            near = orders(x, centres, len(centres))
+            both = pa.array([r.tobytes() for r in near], pa.binary()), pa.array([r.tobytes() for r in x], pa.binary())
+            for at in range(min(posted, len(centres))):
+                files = pa.array(near[:, at].astype(np.int32)), pa.array(np.full(len(x), at, np.int32))
+                yield pa.RecordBatch.from_arrays([*files, batch.column(0), *both], names=["pivot", "position", "vec_id", "nearest", "vector"])
 
-    placed = rows.mapInArrow(place, "vec_id bigint, nearest binary, vector binary")
-    return written(placed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")), "ann-index")
+    return written(rows.mapInArrow(place, POSTING), "ann-postings")
 
 
 class Postings:
@@ -87,28 +89,62 @@ def _matrix(column: pd.Series, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
 
 
-def search(indexed: DataFrame, queries: Column, k: int = 10, rerank: float = RERANK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each indexed vector for which `queries` holds, among all but itself."""
-    blocks = (indexed.agg(F.max("block")).first()[0] or 0) + 1
-    asked = indexed.filter(queries)
-    query_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
+def visits(asked: DataFrame, sizes: dict[int, int], share: float) -> DataFrame:
+    """asked (query_id, nearest, vector) with one row per file that the query visits: pivot, visit (its place among them) and visited (how many)."""
+    held = np.array([sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            files = []
+            for order in batch.column(1):
+                near = np.frombuffer(order.as_buffer(), np.uint16).astype(np.int32)
+                enough = int(np.searchsorted(np.cumsum(np.where(near < len(held), held[np.minimum(near, len(held) - 1)], 0)), LEAST_VISITED)) + 1
+                files.append(near[: max(int(np.ceil(share * len(near))), enough)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(files, pa.list_(pa.int32()))], names=["query_id", "nearest", "vector", "files"])
+
+    each_file = asked.mapInArrow(each, "query_id bigint, nearest binary, vector binary, files array<int>")
+    return each_file.select("query_id", "nearest", "vector", F.size("files").alias("visited"), F.posexplode("files").alias("visit", "pivot"))
+
+
+def search(indexed: DataFrame, queries: Column, k: int = 10, rerank: float = RERANK, share: float = SHARE, posted: int = POSTED) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found of each indexed vector for which `queries` holds, among all but itself.
+
+    share: of the posting files that a query visits; posted: as given to index.
+    """
+    by_file = lambda rows: {r["pivot"]: r["count"] for r in rows.groupBy("pivot").count().collect()}  # noqa: E731  a row per pivot
+    sizes = by_file(indexed)
+    asked = indexed.filter(queries).filter("position = 0").select(F.col("vec_id").alias("query_id"), "nearest", "vector")
+    sent = written(visits(asked, sizes, share), "ann-visits")
+    visitors = by_file(sent)
+    cut = lambda n, most: max(1, -(-n // most))
+    files = [(p, cut(n, BLOCK_VECTORS), cut(visitors.get(p, 0), BLOCK_QUERIES)) for p, n in sizes.items() if visitors.get(p)]
+    dealt = F.broadcast(indexed.sparkSession.createDataFrame(files, "pivot int, chunks int, blocks int"))
 
     def tile(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or asks.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        rows, asks = (t.sort_values(["vec_id", "vector"]).drop_duplicates("vec_id") for t in (rows, asks))
-        ids, x, posted = rows["vec_id"].to_numpy(), _matrix(rows["vector"], np.float64), Postings(_matrix(rows["nearest"], np.uint16))
-        size, out = min(len(ids), max(k + 1, LEAST, int(np.ceil(rerank * len(ids))))), []
-        for query, near, vector in zip(asks["vec_id"], _matrix(asks["nearest"], np.uint16), _matrix(asks["vector"], np.float64), strict=True):
-            far = posted.footrule(near)
-            some = np.flatnonzero((far <= np.partition(far, size - 1)[size - 1]) & (ids != query))
+        ids, x, near = rows["vec_id"].to_numpy(), _matrix(rows["vector"], np.float64), _matrix(rows["nearest"], np.uint16)
+        files, out = Postings(near[:, :PREFIX]), []
+        rank = np.full(near.shape[1], near.shape[1], np.int64)
+        for query, visit, visited, order, vector in zip(asks["query_id"], asks["visit"], asks["visited"], _matrix(asks["nearest"], np.uint16), _matrix(asks["vector"], np.float64), strict=True):
+            rank[:] = len(rank)
+            rank[order[:visited]] = np.arange(visited)
+            here = np.flatnonzero((rank[near[:, :posted]].min(axis=1) == visit) & (ids != query))
+            if not len(here):
+                continue
+            far = files.footrule(order[:PREFIX])[here]
+            size = min(len(here), max(k, LEAST, int(np.ceil(rerank * len(here)))))
+            some = here[far <= np.partition(far, size - 1)[size - 1]]
             score = np.sqrt(((x[some] - vector) ** 2).sum(axis=1))
             best = np.lexsort((ids[some], score))[:k]
             out.append(pd.DataFrame({"query_id": query, "vec_id": ids[some][best], "score": score[best]}))
-        return pd.concat(out)
-
-    stored = indexed.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    sent = asked.withColumn("query_block", F.pmod(F.xxhash64("vec_id", F.lit("q")), F.lit(query_blocks)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = stored.groupBy("block", "query_block").cogroup(sent.groupBy("block", "query_block")).applyInPandas(tile, FOUND)
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    key = ["pivot", "chunk", "block"]
+    stored = indexed.join(dealt, "pivot").withColumn("chunk", part("vec_id", "chunks")).withColumn("block", every("blocks")).select(*key, "vec_id", "nearest", "vector")
+    sent = sent.join(dealt, "pivot").withColumn("block", part("query_id", "blocks")).withColumn("chunk", every("chunks")).select(*key, "query_id", "visit", "visited", "nearest", "vector")
+    found = stored.groupBy(*key).cogroup(sent.groupBy(*key)).applyInPandas(tile, FOUND)
     rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
