@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import join_small, new_path, written
+from .common import new_path, written
 from .files import folder, new_name
 
 BLOCK_BYTES, SHARD_BYTES, RESTART, BLOOM_BITS, BLOOM_HASHES = 64 << 10, 64 << 20, 16, 10, 7
@@ -172,7 +172,7 @@ def write_shards(docs: DataFrame, end_id: int = 2, tokenizer: str | None = None,
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for doc_id, ids in zip(names, tokens.encoded(batch.column(1).to_pylist(), tokenizer, end_id, added=added), strict=True):
+            for doc_id, ids in zip(names, tokens.encoded(batch.column(1), tokenizer, end_id, added=added), strict=True):
                 if writer is None:
                     name = new_name(part, len(done), ".sst")
                     writer, ids_of[0] = ShardWriter(fs.open_output_stream(f"{root}/{name}"), wide), doc_id
@@ -219,13 +219,22 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
 
 def lookup(manifest: DataFrame, wanted: DataFrame, id_column="doc_id") -> DataFrame:
-    """Ids of the wanted documents: each goes to the shards whose key range holds it and is searched there; missing ones give no row."""
-    shards = manifest.count()
-    ranges = manifest.select("path", F.coalesce("first_id", F.lit(-(1 << 63))).alias("_first"), F.coalesce("last_id", F.lit(-(1 << 63))).alias("_last"))
-    asked = wanted.select(F.col(id_column).cast("long").alias("doc_id")).distinct()
-    if shards > 10_000:
-        raise ValueError(f"{shards} shards: the ranges are sent to every task, up to 10,000 of them")
-    routed = asked.join(F.broadcast(ranges), F.coalesce("doc_id", F.lit(-(1 << 63))).between(F.col("_first"), F.col("_last"))).select("path", "doc_id")
+    """Ids of the wanted documents: each goes to the shards whose key range holds it and is searched there; missing ones give no row.
+
+    The span of all keys is cut in as many strips as there are shards. As ranges are disjoint (but for repeated ids), shards lie in twice as many
+    strips together, and wanted ids meet them by an equal strip, however many of either there are. Null ids have a strip of their own.
+    """
+    facts = manifest.agg(F.count("*").alias("n"), F.min(F.least("first_id", "last_id")).alias("low"), F.max("last_id").alias("high")).first()
+    low = facts["low"] if facts["low"] is not None else 0
+    wide = max(1.0, (float(facts["high"] or 0) - float(low)) / max(1, facts["n"]))
+    strip = lambda c: F.greatest(F.lit(0), F.floor((c.cast("double") - F.lit(float(low))) / F.lit(wide))).cast("long")
+    first = F.coalesce("first_id", F.lit(low))  # a shard that begins with null ids holds the smallest others too
+    numbers = F.when(F.col("last_id").isNotNull(), F.sequence(strip(first), strip(F.col("last_id")))).otherwise(F.array().cast("array<bigint>"))
+    nulls = F.when(F.col("first_id").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    ranges = manifest.select("path", "first_id", "last_id", F.explode(F.concat(nulls, numbers)).alias("_strip"))
+    asked = wanted.select(F.col(id_column).cast("long").alias("doc_id")).distinct().withColumn("_strip", F.coalesce(F.when(F.col("doc_id").isNotNull(), strip(F.col("doc_id"))), F.lit(-1)))
+    inside = (F.col("_strip") == -1) | ((F.col("doc_id") <= F.col("last_id")) & (F.col("first_id").isNull() | (F.col("doc_id") >= F.col("first_id"))))
+    routed = asked.join(ranges, "_strip").filter(inside).select("path", "doc_id")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
