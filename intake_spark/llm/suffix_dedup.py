@@ -299,9 +299,9 @@ def _end(width: int):
 
 def _met(kinds: DataFrame) -> DataFrame:
     """Stored kinds of segments (anchor, seg, shape, times, ...) that are repeated or meet others, with how many meet at the place and how many of those
-    occur once. Places are counted with map-side sums and joined, so that a crowded one is nobody's alone."""
+    occur once. Places are counted with map-side sums and stored, so that Spark can split the join with a crowded one."""
     places = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("times") == 1).alias("once"))
-    return kinds.join(places, "anchor").filter("times > 1 OR kinds > 1")
+    return kinds.join(written(places, "places"), "anchor").filter("times > 1 OR kinds > 1")
 
 
 def _solved(pieces: DataFrame, width: int) -> DataFrame:
@@ -317,6 +317,7 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot:
     long = texts.filter(F.col("n") >= width).select("text", "k", "n")
     # Segments of places that occur more than once; the rest can't be repeated.
     again = long.mapInArrow(_segments(width, gram, True), "anchor bigint, times bigint").groupBy("anchor").agg(F.sum("times").alias("times")).filter("times > 1").select("anchor")
+    again = written(again, "places")
     segments = written(long.mapInArrow(_segments(width, gram, False), SEGMENT).join(again, "anchor", "left_semi"), "segments")
     kinds = segments.groupBy(*key).agg(F.count("*").alias("times"), F.min(F.struct("k", "n", "lo")).alias("rep"))
     live = written(_met(kinds), "kinds")
