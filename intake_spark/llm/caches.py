@@ -5,7 +5,7 @@ Workers live longer than tasks and serve one operator after the other, so each c
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 
 class Generations:
@@ -15,13 +15,17 @@ class Generations:
     `known` always has the keys that `learn` was called with last, whatever the limit.
     """
 
-    def __init__(self, limit: int, weigh: Callable[[str, object], int]):
+    def __init__(self, limit: int):
         self.known: dict = {}
         self.old: dict = {}
-        self.limit, self.weigh, self.held = limit, weigh, 0
+        self.limit, self.held = limit, 0
 
-    def make(self, keys: list[str]) -> list:
-        """Values of the keys."""
+    def make(self, keys: list[str]) -> dict:
+        """The keys with their values."""
+        raise NotImplementedError
+
+    def weigh(self, entries: dict) -> int:
+        """About how many bytes the entries take."""
         raise NotImplementedError
 
     def learn(self, keys: Iterable[str]) -> None:
@@ -29,9 +33,12 @@ class Generations:
         if self.held > self.limit // 2:
             self.old, self.known, self.held = self.known, {}, 0
         new = set(keys).difference(self.known)
-        made = list(new.difference(self.old))
-        found = {k: self.old[k] for k in new.difference(made)} if len(made) < len(new) else {}
+        made = new.difference(self.old)
+        if len(made) < len(new):
+            again = {k: self.old[k] for k in new.difference(made)}
+            self.known.update(again)
+            self.held += self.weigh(again)
         if made:
-            found |= zip(made, self.make(made), strict=True)
-        self.known.update(found)
-        self.held += sum(map(self.weigh, found, found.values()))
+            fresh = self.make(list(made))
+            self.known.update(fresh)
+            self.held += self.weigh(fresh)

@@ -23,13 +23,16 @@ class WordBuckets(Generations):
     """
 
     def __init__(self, buckets: int, chosen: list[int] | None = None, prefixes: tuple[int, ...] = (3, 4, 5, 6, 7, 8)):
-        super().__init__(CACHE_BYTES, lambda word, found: WORD_BYTES + len(word) + BUCKET_BYTES * len(found))
+        super().__init__(CACHE_BYTES)
         self.buckets, self.prefixes = buckets, prefixes
         self.place = None if chosen is None else {f: i for i, f in enumerate(chosen)}
         self.used = None if chosen is None else {f % buckets for f in chosen}
 
-    def make(self, words: list[str]) -> list[tuple[int, ...]]:
-        return [self._buckets(w) for w in words]
+    def weigh(self, entries: dict[str, tuple[int, ...]]) -> int:
+        return WORD_BYTES * len(entries) + sum(map(len, entries)) + BUCKET_BYTES * sum(map(len, entries.values()))
+
+    def make(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+        return {w: self._buckets(w) for w in words}
 
     def _buckets(self, word: str) -> tuple[int, ...]:
         data = [b"w" + word.encode("utf-8", "replace"), *[b"p" + word[:n].encode("utf-8", "replace") for n in self.prefixes if len(word) >= n]]

@@ -34,7 +34,8 @@ ENTRY_BYTES = 180
 #: Pre-tokens in one call of the library.
 AT_ONCE = 2000
 #: Characters of texts whose pre-tokens are looked up together.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 500_000
+_POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
 #: Pre-tokens end before white space that follows anything else, so texts can be cut there.
 _GAP = re.compile(r"(?<=\S)\s")
 #: Characters up to here have had stable categories for long; texts beyond are encoded whole.
@@ -55,17 +56,48 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _ranges(category: str) -> str:
-    """A regex class body for the covered characters whose general category starts so."""
-    marks = "".join("x" if unicodedata.category(chr(i))[0] == category else "." for i in range(COVERED))
-    return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in re.finditer("x+", marks))
+#: Classes of characters that the splitting pattern tells apart.
+OTHER, LETTER, NUMBER, SPACE, BETWEEN = range(5)
+#: Stands between texts that are split together; texts that hold it are encoded whole.
+SEPARATOR = "\x1c"
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The class of each covered character, by its general category."""
+    of = np.zeros(COVERED, np.uint8)
+    for i in range(COVERED):
+        of[i] = SPACE if re.match(r"\s", chr(i)) else {"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(i))[0], OTHER)
+    of[ord(SEPARATOR)] = BETWEEN
+    return of
+
+
+def pre_tokens(codes: np.ndarray) -> np.ndarray:
+    """Where the pre-tokens of texts (as code points, SEPARATOR between them, as a token of its own) start: what the pattern of byte-level BPE matches, that is
+    's, 't, 're, 've, 'm, 'll, 'd, or a run of letters, numbers or other characters with a space before it, or white space but for that space."""
+    kind = _classes()[codes]
+    start = np.concatenate([[True], kind[1:] != kind[:-1]])
+    # White space before other characters gives its last one away: a space to what follows, anything else to itself.
+    after = np.flatnonzero(start[1:] & (kind[:-1] == SPACE) & (kind[1:] < SPACE)) + 1
+    start[after - 1] = True
+    start[after[codes[after - 1] == 0x20]] = False
+    # An apostrophe by itself takes certain letters with it.
+    padded = np.concatenate([codes, np.zeros(3, codes.dtype)])
+    mark = np.flatnonzero((codes == 0x27) & start)
+    one, two = padded[mark + 1], padded[mark + 2]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = np.isin(one.astype(np.int64) << 16 | two, [ord(c) << 16 | ord(d) for c, d in ("re", "ve", "ll")])
+    for held, size in ((mark[short], 2), (mark[long], 3)):
+        start[held + 1] = False
+        start[(held + size)[held + size < len(start)]] = True
+    return np.flatnonzero(start)
 
 
 class _Words(Generations):
     """Pre-token to its ids as bytes."""
 
     def __init__(self, tokenizer):
-        super().__init__(CACHE_BYTES, lambda word, ids: ENTRY_BYTES + len(word) + len(ids))
+        super().__init__(CACHE_BYTES)
         self.tokenizer = tokenizer
         vocabulary = tokenizer.get_vocab()
         size = max(vocabulary.values(), default=0) + 1
@@ -74,8 +106,11 @@ class _Words(Generations):
         newline = tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline = newline[0] if len(newline) == 1 else None
 
-    def make(self, words: list[str]) -> list[bytes]:
-        """The ids of each pre-token."""
+    def weigh(self, entries: dict[str, bytes]) -> int:
+        return ENTRY_BYTES * len(entries) + sum(map(len, entries)) + sum(map(len, entries.values()))
+
+    def make(self, words: list[str]) -> dict[str, bytes]:
+        """Pre-tokens and their ids."""
         kinds: tuple[list[str], list[str], list[str]] = ([], [], [])
         for word in words:
             kinds[2 if word[-1].isspace() or self.newline is None else 0 if word[0] == " " else 1].append(word)
@@ -86,10 +121,9 @@ class _Words(Generations):
                 starts = np.flatnonzero(self.spaced[ids]) if kind == 0 else np.flatnonzero(ids == self.newline) + 1
                 if len(starts) != len(some):
                     raise ValueError("the tokenizer doesn't part pre-tokens as expected")
-                ends = [*(starts[1:] - kind).tolist(), len(ids)]
-                raw = ids.tobytes()
-                found |= {w: raw[4 * a : 4 * b] for w, a, b in zip(some, starts.tolist(), ends, strict=True)}
-        return [found[w] for w in words]
+                ends, raw = [*(4 * (starts[1:] - kind)).tolist(), 4 * len(ids)], ids.tobytes()
+                found.update(zip(some, map(raw.__getitem__, map(slice, (4 * starts).tolist(), ends)), strict=True))
+        return found
 
 
 class Encoder:
@@ -108,34 +142,53 @@ class Encoder:
         contents = [re.escape(t.content) for t in known if t.content and (added or not t.special)]
         self.added = re.compile("|".join(contents) or r"(?!)")
         self.words = _Words(self.tokenizer) if self.by_word else None
-        letter, number = _ranges("L"), _ranges("N")
-        self.pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
         self.uncovered = re.compile(f"[\x1c-\x1f{chr(COVERED)}-\U0010ffff]")  # Python counts four controls as white space, the library doesn't
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         out: list[list[bytes]] = [[] for _ in texts]
-        split: list[tuple[int, list[str]]] = []
+        group: list[tuple[int, str]] = []
         size = 0
         for i, text in enumerate(texts):
             if not self.by_word or self.uncovered.search(text) or self.added.search(text):
                 out[i].append(_packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
                 continue
             for part in parts_of(text, gap=_GAP):
-                split.append((i, self.pattern.findall(part)))
+                group.append((i, part))
                 size += len(part)
                 if size >= GROUP_CHARS:
-                    self._join(split, out)
-                    split, size = [], 0
-        self._join(split, out)
+                    self._join(group, out)
+                    group, size = [], 0
+        self._join(group, out)
         return [b"".join(x) for x in out]
 
-    def _join(self, split: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
-        """Add the ids of split texts to out."""
-        if split:
-            self.words.learn(itertools.chain.from_iterable(words for _, words in split))
-        for i, words in split:
-            out[i].append(b"".join(map(self.words.known.__getitem__, words)))
+    def _join(self, group: list[tuple[int, str]], out: list[list[bytes]]) -> None:
+        """Add the ids of texts to out: their pre-tokens are split and told apart together, and each distinct one is looked up once."""
+        joined = SEPARATOR.join(part for _, part in group)
+        if not joined:
+            return
+        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        starts = pre_tokens(codes).astype(np.int32)
+        lengths, every = np.diff(np.append(starts, len(codes))).astype(np.int32), np.arange(len(codes), dtype=np.int32)
+        hashed = np.add.reduceat((codes + np.uint64(1)) * _POWERS[every - np.repeat(starts, lengths) & len(_POWERS) - 1], starts)
+        _, first, which = np.unique(hashed ^ lengths.astype(np.uint64) << np.uint64(48), return_index=True, return_inverse=True)
+        # Pre-tokens with the same hash are the same in full.
+        same = first[which]
+        if (lengths[same] != lengths).any() or (codes[every + np.repeat(starts[same] - starts, lengths)] != codes).any():
+            raise ValueError("two pre-tokens have the same hash")
+        words = [joined[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist(), strict=True)]
+        self.words.learn(w for w in words if w[0] != SEPARATOR)
+        found = list(map(self.words.known.get, words, itertools.repeat(b"")))  # a separator has no ids
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        many = sizes[which]
+        upto = np.cumsum(many)
+        ids = flat[np.repeat(begins[which] - (upto - many), many) + np.arange(upto[-1])]
+        # Where each text's pre-tokens, and so its ids, end.
+        text_ends = np.cumsum([len(part) + 1 for _, part in group]) - 1
+        cuts = np.concatenate([[0], upto])[np.searchsorted(starts, text_ends)].tolist()
+        for (i, _), a, b in zip(group, [0, *cuts], cuts, strict=False):
+            out[i].append(ids[a:b].tobytes())
 
 
 @lru_cache(maxsize=1)
