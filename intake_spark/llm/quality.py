@@ -4,6 +4,7 @@ Inputs are hashed words (square-rooted counts, at unit length) and standardised
 inputs interact through vectors of RANK numbers: half of (sum v x)^2 - sum (v x)^2, so a score takes time linear in the text. The fit is by
 Adam on a bounded sample: of each class, the `per_class` labelled texts with the smallest hash of their id, weighted back to the labels' shares.
 
+Repeated rows are scored alike. A very long text is held with the list of its words while it is read, texts one at a time.
 Nulls: a null text counts as empty; rows with a null label or id teach nothing, rows with a null id are scored. With several labels the largest counts.
 With one class only, every score is that class's share. Empty input gives an empty result. Other columns take no part.
 """
@@ -36,10 +37,13 @@ class _Hashed(Generations):
     """Word to its bucket."""
 
     def __init__(self):
-        super().__init__(CACHE_BYTES, lambda word, bucket: WORD_BYTES + len(word))
+        super().__init__(CACHE_BYTES)
 
-    def make(self, words: list[str]) -> list[int]:
-        return [zlib.crc32(w.lower().encode("utf-8", "replace")) % BUCKETS for w in words]
+    def weigh(self, entries: dict[str, int]) -> int:
+        return WORD_BYTES * len(entries) + sum(map(len, entries))
+
+    def make(self, words: list[str]) -> dict[str, int]:
+        return {w: zlib.crc32(w.lower().encode("utf-8", "replace")) % BUCKETS for w in words}
 
 
 def statistics(text: str, words: list[str]) -> list[float]:

@@ -6,7 +6,8 @@ followed upwards instead. Features are presence and density of hashed words and
 several times more frequent in positives than in unlabelled texts. The fit uses a bounded sample: the `positives` and `unlabelled` texts with the
 smallest hash of their id. Everything is scored.
 
-Nulls: a null text counts as empty, and empty texts get the score of a text without features; rows with a null label or id teach nothing,
+Repeated rows are scored alike, and count as often as they occur where their id is in the sample. Of a very long text no more than its distinct words
+is held. Nulls: a null text counts as empty, and empty texts get the score of a text without features; rows with a null label or id teach nothing,
 rows with a null id are scored. With several labels the largest counts. Without any positive every score is the prior.
 Empty input gives an empty result. Other columns take no part.
 """
