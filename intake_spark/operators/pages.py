@@ -55,6 +55,7 @@ class Signals:
     def words(tokens: Sequence[str]) -> str:
         return "|".join(rf"\Q{t}\E" for t in tokens)
 
+    # How a word stands in a path.
     def in_path(self, tokens: Sequence[str], more: Sequence[str] = ()) -> str:
         return "(?iU)" + "|".join([f"(?:^|[-_/])(?:{self.words(tokens)})(?:[-_/]|$)", *more])
 
