@@ -65,24 +65,19 @@ def index(vectors: DataFrame, id_column="vec_id", vector_column="embedding", piv
 
 
 class Postings:
-    """The inverted files of one block."""
+    """The orders posted in a file, as the place of each pivot in each; a pivot missing from an order counts as at place `prefix`."""
 
     def __init__(self, nearest: np.ndarray):
-        self.rows, self.prefix = nearest.shape
-        flat = nearest.ravel()
-        order = np.argsort(flat, kind="stable")
-        self.member, self.position = order // self.prefix, (order % self.prefix).astype(np.int32)
-        self.start = np.searchsorted(flat[order], np.arange(int(flat.max(initial=0)) + 2))
-
-    def footrule(self, nearest: np.ndarray) -> np.ndarray:
-        """Footrule distance of every row to one order; a pivot missing from an order counts as at place `prefix`."""
-        n = self.prefix
-        drop = np.zeros(self.rows, np.int32)
-        for at, pivot in enumerate(nearest.tolist()):
-            if pivot + 1 < len(self.start):
-                a, b = self.start[pivot], self.start[pivot + 1]
-                drop[self.member[a:b]] += n - np.maximum(at, self.position[a:b])
-        return n * (n + 1) - 2 * drop
+        rows, self.prefix = nearest.shape
+        self.place = np.full((rows, int(nearest.max(initial=0)) + 1), self.prefix, np.int16)
+        np.put_along_axis(self.place, nearest.astype(np.int64), np.arange(self.prefix, dtype=np.int16)[None], axis=1)
+
+    def footrule(self, nearest: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Footrule distance of the rows to one order."""
+        own, pivots = np.full(self.place.shape[1], self.prefix, np.int16), nearest.astype(np.int64)
+        known = pivots < len(own)
+        own[pivots[known]] = np.flatnonzero(known)
+        return np.abs(self.place[rows] - own).sum(axis=1, dtype=np.int32) + int((self.prefix - np.flatnonzero(~known)).sum())
 
 
 def _matrix(column: pd.Series, kind) -> np.ndarray:
@@ -124,21 +119,24 @@ def search(indexed: DataFrame, queries: Column, k: int = 10, rerank: float = RER
         if rows.empty or asks.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         ids, x, near = rows["vec_id"].to_numpy(), _matrix(rows["vector"], np.float64), _matrix(rows["nearest"], np.uint16)
-        files, out = Postings(near[:, :PREFIX]), []
+        files, sizes, found, scores = Postings(near[:, :PREFIX]), [], [], []
+        posts = near[:, :posted].astype(np.int64)
         rank = np.full(near.shape[1], near.shape[1], np.int64)
         for query, visit, visited, order, vector in zip(asks["query_id"], asks["visit"], asks["visited"], _matrix(asks["nearest"], np.uint16), _matrix(asks["vector"], np.float64), strict=True):
             rank[:] = len(rank)
             rank[order[:visited]] = np.arange(visited)
-            here = np.flatnonzero((rank[near[:, :posted]].min(axis=1) == visit) & (ids != query))
+            here = np.flatnonzero((rank[posts].min(axis=1) == visit) & (ids != query))
             if not len(here):
+                sizes.append(0)
                 continue
-            far = files.footrule(order[:PREFIX])[here]
+            far = files.footrule(order[:PREFIX], here)
             size = min(len(here), max(k, LEAST, int(np.ceil(rerank * len(here)))))
             some = here[far <= np.partition(far, size - 1)[size - 1]]
             score = np.sqrt(((x[some] - vector) ** 2).sum(axis=1))
             best = np.lexsort((ids[some], score))[:k]
-            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[some][best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            sizes.append(len(best)), found.append(ids[some][best]), scores.append(score[best])
+        none = [np.zeros(0)]
+        return pd.DataFrame({"query_id": np.repeat(asks["query_id"].to_numpy(), sizes), "vec_id": np.concatenate(found or none), "score": np.concatenate(scores or none)})
 
     part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

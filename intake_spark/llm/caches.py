@@ -5,8 +5,24 @@ Workers live longer than tasks and serve one operator after the other, so each c
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable
 
+import pyarrow as pa
+
+#: Rows with whole texts that go to a Python worker at once.
+TEXT_ROWS = 1024
+
+
+def give_back() -> None:
+    """At the end of a partition: return to the system what the worker holds but does not use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
 
 class Generations:
     """A table whose missing entries are made many at a time; it keeps those used lately, in two halves of `limit` bytes.

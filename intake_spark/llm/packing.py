@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
+from .caches import TEXT_ROWS, give_back
 from .common import written
 
 GROUP_PIECES = 20_000
@@ -46,6 +47,7 @@ def cut(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str |
                         yield made(names, which, starts, lengths, totals, parts)
                         which, starts, lengths, totals, parts, held = [], [], [], [], [], 0
             yield made(names, which, starts, lengths, totals, parts)
+        give_back()
 
     def made(names, which, starts, lengths, totals, parts):
         longs = [pa.array(x, pa.int64()) for x in (starts, lengths, totals)]
@@ -112,7 +114,7 @@ def windows(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]
 
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """pieces (any columns, with length up to capacity) with sequence_id and offset added. Numbers are unique, with few gaps."""
-    held = written(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    held = written(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces", TEXT_ROWS)
     groups = max(1, -(-held.count() // GROUP_PIECES))
 
     def one(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

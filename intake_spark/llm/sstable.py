@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
+from .caches import TEXT_ROWS, give_back
 from .common import new_path, written
 from .files import folder, new_name
 
@@ -185,10 +186,11 @@ def write_shards(docs: DataFrame, end_id: int = 2, tokenizer: str | None = None,
             close()
         fields = [("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), *[(c, pa.int64()) for c in ("first_id", "last_id", "docs", "tokens", "bytes")]]
         yield pa.RecordBatch.from_pylist(done, schema=pa.schema(fields))
+        give_back()
 
     rows = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"), F.xxhash64(docs[text_column]).alias("tie"))
     placed = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
-    return written(placed.mapInArrow(write, MANIFEST), "sstable-manifest")
+    return written(placed.mapInArrow(write, MANIFEST), "sstable-manifest", TEXT_ROWS)
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:

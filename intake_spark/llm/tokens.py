@@ -28,7 +28,7 @@ from .common import parts_of
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes of pre-tokens and their ids that a worker remembers, about.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 48 << 20
 #: What Python needs for an entry besides its characters and ids.
 ENTRY_BYTES = 180
 #: Pre-tokens in one call of the library.

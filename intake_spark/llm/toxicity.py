@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .caches import TEXT_ROWS, give_back
 from .common import sliced, written
 from .text_features import WordBuckets
 
@@ -108,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None,
                 found = [np.array(sorted(buckets.features(t.as_py() or "")), "<i4").tobytes() for t in some.column(1)]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.binary())], names=["positive", "features"])
 
-    sample = written(rows.mapInArrow(read, "positive boolean, features binary"), "toxicity-sample")
+    sample = written(rows.mapInArrow(read, "positive boolean, features binary"), "toxicity-sample", TEXT_ROWS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, texts = np.zeros((2, 2 * BUCKETS), np.int32), np.zeros(2, np.int64)
@@ -151,6 +152,7 @@ def scorer(spark: SparkSession, model):
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array(sent.value.score(t for some in sliced(texts) for t in some.to_pylist()), pa.float64())
+        give_back()
 
     return lambda text: scored(F.coalesce(text, F.lit("")))
 
