@@ -93,6 +93,13 @@ def pre_tokens(codes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _apart(joined: str, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct pre-token comes first, and which one each is, by their characters: for groups in which two different ones have the same hash."""
+    number: dict[str, int] = {}
+    which = np.fromiter((number.setdefault(joined[a : a + n], len(number)) for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)), np.int64, len(starts))
+    return np.unique(which, return_index=True)[1], which
+
+
 class _Words(Generations):
     """Pre-token to its ids as bytes."""
 
@@ -119,8 +126,9 @@ class _Words(Generations):
             for some in itertools.batched(kinds[kind], AT_ONCE):
                 ids = np.array(self.tokenizer.encode_batch_fast([mark + mark.join(some)], add_special_tokens=False)[0].ids, "<u4")
                 starts = np.flatnonzero(self.spaced[ids]) if kind == 0 else np.flatnonzero(ids == self.newline) + 1
-                if len(starts) != len(some):
-                    raise ValueError("the tokenizer doesn't part pre-tokens as expected")
+                if len(starts) != len(some):  # parted in another way than expected: one by one
+                    found.update((w, _packed(e.ids)) for w, e in zip(some, self.tokenizer.encode_batch_fast(list(some), add_special_tokens=False), strict=True))
+                    continue
                 ends, raw = [*(4 * (starts[1:] - kind)).tolist(), 4 * len(ids)], ids.tobytes()
                 found.update(zip(some, map(raw.__getitem__, map(slice, (4 * starts).tolist(), ends)), strict=True))
         return found
@@ -172,10 +180,9 @@ class Encoder:
         lengths, every = np.diff(np.append(starts, len(codes))).astype(np.int32), np.arange(len(codes), dtype=np.int32)
         hashed = np.add.reduceat((codes + np.uint64(1)) * _POWERS[every - np.repeat(starts, lengths) & len(_POWERS) - 1], starts)
         _, first, which = np.unique(hashed ^ lengths.astype(np.uint64) << np.uint64(48), return_index=True, return_inverse=True)
-        # Pre-tokens with the same hash are the same in full.
         same = first[which]
         if (lengths[same] != lengths).any() or (codes[every + np.repeat(starts[same] - starts, lengths)] != codes).any():
-            raise ValueError("two pre-tokens have the same hash")
+            first, which = _apart(joined, starts, lengths)
         words = [joined[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist(), strict=True)]
         self.words.learn(w for w in words if w[0] != SEPARATOR)
         found = list(map(self.words.known.get, words, itertools.repeat(b"")))  # a separator has no ids
