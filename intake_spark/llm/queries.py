@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, mixing, packing, quality, simhash, sstable, suffix_dedup, toxicity, warc
+from . import ann, exact_dedup, mixing, packing, quality, simhash, sstable, suffix_dedup, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.content_sort(docs, keep="largest").select(F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_whitening_gkl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(*whitening.train(_table(spark, sf_dir, "embeddings"), many=4))
+
+
 QUERIES = {
     "op1_warc_chunks": op1_warc_chunks,
     "op2_toxicity_nnpu": op2_toxicity_nnpu,
@@ -82,6 +86,7 @@ QUERIES = {
     "op8_quality_fm": op8_quality_fm,
     "op9_pack_bin_slack": op9_pack_bin_slack,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_whitening_gkl": op11_whitening_gkl,
 }
 
 SQL = {
