@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, mixing, packing, quality, simhash, sstable, suffix_dedup, toxicity, warc, whitening
+from . import ann, exact_dedup, mixing, packing, quality, simhash, sstable, suffix_dedup, toxicity, warc, whitening, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,12 @@ def op11_whitening_gkl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(*whitening.train(_table(spark, sf_dir, "embeddings"), many=4))
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = winnowing.contaminated(docs, _table(spark, sf_dir, "benchmark"), size=10)
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_warc_chunks": op1_warc_chunks,
     "op2_toxicity_nnpu": op2_toxicity_nnpu,
@@ -87,6 +93,7 @@ QUERIES = {
     "op9_pack_bin_slack": op9_pack_bin_slack,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_whitening_gkl": op11_whitening_gkl,
+    "op12_winnowing": op12_winnowing,
 }
 
 SQL = {
@@ -159,4 +166,23 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op12_winnowing": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), i AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), iw AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)
+        ), dw AS (
+            SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS g FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)
+        ), h AS (
+            SELECT r, p, n, item_id FROM dw JOIN iw USING (n, g)
+        ), c AS (
+            SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS x FROM (SELECT DISTINCT r, p, n FROM h)) GROUP BY 1
+        ), s AS (
+            SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM h WHERE item_id IS NOT NULL) GROUP BY 1
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)
+    """,
 }
