@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, mixing, packing, quality, simhash, sstable, suffix_dedup, toxicity, warc, whitening, winnowing
+from . import ann, conversations, exact_dedup, mixing, packing, quality, simhash, sstable, suffix_dedup, toxicity, warc, whitening, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,10 @@ def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_warc_chunks": op1_warc_chunks,
     "op2_toxicity_nnpu": op2_toxicity_nnpu,
@@ -94,6 +98,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_whitening_gkl": op11_whitening_gkl,
     "op12_winnowing": op12_winnowing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {
