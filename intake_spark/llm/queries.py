@@ -190,4 +190,44 @@ SQL = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)
     """,
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE k AS (  -- the CRC is taken bit by bit
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))) AS c FROM conversations
+        ), d AS (
+            SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE h WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM (SELECT *, xor(c, 4294967295) % 20 AS h FROM k) WHERE h <> 0
+        ), o AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) || left(role, 1) AS pair FROM d
+        ), f AS (
+            SELECT *, left(role, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault FROM o
+        ), s AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS rows FROM f GROUP BY 1
+        ), w AS (  -- the least (cost, audit, lines) for each state after n rows: nothing, system, user, assistant
+            SELECT conv_id, 0::BIGINT AS n, {'c': 0::BIGINT, 'a': '', 'l': []::VARCHAR[]} AS x0, NULL::STRUCT(c BIGINT, a VARCHAR, l VARCHAR[]) AS x1, NULL::STRUCT(c BIGINT, a VARCHAR, l VARCHAR[]) AS x2, NULL::STRUCT(c BIGINT, a VARCHAR, l VARCHAR[]) AS x3 FROM s
+            UNION ALL
+            SELECT conv_id, n,
+                CASE WHEN y0 IS NOT NULL THEN {'c': y0.c + 2, 'a': y0.a || 'D', 'l': y0.l} END,
+                least(CASE WHEN y1 IS NOT NULL THEN {'c': y1.c + 2, 'a': y1.a || 'D', 'l': y1.l} END, CASE WHEN ok AND r = 's' AND y0 IS NOT NULL THEN {'c': y0.c + e, 'a': y0.a || 'K', 'l': list_append(y0.l, line)} END),
+                least(CASE WHEN y2 IS NOT NULL THEN {'c': y2.c + 2, 'a': y2.a || 'D', 'l': y2.l} END, CASE WHEN ok AND r = 'u' AND u IS NOT NULL THEN {'c': u.c + e, 'a': u.a || 'K', 'l': list_append(u.l, line)} END,
+                    CASE WHEN ok AND u IS NOT NULL THEN {'c': u.c + e + 1, 'a': u.a || 'R', 'l': list_append(u.l, 'user:' || text)} END),
+                least(CASE WHEN y3 IS NOT NULL THEN {'c': y3.c + 2, 'a': y3.a || 'D', 'l': y3.l} END, CASE WHEN ok AND r = 'a' AND y2 IS NOT NULL THEN {'c': y2.c + e, 'a': y2.a || 'K', 'l': list_append(y2.l, line)} END,
+                    CASE WHEN ok AND y2 IS NOT NULL THEN {'c': y2.c + e + 1, 'a': y2.a || 'R', 'l': list_append(y2.l, 'assistant:' || text)} END)
+            FROM (
+                SELECT *, least(y0, y1, y3) AS u FROM (
+                    SELECT f.*, f.role || ':' || f.text AS line, fault IN ('', 't') AS ok, CASE fault WHEN 't' THEN 5 ELSE 0 END AS e, x0 AS y0, x1 AS y1,
+                        least(x2, CASE WHEN least(x0, x1, x3) IS NOT NULL THEN {'c': least(x0, x1, x3).c + 5, 'a': least(x0, x1, x3).a || 'I', 'l': list_append(least(x0, x1, x3).l, 'user:')} END) AS y2,
+                        least(x3, CASE WHEN x2 IS NOT NULL THEN {'c': x2.c + 5, 'a': x2.a || 'I', 'l': list_append(x2.l, 'assistant:')} END,
+                            CASE WHEN least(x0, x1) IS NOT NULL THEN {'c': least(x0, x1).c + 10, 'a': least(x0, x1).a || 'II', 'l': least(x0, x1).l || ['user:', 'assistant:']} END) AS y3
+                    FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1))
+        ), z AS (
+            SELECT conv_id, gaps, blank, duplicate, truncated, illegal, least(x0, x3, CASE WHEN x1 IS NOT NULL THEN {'c': x1.c + 10, 'a': x1.a || 'II', 'l': x1.l || ['user:', 'assistant:']} END, CASE WHEN x2 IS NOT NULL THEN {'c': x2.c + 5, 'a': x2.a || 'I', 'l': list_append(x2.l, 'assistant:')} END) AS b
+            FROM w JOIN s USING (conv_id) WHERE w.n = s.rows
+        )
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
+            sha256(coalesce(array_to_string(b.l, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN z USING (conv_id)
+    """,
 }
