@@ -29,32 +29,45 @@ K = 5
 MOST_WINDOWS = 1 << 18
 #: The fingerprint of the marker that each document has besides its own.
 MARK = 0
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words: ASCII but for digits and letters.
+_BETWEEN = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 
 
 def words_of(text: Column) -> Column:
-    """Runs of digits, letters a-z (in any case) and all characters beyond ASCII."""
-    return F.regexp_extract_all(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(_WORD), F.lit(0))
+    """Runs of digits, letters and all characters beyond ASCII, in the case given; without what parts words at its ends a text is split at it."""
+    inner = F.btrim(text, F.lit(_BETWEEN))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+
+
+def folded(text: Column) -> Column:
+    """With A-Z in lower case, and nothing else."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
 def with_grams(df: DataFrame, sizes: list[int]) -> DataFrame:
-    """df (_words) with the hash of each word, and for each length of grams that windows of these sizes need, that of the gram which begins there."""
-    df = df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    gram = lambda k: F.transform("_hashes", lambda h, i: F.xxhash64(h, *[F.get("_hashes", i + j) for j in range(1, k)]))
-    return df.withColumns({f"_grams_{k}": gram(k) for k in sorted({min(K, s) for s in sizes})}).drop("_hashes")
+    """df (_words) with the hash of the gram that begins at each word, for each length of grams that windows of these sizes need; null where too few words follow."""
+    # Few words have capitals, and lower() tells it faster than folded().
+    df = df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(F.when(F.lower(w) == w, w).otherwise(folded(w)))))
+
+    def gram(k: int) -> Column:
+        last = F.size("_hashes") - k
+        return F.transform("_hashes", lambda h, i: F.when(i <= last, F.xxhash64(h, *[F.get("_hashes", i + j) for j in range(1, k)])))
+
+    return df.withColumns({f"_grams_{k}": gram(k) for k in grams_of(sizes)}).drop("_hashes")
+
+
+def grams_of(sizes: list[int]) -> list[int]:
+    """The lengths of grams for windows of these sizes."""
+    return sorted({min(K, s) for s in sizes})
 
 
-def selected(size: int) -> Column:
-    """For each word the fingerprint of the window that begins there; null where too few words follow."""
-    k = min(K, size)
-    grams = F.col(f"_grams_{k}")
-    last = F.size("_words") - size
-    least = lambda h, i: F.least(h, *[F.get(grams, i + j) for j in range(1, size - k + 1)]) if size > k else h
-    return F.transform(grams, lambda h, i: F.when(i <= last, least(h, i)))
+def fingerprint(at: Column, size: Column | int, grams: Column, k: int) -> Column:
+    """That of the window of `size` words which begins at a word: the smallest hash of its grams."""
+    return F.array_min(F.slice(grams, at + 1, size - F.lit(k) + 1))
 
 
 def window_text(at: Column, size: Column | int) -> Column:
-    return F.array_join(F.slice("_words", at + 1, size), " ")
+    return folded(F.array_join(F.slice("_words", at + 1, size), " "))
 
 
 def item_windows(items: DataFrame, size: int, item_column: str, text_column: str) -> DataFrame:
@@ -63,24 +76,46 @@ def item_windows(items: DataFrame, size: int, item_column: str, text_column: str
     of = None
     sizes = sorted(r.size for r in worded.select("size").distinct().collect())  # no more than `size` numbers
     for one in sizes:
-        grams = with_grams(worded.filter(F.col("size") == one), [one])
-        found = grams.select("item", "size", "_words", F.posexplode(selected(one)).alias("at", "hash")).filter("hash IS NOT NULL").select("item", "size", "hash", window_text(F.col("at"), one).alias("window"))
+        k = min(K, one)
+        starts = F.explode(F.sequence(F.lit(0), F.size("_words") - one))
+        grams = with_grams(worded.filter(F.col("size") == one), [one]).select("item", "size", "_words", f"_grams_{k}", starts.alias("at"))
+        found = grams.select("item", "size", fingerprint(F.col("at"), one, F.col(f"_grams_{k}"), k).alias("hash"), window_text(F.col("at"), one).alias("window"))
         of = found if of is None else of.unionByName(found)
     return of if of is not None else worded.select("item", "size", F.lit(None).cast("bigint").alias("hash"), F.lit(None).cast("string").alias("window")).limit(0)
 
 
 def found_windows(worded: DataFrame, windows: DataFrame, sizes: list[int], marked: bool) -> DataFrame:
-    """worded (_row, _words, carried columns) to a row for each window of a document that is one of an item: at, size, items; and, if marked, one without for each."""
-    carried = [c for c in worded.columns if c != "_words"]
-    every = F.concat(F.array(F.lit(MARK).cast("bigint")), *[selected(s) for s in sizes])
-    prints = with_grams(worded, sizes).select(*carried, "_words", F.posexplode(every).alias("_pos", "_hash"))
+    """worded (_row, _words, carried columns) to a row for each window of a document that is one of an item: at, size, items; and, if marked, one without for each.
+
+    A document's grams are looked up among the items' fingerprints before it is seen which of them are fingerprints of the document, as that is asked of few then.
+    """
+    carried, ks = [c for c in worded.columns if c != "_words"], grams_of(sizes)
+    every = F.concat(F.array(F.lit(MARK).cast("bigint")), *[F.col(f"_grams_{k}") for k in ks])
+    grams = with_grams(worded, sizes)
+    prints = grams.select(*carried, "_words", *[f"_grams_{k}" for k in ks], F.posexplode(every).alias("_pos", "_hash"))
     known = windows.select(F.col("hash").alias("_hash")).distinct()
     if marked:
         known = known.unionByName(worded.sparkSession.range(1).select(F.lit(MARK).cast("bigint").alias("_hash"))).distinct()
     hits = prints.join(F.broadcast(known), "_hash", "left_semi")
-    at, which = F.pmod(F.col("_pos") - 1, F.size("_words")), F.floor((F.col("_pos") - 1) / F.size("_words")).cast("int")
-    hits = hits.select(*carried, "_words", F.when(F.col("_pos") > 0, at).alias("at"), F.when(F.col("_pos") > 0, F.get(F.array(*[F.lit(s) for s in sizes]), which) if sizes else F.lit(None).cast("int")).alias("size"))
-    hits = hits.select(*carried, "at", "size", window_text(F.col("at"), F.col("size")).alias("window"))
+    n = F.size("_words")
+    p, which = F.pmod(F.col("_pos") - 1, n), F.floor((F.col("_pos") - 1) / n)
+    marker = F.array(F.struct(F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("size")))
+
+
+    def around(size: int, k: int) -> Column:
+        """The windows of a size that hold the gram at p."""
+        low, high = F.greatest(F.lit(0), p - (size - k)), F.least(p, n - size)
+        return F.when(low <= high, F.transform(F.sequence(low, high), lambda at: F.struct(at.alias("at"), F.lit(size).alias("size"))))
+
+    spans = marker
+    for i, k in enumerate(ks):
+        own = F.array_compact(F.array(*[around(s, k) for s in sizes if min(K, s) == k]))
+        spans = F.when((F.col("_pos") > 0) & (which == i), F.flatten(own)).otherwise(spans)
+    hits = hits.select(*carried, "_words", *[f"_grams_{k}" for k in ks], "_pos", "_hash", F.explode(spans).alias("_span")).select("*", "_span.at", "_span.size").drop("_span")
+    print_ = F.lit(None).cast("bigint")
+    for k in ks:
+        print_ = F.when(F.least(F.lit(K), "size") == k, fingerprint(F.col("at"), F.col("size"), F.col(f"_grams_{k}"), k)).otherwise(print_)
+    hits = hits.filter(F.col("at").isNull() | (print_ == F.col("_hash"))).select(*carried, "at", "size", window_text(F.col("at"), F.col("size")).alias("window"))
     of = windows.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
     return hits.join(F.broadcast(of), "window", "left").filter(F.col("items").isNotNull() | F.col("at").isNull()).drop("window")
 
