@@ -24,10 +24,20 @@ PROPERTIES = (*IDENTITY, STATUS, STAGE, "sourcing_sourced_from", "sourcing_p1_da
 REVIEW = ("conflict", "invalid", "human_verdict_exists")
 
 
+def crm_hosts(crm: DataFrame) -> DataFrame:
+    """(id, host): the hosts of each record's domain and website."""
+    both = F.array_distinct(F.array(C.normalize_domain("domain", "crm"), C.normalize_domain("website", "crm")))
+    return crm.select("id", F.explode(both).alias("host")).filter("host <> ''")
+
+
+def new_id(key: Column | str) -> Column:
+    """The id of the record that is created for a domain."""
+    return F.concat(F.lit("new-"), F.substring(F.sha1(C.as_col(key)), 1, 16))
+
+
 def crm_matches(verdicts: DataFrame, crm: DataFrame) -> DataFrame:
     """verdicts (domain) with matches, the number of records whose domain or website has that host, and id of the record if it is one."""
-    hosts = crm.select("id", F.explode(F.array_distinct(F.array(C.normalize_domain("domain", "crm"), C.normalize_domain("website", "crm")))).alias("_host")).filter("_host <> ''")
-    counted = hosts.groupBy("_host").agg(F.count("*").alias("matches"), F.min("id").alias("id"))
+    counted = crm_hosts(crm).groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("matches"), F.min("id").alias("id"))
     out = verdicts.join(counted, verdicts["domain"] == counted["_host"], "left").drop("_host")
     return out.withColumn("matches", F.coalesce("matches", F.lit(0))).withColumn("id", F.when(F.col("matches") == 1, F.col("id")))
 
@@ -115,7 +125,7 @@ def merge_crm(crm: DataFrame, plan: DataFrame) -> DataFrame:
     update = plan.filter("action = 'updated'").select("id", "changes")
     new = F.col("changes")
     merged = crm.join(update, "id", "left").select([F.coalesce(new[c], F.col(c)).alias(c) if c in PROPERTIES else F.col(c) for c in crm.columns])
-    created = plan.filter("action = 'created'").select(F.concat(F.lit("new-"), F.substring(F.sha1("key"), 1, 16)).alias("id"), *[F.col("changes")[p].alias(p) for p in PROPERTIES if p in crm.columns])
+    created = plan.filter("action = 'created'").select(new_id("key").alias("id"), *[F.col("changes")[p].alias(p) for p in PROPERTIES if p in crm.columns])
     return merged.unionByName(created, allowMissingColumns=True)
 
 

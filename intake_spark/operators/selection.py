@@ -124,9 +124,13 @@ def scope_warnings(scope: Scope) -> Column:
     return F.array_compact(F.array(*out))
 
 
-def count_before(df: DataFrame, flags: dict[str, str], totals: dict[str, str] | None = None) -> DataFrame:
+def count_before(df: DataFrame, flags: dict[str, str], totals: dict[str, str] | None = None, below: tuple[str, Column] | None = None) -> DataFrame:
     """df with, for each new column of flags, how many rows of its batch come earlier and have the flag: sums by run of order keys first,
-    then inside each run. totals: new columns with the flag's count in the whole batch, by names of columns of flags."""
+    then inside each run. totals: new columns with the flag's count in the whole batch, by names of columns of flags.
+
+    below: a new column and its bound; only rows with less are kept, and runs that begin at the bound or beyond are dropped by the sums alone, before
+    any row is sorted.
+    """
     df = df.withColumn("_run", F.floor(F.col("order_key") / RUN).cast("long"))
     earlier = Window.partitionBy("batch").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("batch", "_run").orderBy("order_key").rowsBetween(Window.unboundedPreceding, -1)
@@ -134,14 +138,18 @@ def count_before(df: DataFrame, flags: dict[str, str], totals: dict[str, str] |
     bases = [F.coalesce(F.sum(f"_sum_{into}").over(earlier), F.lit(0)).alias(f"_base_{into}") for into in flags]
     whole = [F.sum(f"_sum_{of}").over(Window.partitionBy("batch")).alias(into) for into, of in (totals or {}).items()]
     sums = sums.select("batch", "_run", *bases, *whole)
-    counted = df.withColumns({into: F.coalesce(F.sum(F.col(flag).cast("long")).over(inside), F.lit(0)) for into, flag in flags.items()}).join(sums, ["batch", "_run"])
-    return counted.withColumns({into: F.col(into) + F.col(f"_base_{into}") for into in flags}).drop("_run", *[f"_base_{into}" for into in flags])
+    near = df.join(sums, ["batch", "_run"])
+    if below is not None:
+        near = near.filter(F.col(f"_base_{below[0]}") < below[1])
+    counted = near.withColumns({into: F.col(f"_base_{into}") + F.coalesce(F.sum(F.col(flag).cast("long")).over(inside), F.lit(0)) for into, flag in flags.items()})
+    kept = counted if below is None else counted.filter(F.col(below[0]) < below[1])
+    return kept.drop("_run", *[f"_base_{into}" for into in flags])
 
 
 def cap_pending(df: DataFrame, cap: int) -> DataFrame:
     """Rows up to the one with which `cap` rows of the batch are pending; what comes later is untouched."""
     flagged = df.withColumn("_pending", F.coalesce(F.col("status") == "pending", F.lit(False)))
-    return count_before(flagged, {"_before": "_pending"}).filter(F.col("_before") < cap).drop("_pending", "_before")
+    return count_before(flagged, {"_before": "_pending"}, below=("_before", F.lit(cap))).drop("_pending", "_before")
 
 
 def search_signals(filters: dict | None) -> Column:
@@ -160,28 +168,45 @@ def search_signals(filters: dict | None) -> Column:
     )
 
 
-def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int, filters: dict | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Earlier:
+    """What was selected of batches of which more rows come now: counts (batch, pending, ranked), and keys (batch, key) of their candidates, as row_key gives them."""
+
+    counts: DataFrame
+    keys: DataFrame
+
+
+def walk(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int, filters: dict | None = None, earlier: Earlier | None = None) -> DataFrame:
     """Every row that the selection gets to, cleaned, with status (invalid, resurfaced, pending or skipped_prefilter), skip_reason, source_rank
-    and search_signals (what the filters of the search say of each row)."""
+    and search_signals (what the filters of the search say of each row). With `earlier`, the walk goes on where that of earlier rows has ended."""
     # A bad row is a key of its own, so that the filter is on the rank alone and Spark drops later rows of a frequent key before the shuffle.
     df = clean_rows(rows).withColumn("_bad", F.col("problem").isNotNull())
     df = df.withColumn("_key", F.when(F.col("_bad"), F.concat(F.lit("bad:"), F.col("order_key").cast("string"))).otherwise(row_key())).filter("_key <> 'name:'")
     place = Window.partitionBy("batch", "_bad", "_key").orderBy("order_key")
     df = df.withColumn("_n", F.row_number().over(place)).filter("_n = 1")
+    if earlier is not None:
+        df = df.join(earlier.keys.select("batch", F.col("key").alias("_key")), ["batch", "_key"], "left_anti")
     df = flag_excluded(df, excluded).join(seen.withColumn("_seen", F.lit(True)), "domain", "left")
     reason = F.when(F.col("domain").isNull(), "no_domain").when(F.col("excluded"), "excluded_keyword_tag").otherwise(prefilter(scope))
     status = F.when(F.col("_bad"), "invalid").when(F.col("_seen"), "resurfaced").when(reason.isNull(), "pending").otherwise("skipped_prefilter")
     df = df.withColumn("status", status).withColumn("skip_reason", F.when(F.col("status") == "skipped_prefilter", reason)).withColumn("scope_warnings", scope_warnings(scope))
     df = df.drop("_key", "_bad", "_n", "_seen", "excluded").withColumns({"_pending": F.col("status") == "pending", "_candidate": F.col("status").isin("pending", "skipped_prefilter")})
     df = staged(df.withColumn("search_signals", search_signals(filters)), "walk")  # counted and joined below, but computed once
+    had, ranked, left = F.lit(0), F.lit(0), F.lit(cap)
+    if earlier is not None:
+        df = df.join(earlier.counts.select("batch", F.col("pending").alias("_had"), F.col("ranked").alias("_ranked")), "batch", "left")
+        had, ranked = F.coalesce("_had", F.lit(0)), F.coalesce("_ranked", F.lit(0))
+        left = F.lit(cap) - had
     # All candidates before a kept one are kept, so the rank among candidates comes from the same pass as the cap.
-    counted = count_before(df, {"_before": "_pending", "_rank": "_candidate"}).filter(F.col("_before") < cap)
-    return counted.withColumn("source_rank", F.when(F.col("_candidate"), F.col("_rank") + 1)).drop("_pending", "_candidate", "_before", "_rank")
+    counted = count_before(df, {"_before": "_pending", "_rank": "_candidate"}, below=("_before", left))
+    return counted.withColumn("source_rank", F.when(F.col("_candidate"), ranked + F.col("_rank") + 1)).drop("_pending", "_candidate", "_before", "_rank", "_had", "_ranked")
 
 
-def select_candidates(rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int, filters: dict | None = None) -> DataFrame:
+def select_candidates(
+    rows: DataFrame, seen: DataFrame, excluded: DataFrame, scope: Scope, cap: int, filters: dict | None = None, earlier: Earlier | None = None
+) -> DataFrame:
     """The candidates of each batch, pending and skipped, ranked in source order."""
-    return walk(rows, seen, excluded, scope, cap, filters).filter(F.col("status").isin("pending", "skipped_prefilter")).drop("problem")
+    return walk(rows, seen, excluded, scope, cap, filters, earlier).filter(F.col("status").isin("pending", "skipped_prefilter")).drop("problem")
 
 
 def selection_summary(walked: DataFrame, rows: DataFrame, cap: int) -> DataFrame:

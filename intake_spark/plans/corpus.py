@@ -155,14 +155,20 @@ def site_summary(s, d):
     return P.site_summary(index, documents(s, d).filter("order_key % 9 = 0").select("site", "url"))
 
 
+#: Pending rows of a batch; the first arrival brings 50 rows of it at most, so the second one reaches it.
+STREAM_CAP = 60
+
+
 def stream_intake(s, d):
-    """pages in two arrivals: what the first registers does not come again in the second."""
+    """pages in two arrivals: what the first registers does not come again in the second, and a batch's cap and ranks go on."""
     rows, at = V.source_rows(s, d), scratch(s)
     none = s.createDataFrame([], "org_id string, domain string")
     for test in ("order_key % 2 = 0", "order_key % 2 = 1"):
         rows.filter(test).write.mode("append").parquet(f"{at}/in")
-        streams.stream_intake(s.readStream.schema(rows.schema).parquet(f"{at}/in"), f"{at}/out", f"{at}/check", none, Scope(), 1 << 40).awaitTermination()
-    return s.read.parquet(f"{at}/out/candidates").select(F.col("epoch").cast("long").alias("epoch"), "batch", "order_key", "domain", "status")
+        source = s.readStream.schema(rows.schema).parquet(f"{at}/in")
+        streams.stream_intake(source, f"{at}/out", f"{at}/check", none, Scope(), STREAM_CAP).awaitTermination()
+    found = s.read.parquet(f"{at}/out/candidates")
+    return found.select(F.col("epoch").cast("long").alias("epoch"), "batch", "order_key", "domain", "status", "source_rank")
 
 
 def stream_attempts(s, d):
@@ -178,11 +184,13 @@ def stream_attempts(s, d):
 
 
 def stream_upsert(s, d):
+    """Properties of every second domain, then of all: those that have come before find the records that they have made, and change nothing."""
     at = scratch(s)
-    K.crm(s, d).write.parquet(f"{at}/crm/version=0")
-    staged_props = K._props(s, d).select("key", "reason", "props")
-    staged_props.write.parquet(f"{at}/in")
-    streams.stream_upsert(s.readStream.schema(staged_props.schema).parquet(f"{at}/in"), f"{at}/crm", f"{at}/check").awaitTermination()
+    streams.create_snapshot(K.crm(s, d), f"{at}/crm", buckets=16)
+    props = K._props(s, d).select("key", "reason", "props")
+    for test in ("crc32(key) % 2 = 0", "true"):
+        props.filter(test).write.mode("append").parquet(f"{at}/in")
+        streams.stream_upsert(s.readStream.schema(props.schema).parquet(f"{at}/in"), f"{at}/crm", f"{at}/check").awaitTermination()
     return streams.latest_snapshot(s, f"{at}/crm").select("domain", "sourcing_qualification_status", "sourcing_account_stage", "sourcing_sourced_from", "numberofemployees")
 
 
@@ -250,8 +258,14 @@ SQL = {
     "job_mentions": f"WITH {JOBS} SELECT site, count(*) AS postings, count(*) FILTER (doc_id % 5 = 0) AS mentions FROM v_jobs GROUP BY 1",
     "pick_feed": f"WITH {JOBS}, n AS (SELECT site, place, count(*) AS jobs FROM v_jobs GROUP BY 1, 2), b AS (SELECT * FROM n WHERE NOT (length(site) = 12 AND place = 0) UNION ALL SELECT site, place + 1000, jobs FROM n) SELECT site, min(place) AS place, arg_min(jobs, place)::INT AS jobs FROM b GROUP BY 1",
     "site_summary": f"WITH {USABLE}, i AS (SELECT site, count(*) AS pages, count(*) FILTER (terms <> '-') AS with_terms FROM v_index GROUP BY 1), f AS (SELECT source AS site, count(*) AS refused FROM documents WHERE doc_id % 9 = 0 GROUP BY 1) SELECT site, pages, with_terms, coalesce(refused, 0) AS refused FROM i LEFT JOIN f USING (site)",
-    "stream_intake": f"""WITH {FIRST}, h AS (SELECT * FROM (SELECT *, order_key % 2 AS epoch, row_number() OVER (PARTITION BY batch, key, order_key % 2 ORDER BY order_key) AS m FROM v_key) WHERE m = 1 AND key <> 'name:')
-        SELECT epoch, batch, order_key, domain, CASE WHEN domain IS NULL THEN 'skipped_prefilter' ELSE 'pending' END AS status FROM h WHERE epoch = 0 OR domain IS NULL OR domain NOT IN (SELECT domain FROM h WHERE epoch = 0 AND domain IS NOT NULL)""",
+    "stream_intake": f"""WITH {FIRST}, h AS (SELECT * FROM (SELECT *, order_key % 2 AS epoch, row_number() OVER (PARTITION BY batch, key, order_key % 2 ORDER BY order_key) AS m FROM v_key) WHERE m = 1 AND key <> 'name:'),
+        a AS (SELECT * FROM (SELECT *, count(domain) OVER (PARTITION BY batch ORDER BY order_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, row_number() OVER (PARTITION BY batch ORDER BY order_key) AS source_rank FROM h WHERE epoch = 0)
+            WHERE before < {STREAM_CAP}),
+        c AS (SELECT batch, count(domain) AS pending, count(*) AS ranked FROM a GROUP BY 1),
+        n AS (SELECT * FROM h WHERE epoch = 1 AND NOT EXISTS (SELECT 1 FROM a WHERE a.domain = h.domain OR a.domain IS NULL AND h.domain IS NULL AND a.batch = h.batch AND a.key = h.key)),
+        b AS (SELECT * FROM (SELECT n.*, coalesce(pending, 0) + count(domain) OVER (PARTITION BY batch ORDER BY order_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+            coalesce(ranked, 0) + row_number() OVER (PARTITION BY batch ORDER BY order_key) AS source_rank FROM n LEFT JOIN c USING (batch)) WHERE before < {STREAM_CAP})
+        SELECT epoch, batch, order_key, domain, CASE WHEN domain IS NULL THEN 'skipped_prefilter' ELSE 'pending' END AS status, source_rank FROM (SELECT * FROM a UNION ALL SELECT * FROM b)""",
     "stream_attempts": """WITH e AS (SELECT user_id::VARCHAR AS key, event_type = 'view' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events), f AS (SELECT key, min(n) FILTER (ok) AS hit, count(*) AS c FROM e GROUP BY 1)
         SELECT key, CASE WHEN hit <= 2 THEN hit ELSE least(c, 2) END AS attempts, CASE WHEN hit <= 2 THEN 'done' WHEN c >= 2 THEN 'given_up' ELSE 'error' END AS state FROM f""",
     "stream_upsert": K.SQL["merge_crm"],

@@ -16,16 +16,39 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import crm as H
 from ..operators import selection as S
-from ..sources.tables import existing
+from ..sources.buckets import Buckets
+from ..sources.tables import existing, staged
+from .registry import BUCKET_ROWS, Registry
 
 
-def stream_intake(rows: DataFrame, out: str, checkpoint: str, excluded: DataFrame, scope: S.Scope, cap: int) -> StreamingQuery:
-    """Rows as they arrive (batch, order_key and company fields) to candidates; a domain that any earlier micro-batch has registered resurfaces, and is not written."""
+def stream_intake(rows: DataFrame, out: str, checkpoint: str, excluded: DataFrame, scope: S.Scope, cap: int, bucket_rows: int = BUCKET_ROWS) -> StreamingQuery:
+    """Rows as they arrive (batch, order_key and company fields) to the candidates that one job over all rows of a batch, in the order of arrival, would select.
+
+    Cap and rank of a batch go on over its micro-batches: what has been selected of it so far lies in `batches`, a line a batch. Candidates' domains, and
+    for those without one batch and name, lie in a registry; a domain that it holds resurfaces and is not written. Micro-batch n writes
+    candidates/epoch=n and version n + 1 of both, from version n; when it runs again it replaces just these.
+    """
+    registry = Registry(f"{out}/registry", bucket_rows)
+    named = F.concat(F.col("batch"), F.lit("\n"), F.col("_key"))  # no domain holds a line break
+
     def each(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        old = existing(spark, f"{out}/candidates")
-        before = spark.createDataFrame([], "domain string") if old is None else old.filter(F.col("epoch") < epoch).select("domain").filter("domain IS NOT NULL").distinct()
-        S.select_candidates(df, before, excluded, scope, cap).write.mode("overwrite").parquet(f"{out}/candidates/epoch={epoch}")
+        keyed = S.clean_rows(df).select("batch", "domain", S.row_key().alias("_key"))
+        asked = keyed.select(F.coalesce("domain", named).alias("key")).distinct()
+        known = staged(registry.known(asked, epoch), "known")
+        parts = F.split("key", "\n", 2)
+        seen = known.filter(~F.contains("key", F.lit("\n"))).select(F.col("key").alias("domain"))
+        again = known.filter(F.contains("key", F.lit("\n"))).select(parts[0].alias("batch"), parts[1].alias("key"))
+        had = existing(spark, f"{out}/batches/version={epoch}") if epoch else None
+        had = spark.createDataFrame([], "batch string, pending bigint, ranked bigint") if had is None else had
+        found = S.select_candidates(df, seen, excluded, scope, cap, earlier=S.Earlier(had, again))
+        found.write.mode("overwrite").parquet(f"{out}/candidates/epoch={epoch}")
+        written = spark.read.schema(found.schema).parquet(f"{out}/candidates/epoch={epoch}")
+        new = written.groupBy("batch").agg(F.count_if(F.col("status") == "pending").alias("pending"), F.count("*").alias("ranked"))
+        both = had.unionByName(new).groupBy("batch").agg(F.sum("pending").alias("pending"), F.sum("ranked").alias("ranked"))
+        both.coalesce(1).write.mode("overwrite").parquet(f"{out}/batches/version={epoch + 1}")
+        keys = written.withColumn("_key", S.row_key()).select(F.coalesce("domain", named).alias("key")).distinct()
+        registry.register(staged(keys, "keys"), epoch)
 
     return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -55,16 +78,48 @@ def stream_attempts(events: DataFrame, max_attempts: int = 2) -> DataFrame:
     return events.filter("key IS NOT NULL").groupBy("key").applyInPandasWithState(step, out, kept, "update", GroupStateTimeout.NoTimeout)
 
 
+def _records(snapshots: str, schema: T.StructType) -> Buckets:
+    return Buckets(f"{snapshots}/records", "id", schema)
+
+
+def _hosts(snapshots: str) -> Buckets:
+    return Buckets(f"{snapshots}/hosts", "host", T.StructType([T.StructField("host", T.StringType()), T.StructField("id", T.StringType())]))
+
+
+def create_snapshot(crm: DataFrame, snapshots: str, buckets: int = 256) -> None:
+    """Version 0 of a CRM: its records in buckets by id, and an index of them by host."""
+    _records(snapshots, crm.schema).create(crm, buckets)
+    _hosts(snapshots).create(H.crm_hosts(crm).select("host", "id"), buckets)
+
+
 def stream_upsert(props: DataFrame, snapshots: str, checkpoint: str) -> StreamingQuery:
-    """Properties (key, props) as they arrive into the newest snapshot of the CRM below `snapshots` (version=0, 1, ...): each micro-batch writes the next."""
+    """Properties (key, props) as they arrive into the CRM below `snapshots` (create_snapshot): micro-batch n makes version n + 1 of version n.
+
+    The index by host says which records a micro-batch is about; it reads the buckets that hold those, and writes the buckets in which a record changes or
+    a new one belongs. The others are what they were, file by file.
+    """
     def each(df: DataFrame, epoch: int) -> None:
-        crm = df.sparkSession.read.parquet(f"{snapshots}/version={epoch}")
-        H.merge_crm(crm, H.plan_actions(df, crm)).write.mode("overwrite").parquet(f"{snapshots}/version={epoch + 1}")
+        spark, hosts = df.sparkSession, _hosts(snapshots)
+        records = _records(snapshots, _schema(spark, snapshots))
+        of = records.entries(spark, epoch)[0].of
+        keys = staged(df.filter("props IS NOT NULL").select(F.col("key").alias("host")).distinct(), "hosts")
+        asked = hosts.read(spark, epoch, hosts.hit(keys, of)).join(keys, "host", "left_semi")
+        ids = staged(asked.select("id").distinct(), "ids")
+        near = records.read(spark, epoch, records.hit(ids, of)).join(ids, "id", "left_semi")
+        plan = staged(H.plan_actions(df, near).filter("action IN ('created', 'updated')"), "plan")
+        changed = F.when(F.col("action") == "created", H.new_id("key")).otherwise(F.col("id"))
+        touched = records.hit(plan.select(changed.alias("id")), of)
+        records.replace(H.merge_crm(records.read(spark, epoch, touched), plan), epoch + 1, touched)
+        created = H.crm_hosts(plan.filter("action = 'created'").select(H.new_id("key").alias("id"), F.col("changes")["domain"].alias("domain"), F.col("changes")["website"].alias("website")))
+        hosts.append(created.select("host", "id"), epoch + 1)
 
     return props.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _schema(spark: SparkSession, snapshots: str) -> T.StructType:
+    return T.StructType([f for f in spark.read.parquet(f"{snapshots}/records/data/version=0").schema if f.name != "bucket"])
+
+
 def latest_snapshot(spark: SparkSession, snapshots: str) -> DataFrame:
-    every = spark.read.parquet(snapshots)
-    newest = every.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{snapshots}/version={newest}")
+    newest = spark.read.parquet(f"{snapshots}/records/manifest").agg(F.max("version")).first()[0]
+    return _records(snapshots, _schema(spark, snapshots)).read(spark, newest)
