@@ -5,15 +5,17 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..sources.tables import staged
+from .components import contracted
 
 #: Answers and page marks that mean a refusal.
 BLOCK_STATUSES = (401, 403, 407, 429, 503)
@@ -122,17 +124,32 @@ def robots_rules(robots: DataFrame, agent: str) -> DataFrame:
     groups = agents.join(best, ["host", "own"], "left_semi").select("host", "group").distinct()
     rules = lines.filter("key <> 'user-agent' AND value <> ''").join(groups, ["host", "group"])
     quoted = F.concat(F.lit(r"^\Q"), F.replace(F.regexp_replace("value", r"\$$", ""), F.lit("*"), F.lit(r"\E.*\Q")), F.lit(r"\E"), F.when(F.endswith("value", F.lit("$")), "$").otherwise(""))
-    return rules.select("host", (F.col("key") == "allow").alias("allow"), quoted.alias("pattern"), F.length("value").alias("length"))
+    prefix = F.substring_index(F.regexp_replace("value", r"\$$", ""), "*", 1)
+    plain = ~F.contains("value", F.lit("*")) & ~F.endswith("value", F.lit("$"))
+    return rules.select("host", (F.col("key") == "allow").alias("allow"), quoted.alias("pattern"), F.length("value").alias("length"), prefix.alias("prefix"), plain.alias("plain"))
+
+
+def longest_rules(asked: DataFrame, rules: DataFrame) -> DataFrame:
+    """asked (host, _place), distinct, to (host, _place, _best) with length and allow of the longest rule that matches; places without one are left out.
+
+    A place is looked up by its own beginnings, of the lengths that the host's rules begin with: a level of a trie each, as a hash join. So its work does not
+    grow with the host's rules, but for those with a wildcard or an end mark behind a beginning that it has. Spark splits a host with very many places.
+    """
+    first = rules.groupBy("host", "prefix", "plain", F.when(~F.col("plain"), F.col("pattern")).alias("pattern")).agg(F.max(F.struct("length", "allow")).alias("rule"))
+    levels = rules.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("_levels"))
+    deep = F.filter("_levels", lambda n: n <= F.length("_place"))
+    begun = asked.join(levels, "host").select("host", "_place", F.explode(deep).alias("_n")).withColumn("prefix", F.expr("substring(_place, 1, _n)")).drop("_n")
+    hits = begun.join(first, ["host", "prefix"]).filter(F.expr("plain OR _place RLIKE pattern"))
+    return hits.groupBy("host", "_place").agg(F.max("rule").alias("_best"))
 
 
 def robots_allowed(urls: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
     """urls (url) with allowed, by the longest rule that matches path and query (allow on a tie); a host without an answer allows nothing."""
     u = urls.withColumn("host", F.try_parse_url("url", F.lit("HOST")))
-    place = F.concat(F.coalesce(C.blank_to_null(F.try_parse_url("url", F.lit("PATH"))), F.lit("/")), F.coalesce(F.concat(F.lit("?"), F.try_parse_url("url", F.lit("QUERY"))), F.lit("")))
-    u = u.withColumn("_place", place)
+    path, query = C.blank_to_null(F.try_parse_url("url", F.lit("PATH"))), F.try_parse_url("url", F.lit("QUERY"))
+    u = u.withColumn("_place", F.concat(F.coalesce(path, F.lit("/")), F.coalesce(F.concat(F.lit("?"), query), F.lit(""))))
     asked = u.select("host", "_place").filter("host IS NOT NULL").distinct()
-    hits = asked.join(robots_rules(robots, agent), "host").filter(F.expr("_place RLIKE pattern"))
-    verdict = hits.groupBy("host", "_place").agg(F.max(F.struct("length", "allow")).alias("_best"))
+    verdict = longest_rules(asked, robots_rules(robots, agent))
     known = robots.select("host").distinct().withColumn("_known", F.lit(True))
     out = u.join(verdict, ["host", "_place"], "left").join(known, "host", "left")
     allowed = F.when(F.col("_known").isNull(), False).when(F.col("_place") == "/robots.txt", True).otherwise(F.coalesce(F.col("_best.allow"), F.lit(True)))
@@ -198,14 +215,18 @@ def prepared(pages: DataFrame) -> DataFrame:
     return out.withColumn("good", ~F.col("title").rlike(NOT_FOUND) & ~F.left("_text", F.lit(600)).rlike(SOFT_404) & (F.col("words") >= MIN_WORDS)).drop("_text")
 
 
+#: Rounds of grouped minima before what is left is walked through.
+MINIMA = 2
+
+
 def first_of_both(rows: DataFrame) -> DataFrame:
     """Of rows (site, order_key, url, hash) in order: those with neither address nor hash of an earlier row that stays.
 
-    In each round, rows that come first under both keys stay, and later rows that share a key with one that stays go. The rest goes into the next
-    round; each settles at least the first of what is left, and nearly all rows are settled in the first two.
+    In a round of grouped minima, rows that come first under both keys stay, and later rows that share a key with one that stays go. That settles
+    nearly all rows in two rounds. What is left, long chains of shared keys, is cut into connected components, and each is walked through in order.
     """
     kept, open_ = None, rows.select("site", "order_key", "url", "hash")
-    while True:
+    for _ in range(MINIMA):
         first = lambda key: open_.groupBy("site", key).agg(F.min("order_key").alias(f"_{key}"))  # noqa: B023, E731
         marked = open_.join(first("url"), ["site", "url"]).join(first("hash"), ["site", "hash"])
         marked = staged(marked.withColumn("stays", (F.col("order_key") == F.col("_url")) & (F.col("order_key") == F.col("_hash"))), "pages")
@@ -215,6 +236,37 @@ def first_of_both(rows: DataFrame) -> DataFrame:
         open_ = staged(marked.filter("NOT stays").select("site", "order_key", "url", "hash").join(gone("url"), ["site", "url"], "left_anti").join(gone("hash"), ["site", "hash"], "left_anti"), "pages")
         if open_.isEmpty():
             return kept.select("site", "order_key")
+    return kept.select("site", "order_key").unionByName(walked_through(open_))
+
+
+def walked_through(rows: DataFrame) -> DataFrame:
+    """(site, order_key) of the rows (site, order_key, url, hash) that stay, by a walk in order through each connected component of rows that share keys.
+
+    Components that the contraction does not finish are walked through together, site by site. A task streams through its rows and
+    holds the keys that stay of one component.
+    """
+    own = staged(rows.withColumn("node", F.monotonically_increasing_id()), "rows")
+    star = lambda key: own.join(own.groupBy("site", key).agg(F.min("node").alias("b")), ["site", key]).select(F.col("node").alias("a"), "b")
+    labels = contracted(star("url").unionByName(star("hash")))
+    # A row that shares no key with another has no edge, and is a component by itself.
+    grouped = own.join(labels, "node", "left").withColumn("_group", F.when(F.col("label").isNull(), F.col("node")).when(F.col("whole"), F.col("label")).otherwise(-1))
+    order = ["site", "_group", "order_key"]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_, urls, hashes = None, set(), set()
+        for batch in batches:
+            stays = []
+            for site, group, url, hash_ in zip(*[batch.column(c).to_pylist() for c in ("site", "_group", "url", "hash")], strict=True):
+                if own_ != (site, group):
+                    own_, urls, hashes = (site, group), set(), set()
+                stays.append(url not in urls and hash_ not in hashes)
+                if stays[-1]:
+                    urls.add(url)
+                    hashes.add(hash_)
+            yield batch.select(["site", "order_key"]).filter(pa.array(stays, pa.bool_()))
+
+    sorted_ = grouped.select(*order, "url", "hash").repartition("site", "_group").sortWithinPartitions(*order)
+    return sorted_.mapInArrow(walk, rows.select("site", "order_key").schema)
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..sources.tables import BATCH, staged
-from .selection import count_before
+from .selection import RUN, count_before
 
 #: How a message of the judging tool that a limit is reached begins, and signs of a passing failure.
 LIMIT = (
@@ -69,34 +69,59 @@ class Limits:
     reserve: float = 120
 
 
-def stop_point(outcomes: DataFrame, limits: Limits) -> DataFrame:
+def scanned(df: DataFrame, by: str, sums: dict[str, Column], streaks: dict[str, tuple[Column, Column]], segment: int | None = None) -> DataFrame:
+    """df (by, order_key) with, for each of sums, its sum over earlier rows of the group, and, for each of streaks, how many rows with its first flag there
+    are since the last one with its second, up to the row itself.
+
+    Rows are scanned in segments of order keys. A segment's summary is its sums, its trailing streak, and whether any row has ended one before; summaries
+    combine in order, so a group of any size is many tasks, and only a line a segment meets in one.
+    """
+    rows = df.withColumn("_seg", F.floor(F.col("order_key") / (segment or RUN)).cast("long"))
+    inside = Window.partitionBy(by, "_seg").orderBy("order_key")
+    upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    flags = {f"_f_{k}": zero(flag.cast("int")) for k, (flag, _) in streaks.items()} | {f"_r_{k}": zero(end.cast("int")) for k, (_, end) in streaks.items()}
+    rows = rows.withColumns(flags | {f"_v_{k}": zero(v) for k, v in sums.items()})
+    rows = rows.withColumns({f"_b_{k}": zero(F.sum(f"_v_{k}").over(before)) for k in sums} | {f"_i_{k}": F.sum(f"_r_{k}").over(upto) for k in streaks})
+    island = lambda k: Window.partitionBy(by, "_seg", f"_i_{k}").orderBy("order_key").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"_s_{k}": F.sum(f"_f_{k}").over(island(k)) for k in streaks})
+
+    trailing = {f"_t_{k}": F.max_by(f"_s_{k}", "order_key") for k in streaks} | {f"_e_{k}": F.max(f"_r_{k}") for k in streaks}
+    parts = rows.groupBy(by, "_seg").agg(*[F.sum(f"_v_{k}").alias(f"_w_{k}") for k in sums], *[c.alias(k) for k, c in trailing.items()])
+    earlier = Window.partitionBy(by).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    ends = {f"_g_{k}": zero(F.sum(f"_e_{k}").over(Window.partitionBy(by).orderBy("_seg"))) for k in streaks}
+    parts = parts.withColumns({f"_c_{k}": zero(F.sum(f"_w_{k}").over(earlier)) for k in sums} | ends)
+    # What a segment hands on: its own trailing streak, and, if none of its rows has ended one, what was handed to it.
+    parts = parts.withColumns({f"_u_{k}": F.sum(f"_t_{k}").over(Window.partitionBy(by, f"_g_{k}").orderBy("_seg")) for k in streaks})
+    handed = {f"_h_{k}": zero(F.lag(f"_u_{k}").over(Window.partitionBy(by).orderBy("_seg"))) for k in streaks}
+    parts = parts.withColumns(handed).select(by, "_seg", *[f"_c_{k}" for k in sums], *handed)
+    out = rows.join(parts, [by, "_seg"])
+    made = {k: F.col(f"_b_{k}") + F.col(f"_c_{k}") for k in sums} | {k: F.col(f"_s_{k}") + F.when(F.col(f"_i_{k}") == 0, F.col(f"_h_{k}")).otherwise(0) for k in streaks}
+    return out.select(*df.columns, *[c.alias(k) for k, c in made.items()])
+
+
+def stop_point(outcomes: DataFrame, limits: Limits, segment: int | None = None) -> DataFrame:
     """outcomes (run, order_key, kind, good, crm_only, duration) with `processed` so far, `state` and the run's stop reason.
 
     state: done (worked on and counted), left (the row at which the run stopped, untouched) or after. A usage limit, the cap and the deadline stop at
     their row without counting it; the streaks count the row that completes them. Only a good verdict ends a streak of errors, any outcome but
     a transient one ends a streak of those, and retries of the CRM write alone touch neither.
     """
-    run = Window.partitionBy("run").orderBy("order_key")
-    upto, before = run.rowsBetween(Window.unboundedPreceding, 0), run.rowsBetween(Window.unboundedPreceding, -1)
     crm = F.coalesce("crm_only", F.lit(False))
-    limit, transient = (~crm & (F.col("kind") == "usage_limit")), (~crm & (F.col("kind") == "transient"))
-    good, error = (~crm & F.coalesce("good", F.lit(False))), (~crm & ~F.coalesce("good", F.lit(False)) & (F.col("kind") != "usage_limit"))
-    df = outcomes.withColumns({
-        "_before": F.count("*").over(before), "_spent": F.coalesce(F.sum("duration").over(before), F.lit(0.0)),
-        "_ei": F.sum(good.cast("int")).over(upto), "_ti": F.sum((~transient & ~crm).cast("int")).over(upto), "_limit": limit, "_error": error, "_transient": transient,
-    })
-    streak = lambda island, flag: F.sum(F.col(flag).cast("int")).over(Window.partitionBy("run", island).orderBy("order_key").rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumns({"_es": streak("_ei", "_error"), "_ts": streak("_ti", "_transient")})
+    limit, transient = ~crm & (F.col("kind") == "usage_limit"), ~crm & (F.col("kind") == "transient")
+    good = ~crm & F.coalesce("good", F.lit(False))
+    error = ~crm & ~F.coalesce("good", F.lit(False)) & (F.col("kind") != "usage_limit")
+    df = scanned(outcomes, "run", {"_before": F.lit(1), "_spent": F.col("duration")}, {"_es": (error, good), "_ts": (transient, ~transient & ~crm)}, segment)
     why = (
-        F.when(F.col("_before") >= limits.cap, "cap_reached").when(F.lit(limits.seconds) - F.col("_spent") < limits.reserve, "deadline").when(F.col("_limit"), "usage_limit")
-        .when(F.col("_transient") & (F.col("_ts") >= limits.transients), "api_errors").when(F.col("_error") & (F.col("_es") >= limits.errors), "consecutive_errors")
+        F.when(F.col("_before") >= limits.cap, "cap_reached").when(F.lit(limits.seconds) - F.col("_spent") < limits.reserve, "deadline").when(limit, "usage_limit")
+        .when(transient & (F.col("_ts") >= limits.transients), "api_errors").when(error & (F.col("_es") >= limits.errors), "consecutive_errors")
     )
     df = df.withColumn("_why", why)
     stopped = df.groupBy("run").agg(F.min(F.when(F.col("_why").isNotNull(), F.struct("order_key", "_why"))).alias("_stop"))
     df = df.join(stopped, "run")
     at, counted = F.col("_stop.order_key"), F.col("_stop._why").isin("api_errors", "consecutive_errors")
     state = F.when(at.isNull() | (F.col("order_key") < at) | ((F.col("order_key") == at) & counted), "done").when(F.col("order_key") == at, "left").otherwise("after")
-    return df.withColumn("stop_reason", F.col("_stop._why")).withColumn("state", state).drop(*[c for c in df.columns if c.startswith("_")])
+    return df.select(*outcomes.columns, F.col("_stop._why").alias("stop_reason"), state.alias("state"))
 
 
 def apply_outcomes(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -135,13 +160,11 @@ def resume_decision(runs: DataFrame, max_api_errors: int = 4) -> DataFrame:
 
     After a row of API errors longer than allowed, or a run that got through nothing, the chain stops.
     """
-    order = Window.partitionBy("chain").orderBy("order_key")
     api = F.coalesce(F.col("stopped_reason") == "api_errors", F.lit(False))
-    df = runs.withColumn("_island", F.sum((~api).cast("int")).over(order))
-    df = df.withColumn("_streak", F.sum(api.cast("int")).over(Window.partitionBy("chain", "_island").orderBy("order_key")) - 1)
+    df = scanned(runs, "chain", {}, {"_streak": (api, ~api)}).withColumn("_streak", F.col("_streak") - 1)
     goes_on = F.coalesce("stopped_reason", F.lit("")).isin("", "completed", "deadline", "cap_reached")
     decision = (
         F.when(F.col("stopped_reason") == "usage_limit", "wait_reset").when(api, F.when(F.col("_streak") < max_api_errors, "wait_api").otherwise("stop"))
         .when(goes_on & (F.coalesce("processed", F.lit(0)) > 0), "continue").otherwise("stop")
     )
-    return df.withColumn("decision", decision).withColumn("wait_seconds", F.when(F.col("decision") == "wait_reset", C.reset_wait("message", F.col("at")))).drop("_island", "_streak")
+    return df.withColumn("decision", decision).withColumn("wait_seconds", F.when(F.col("decision") == "wait_reset", C.reset_wait("message", F.col("at")))).drop("_streak")

@@ -139,3 +139,20 @@ def test_search_address(spark):
     got = {r.filter: (r["items"], r.low) for r in U.search_params(df).collect()}
     assert got == {"organization_locations": (["United States"], None), "revenue_range": ([], "1500000")}
     assert {r.param: r.reason for r in U.unmapped_params(df).collect()} == {"revenueRange": "range without [min] or [max]", "zzz": "unknown parameter"}
+
+
+def test_stop_point_over_segments(spark):
+    """The same loop, with runs that are cut into segments of 7 rows."""
+    rng, lim, data, want = random.Random(12), N.Limits(cap=45, seconds=4000, errors=9, transients=8), [], {}
+    for run in range(40):
+        odds = rng.choice([[1, 6, 3, 0.05], [6, 1, 1, 0.05], [0.3, 9, 0.2, 0.0], [0.2, 0.2, 9, 0.0]])
+        events = [(rng.choices(["ok", "error", "transient", "usage_limit"], odds)[0], rng.random() < 0.15, float(rng.randint(1, 120))) for _ in range(60)]
+        want[run] = walk(events, lim)
+        data += [(run, i, k, k == "ok", c, d) for i, (k, c, d) in enumerate(events)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "run int, order_key int, kind string, good boolean, crm_only boolean, duration double").repartition(3)
+    rows = N.stop_point(df, lim, segment=7).orderBy("run", "order_key").collect()
+    assert len({reason for _, reason in want.values()}) >= 4
+    for run, (states, reason) in want.items():
+        mine = [r for r in rows if r.run == run]
+        assert [r.state for r in mine] == states and {r.stop_reason for r in mine} == {reason}

@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -86,3 +87,27 @@ def test_reachable(spark):
     seeds = spark.createDataFrame([("s", "a")], "site string, url string")
     assert {(r.url, r.depth) for r in P.reachable(seeds, links).collect()} == {("a", 0), ("b", 1), ("c", 2)}
     assert P.reachable(seeds, links, cap=2).count() == 2 and F is not None
+
+
+def test_a_long_chain_takes_a_fixed_number_of_rounds(spark, monkeypatch):
+    """Each page shares its address with the one before and its text with the one after, so every other one stays."""
+    jobs = []
+    monkeypatch.setattr(P, "staged", lambda df, kind, keep=P.staged: jobs.append(kind) or keep(df, kind))
+    n = 10_000
+    df = spark.range(n).selectExpr("'s' AS site", "id AS order_key", "concat('u', (id + 1) DIV 2) AS url", "concat('h', id DIV 2) AS hash").repartition(4)
+    assert sorted(r.order_key for r in P.first_of_both(df).collect()) == list(range(0, n, 2)) and len(jobs) == 5
+
+
+def test_rules_are_looked_up_by_their_beginnings(spark):
+    """Against all rules of a host, one by one."""
+    rng = random.Random(8)
+    piece = lambda: rng.choice(["a", "b", "ab", "*", "/", "/a", "c", "?"])
+    lines = ["User-agent: *"] + [f"{rng.choice(['Allow', 'Disallow'])}: /{''.join(piece() for _ in range(rng.randint(0, 5)))}{rng.choice(['', '', '$'])}" for _ in range(120)] + ["Disallow: *b"]
+    robots = spark.createDataFrame([("h.example", 200, "\n".join(lines)), ("k.example", 200, "")], "host string, status int, body string")
+    urls = [f"https://{rng.choice(['h', 'h', 'k'])}.example/{''.join(piece() for _ in range(rng.randint(0, 8)))}" for _ in range(300)]
+    rules = [(r.allow, r.pattern, r.length) for r in P.robots_rules(robots, "x").filter("host = 'h.example'").collect()]
+    got = {r.url: r.allowed for r in P.robots_allowed(spark.createDataFrame([(u,) for u in urls], "url string"), robots, "x").collect()}
+    for url in urls:
+        place = url.split(".example", 1)[1]
+        hits = [(length, allow) for allow, pattern, length in rules if re.search(re.sub(r"\\Q(.*?)\\E", lambda m: re.escape(m[1]), pattern), place)]
+        assert got[url] == (max(hits)[1] if hits and "//h." in url else True), url
