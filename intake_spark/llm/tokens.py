@@ -2,8 +2,8 @@
 
 For byte-level BPE files the library encodes distinct pre-tokens and the ids are joined, which gives the same ids as encoding whole
 texts: BPE never crosses a pre-token. Pre-tokens are encoded many to a call: those that begin with a space follow each other, the
-others are put on lines of their own, and the library's pre-tokenizer parts them again. A worker remembers those used lately, up to a
-bound in bytes. Other files, texts with characters outside the blocks that the splitting pattern below covers, and texts
+others are put on lines of their own, and the library's pre-tokenizer parts them again. A worker remembers those used lately, in arrays, up to
+a bound in bytes. Other files, texts with characters outside the blocks that the splitting pattern below covers, and texts
 with the content of an added token that counts, go to the library whole.
 """
 
@@ -22,15 +22,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from .caches import Generations
 from .common import parts_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Bytes of pre-tokens and their ids that a worker remembers, about.
-CACHE_BYTES = 48 << 20
-#: What Python needs for an entry besides its characters and ids.
-ENTRY_BYTES = 180
+CACHE_BYTES = 40 << 20
+#: What an entry takes besides its characters and ids: hash, number, where both begin and end, and when it was last used.
+ENTRY_BYTES = 44
 #: Pre-tokens in one call of the library.
 AT_ONCE = 2000
 #: Characters of texts whose pre-tokens are looked up together.
@@ -100,11 +99,34 @@ def _apart(joined: str, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.nda
     return np.unique(which, return_index=True)[1], which
 
 
-class _Words(Generations):
-    """Pre-token to its ids as bytes."""
+class _Growing:
+    """An array that takes more values at its end."""
 
-    def __init__(self, tokenizer):
-        super().__init__(CACHE_BYTES)
+    def __init__(self, dtype):
+        self.all, self.n = np.zeros(1024, dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.n + len(values)
+        if need > len(self.all):
+            self.all = np.concatenate([self.all[: self.n], np.zeros(need - self.n + need // 4, self.all.dtype)])
+        self.all[self.n : need] = values
+        self.n = need
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at starts, one after the other."""
+    upto = np.cumsum(lengths)
+    return np.repeat(starts - (upto - lengths), lengths) + np.arange(upto[-1] if len(upto) else 0)
+
+
+class _Words:
+    """Pre-tokens and their ids, found by hash and compared in full; all is held in arrays, so that many fit in few bytes.
+
+    Beyond `limit` bytes, what has not been used since that happened last is forgotten (or all, if that would not halve it).
+    """
+
+    def __init__(self, tokenizer, limit: int | None = None):
+        self.limit, self.clock, self.since = limit or CACHE_BYTES, 0, 0
         self.tokenizer = tokenizer
         vocabulary = tokenizer.get_vocab()
         size = max(vocabulary.values(), default=0) + 1
@@ -112,9 +134,70 @@ class _Words(Generations):
         self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         newline = tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline = newline[0] if len(newline) == 1 else None
-
-    def weigh(self, entries: dict[str, bytes]) -> int:
-        return ENTRY_BYTES * len(entries) + sum(map(len, entries)) + sum(map(len, entries.values()))
+        self.empty()
+
+    def empty(self) -> None:
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted by hash
+        self.chars, self.ids = _Growing(np.uint16), _Growing("<u4")  # covered characters are below 2^16
+        self.char_at, self.chars_n, self.id_at, self.ids_n, self.used = _Growing(np.int64), _Growing(np.int32), _Growing(np.int64), _Growing(np.int32), _Growing(np.int32)
+
+    @property
+    def held(self) -> int:
+        return ENTRY_BYTES * len(self.hashes) + 2 * self.chars.n + 4 * self.ids.n
+
+    def forget(self) -> None:
+        keep = np.flatnonzero(self.used.all[: self.used.n] > self.since)
+        chars_n, ids_n, used = self.chars_n.all[keep], self.ids_n.all[keep], self.used.all[keep]
+        chars = self.chars.all[_ragged(self.char_at.all[keep], chars_n)]
+        ids = self.ids.all[_ragged(self.id_at.all[keep], ids_n)]
+        place = np.full(self.used.n, -1, np.int32)
+        place[keep] = np.arange(len(keep), dtype=np.int32)
+        numbers = place[self.numbers]
+        hashes, numbers = self.hashes[numbers >= 0], numbers[numbers >= 0]
+        self.empty()
+        self.since = self.clock
+        if ENTRY_BYTES * len(keep) + 2 * len(chars) + 4 * len(ids) <= self.limit // 2:
+            self.hashes, self.numbers = hashes, numbers
+            for to, values in ((self.chars, chars), (self.ids, ids), (self.char_at, np.cumsum(chars_n) - chars_n), (self.chars_n, chars_n), (self.id_at, np.cumsum(ids_n) - ids_n), (self.ids_n, ids_n), (self.used, used)):
+                to.add(values)
+
+    def look_up(self, hashes: np.ndarray, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, text: str) -> np.ndarray | None:
+        """The numbers of distinct pre-tokens (sorted hashes, and where each lies in codes and text); None if a known one has the hash of another."""
+        if self.held > self.limit:
+            self.forget()
+        self.clock += 1
+        at = np.searchsorted(self.hashes, hashes)
+        hit = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        hit[inside] = self.hashes[at[inside]] == hashes[inside]
+        numbers = np.zeros(len(hashes), np.int32)
+        numbers[hit] = self.numbers[at[hit]]
+        known, places = numbers[hit], starts[hit]
+        if (self.chars_n.all[known] != lengths[hit]).any():
+            return None
+        if (self.chars.all[_ragged(self.char_at.all[known], lengths[hit])] != codes[_ragged(places, lengths[hit])]).any():
+            return None
+        new = np.flatnonzero(~hit)
+        if len(new):
+            numbers[new] = np.arange(self.used.n, self.used.n + len(new), dtype=np.int32)
+            words = [text[a : a + n] for a, n in zip(starts[new].tolist(), lengths[new].tolist(), strict=True)]
+            made = self.made(words)
+            sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+            self.char_at.add(self.chars.n + np.cumsum(lengths[new], dtype=np.int64) - lengths[new])
+            self.chars_n.add(lengths[new])
+            self.chars.add(codes[_ragged(starts[new], lengths[new])])
+            self.id_at.add(self.ids.n + np.cumsum(sizes) - sizes)
+            self.ids_n.add(sizes)
+            self.ids.add(np.frombuffer(b"".join(made), "<u4"))
+            self.used.add(np.zeros(len(new), np.int32))
+            self.hashes, self.numbers = np.insert(self.hashes, at[new], hashes[new]), np.insert(self.numbers, at[new], numbers[new])
+        self.used.all[numbers] = self.clock
+        return numbers
+
+    def made(self, words: list[str]) -> list[bytes]:
+        """The ids of each of distinct pre-tokens; a separator has none."""
+        found = self.make([w for w in words if w[0] != SEPARATOR])
+        return list(map(found.get, words, itertools.repeat(b"")))
 
     def make(self, words: list[str]) -> dict[str, bytes]:
         """Pre-tokens and their ids."""
@@ -179,18 +262,21 @@ class Encoder:
         starts = pre_tokens(codes).astype(np.int32)
         lengths, every = np.diff(np.append(starts, len(codes))).astype(np.int32), np.arange(len(codes), dtype=np.int32)
         hashed = np.add.reduceat((codes + np.uint64(1)) * _POWERS[every - np.repeat(starts, lengths) & len(_POWERS) - 1], starts)
-        _, first, which = np.unique(hashed ^ lengths.astype(np.uint64) << np.uint64(48), return_index=True, return_inverse=True)
+        distinct, first, which = np.unique(hashed ^ lengths.astype(np.uint64) << np.uint64(48), return_index=True, return_inverse=True)
         same = first[which]
-        if (lengths[same] != lengths).any() or (codes[every + np.repeat(starts[same] - starts, lengths)] != codes).any():
+        apart = bool((lengths[same] != lengths).any()) or bool((codes[every + np.repeat(starts[same] - starts, lengths)] != codes).any())
+        if apart:
             first, which = _apart(joined, starts, lengths)
-        words = [joined[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist(), strict=True)]
-        self.words.learn(w for w in words if w[0] != SEPARATOR)
-        found = list(map(self.words.known.get, words, itertools.repeat(b"")))  # a separator has no ids
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        numbers = None if apart else self.words.look_up(distinct, codes, starts[first], lengths[first], joined)
+        if numbers is not None:
+            begins, sizes, flat = self.words.id_at.all[numbers], self.words.ids_n.all[numbers], self.words.ids.all
+        else:
+            found = self.words.made([joined[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist(), strict=True)])
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            flat, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
         many = sizes[which]
         upto = np.cumsum(many)
-        ids = flat[np.repeat(begins[which] - (upto - many), many) + np.arange(upto[-1])]
+        ids = flat[_ragged(begins[which], many)]
         # Where each text's pre-tokens, and so its ids, end.
         text_ends = np.cumsum([len(part) + 1 for _, part in group]) - 1
         cuts = np.concatenate([[0], upto])[np.searchsorted(starts, text_ends)].tolist()
