@@ -53,11 +53,10 @@ def _map(pairs: dict) -> Column:
 
 
 def _decoded(c: Column) -> Column:
-    """Decoded three times at most; what can't be decoded stays."""
-    once = lambda x: F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)
-    for _ in range(3):
-        c = C.let(c, once)
-    return c
+    """Decoded three times at most; what can't be decoded stays, and most texts, without a percent sign, are not tried."""
+    coded = lambda x: F.contains(x, F.lit("%"))
+    once = lambda x: F.when(coded(x), F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)).otherwise(x)
+    return F.when(coded(c), C.let(C.let(once(c), once), once)).otherwise(c)
 
 
 def address_params(urls: DataFrame) -> DataFrame:
@@ -68,9 +67,9 @@ def address_params(urls: DataFrame) -> DataFrame:
     query = F.coalesce(after(fragment), after(F.substring_index(url, "#", 1)), F.lit(""))
     out = urls.select("search_id", query.alias("query"), F.substring_index(fragment, "?", 1).alias("route")).select("search_id", "route", F.posexplode(F.split("query", "&")).alias("n", "pair")).filter("pair <> ''")
     plus = lambda c: F.replace(c, F.lit("+"), F.lit(" "))
-    param = _decoded(plus(F.substring_index("pair", "=", 1)))
-    value = _decoded(plus(F.when(F.contains("pair", F.lit("=")), F.regexp_replace("pair", "^[^=]*=", "")).otherwise("")))
-    out = out.select("search_id", "n", "route", param.alias("param"), value.alias("value"))
+    param, value = F.substring_index("pair", "=", 1), F.when(F.contains("pair", F.lit("=")), F.expr("substring(pair, instr(pair, '=') + 1)")).otherwise("")
+    out = out.select("search_id", "n", "route", plus(param).alias("param"), plus(value).alias("value"))
+    out = out.withColumns({"param": _decoded(F.col("param")), "value": _decoded(F.col("value"))})
     shaped = F.col("param").rlike(r"^[^\[]+(\[[^\]]*\])?$")
     side = F.when(shaped & F.contains("param", F.lit("[")), F.regexp_extract("param", r"\[([^\]]*)\]$", 1))
     return out.withColumn("base", F.when(shaped, F.substring_index("param", "[", 1)).otherwise(F.col("param"))).withColumn("side", side)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.tables import staged
 
 #: Tokens of each field and their labels.
 QUALIFICATION = {"QUALIFIED": "Qualified", "MAYBE": "Needs Review", "NOT_QUALIFIED": "Not Qualified"}
@@ -71,6 +72,12 @@ def validate_verdicts(df: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("problem", verdict_problem("verdict_json"))
 
 
+def accepted(df: DataFrame, text: str = "text") -> DataFrame:
+    """df's other columns with the members of verdicts that keep the contract. Texts are searched and checked once, and what that gives is stored without them."""
+    found = staged(validate_verdicts(df, text).select(*[c for c in df.columns if c != text], "verdict_json", "problem"), "verdicts")
+    return fields(found.filter("problem IS NULL").drop("problem"))
+
+
 def choose_verdict(df: DataFrame) -> DataFrame:
     """df (structured, result, saved, saved_at, started_at) with verdict_json and its origin: structured output, else the result's text,
     else a saved verdict written no earlier than a second before the start. A result that is found but breaks the contract gives way to the saved one."""

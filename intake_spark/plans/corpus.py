@@ -82,8 +82,9 @@ def follow_links(s, d):
 
 
 def documents(s, d):
-    """documents as pages: a site per source, the first words as title."""
-    return table(s, d, "documents").selectExpr("source AS site", "doc_id AS order_key", "concat('https://', source, '.example:443/', doc_id) AS url", "substring_index(text, '.', 1) AS title", "text AS markdown", "concat('f', doc_id % 700) AS file")
+    """documents as pages: a site per source, the first words as title; of every third document, about three of a site share an address."""
+    address = "concat('https://', source, '.example:443/', CASE WHEN doc_id % 3 = 0 THEN concat('p', doc_id DIV 180) ELSE CAST(doc_id AS STRING) END) AS url"
+    return table(s, d, "documents").selectExpr("source AS site", "doc_id AS order_key", address, "substring_index(text, '.', 1) AS title", "text AS markdown", "concat('f', doc_id % 700) AS file")
 
 
 def usable_pages(s, d):
@@ -206,10 +207,15 @@ WORD = lambda words: f"(?i)(?:^|[-_/])(?:{words})(?:[-_/]|$)"
 DENY = "|".join([*P.DENY, "/13"])
 PICKED = PAGES + f", v_pick AS (SELECT * FROM v_pages WHERE regexp_matches(path, '{WORD('en|fr|25')}') AND NOT regexp_matches(url, '{DENY}'))"
 SEEDS = lambda rows: f"SELECT site, url, row_number() OVER (PARTITION BY site ORDER BY CASE WHEN regexp_matches(path, '{WORD('fr|es')}') THEN 0 WHEN regexp_matches(path, '{WORD('en')}') THEN 1 ELSE 2 END, length(path), url) AS rank FROM (SELECT DISTINCT site, url, path FROM {rows})"
-USABLE = """v_docs AS (SELECT source AS site, doc_id AS order_key, 'https://' || source || '.example/' || doc_id AS url, left(replace(trim(split_part(text, '.', 1), chr(10) || ' '), '|', '/'), 90) AS title, coalesce(text, '') AS text, sha1(trim(coalesce(text, ''), chr(10) || ' ')) AS hash,
+USABLE = """v_docs AS (SELECT source AS site, doc_id AS order_key, 'https://' || source || '.example/' || CASE WHEN doc_id % 3 = 0 THEN 'p' || doc_id // 180 ELSE doc_id::VARCHAR END AS url, left(replace(trim(split_part(text, '.', 1), chr(10) || ' '), '|', '/'), 90) AS title, coalesce(text, '') AS text, sha1(trim(coalesce(text, ''), chr(10) || ' ')) AS hash,
     len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS words, 'f' || doc_id % 700 AS file FROM documents),
     v_good AS (SELECT * FROM v_docs WHERE NOT regexp_matches(title, '(?i)page not found|404|not found') AND NOT regexp_matches(left(text, 600), '""" + P.SOFT_404.replace("'", "''") + """') AND words >= 60),
-    v_use AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site, hash ORDER BY order_key) AS n FROM v_good) WHERE n = 1),
+    v_ord AS (SELECT site, order_key, 'u' || url AS u, 'h' || hash AS h, row_number() OVER (PARTITION BY site ORDER BY order_key) AS n FROM v_good),
+    v_walk AS (  -- page by page, with the keys of those that stay
+        SELECT site, 0::BIGINT AS n, NULL::BIGINT AS order_key, []::VARCHAR[] AS keys, false AS stays FROM (SELECT DISTINCT site FROM v_good)
+        UNION ALL SELECT site, n, order_key, CASE WHEN fits THEN keys || [u, h] ELSE keys END, fits FROM (
+            SELECT o.site, o.n, o.order_key, u, h, keys, NOT list_contains(keys, u) AND NOT list_contains(keys, h) AS fits FROM v_walk w JOIN v_ord o ON o.site = w.site AND o.n = w.n + 1)),
+    v_use AS (SELECT g.* FROM v_good g JOIN v_walk w USING (site, order_key) WHERE w.stays),
     v_index AS (SELECT site, order_key, words, CASE WHEN terms = '' THEN '-' ELSE terms END AS terms FROM (SELECT *, array_to_string(list_sort(list_intersect(string_split_regex(lower(text), '[^\\pL\\pN\\pM_]+'), ['the', 'que', 'und', 'de'])), ',') AS terms FROM v_use))"""
 JOBS = """v_jobs AS (SELECT source || '.example' AS site, source, doc_id, doc_id // 1000 AS place, CASE WHEN doc_id % 4 = 0 THEN 'Role ' ELSE 'Job ' END || doc_id AS title, CASE WHEN doc_id // 1000 % 2 = 0 THEN 'Lyon' ELSE 'Oslo' END AS location, lang || ', all' AS team, 'http://j/' || doc_id AS url,
     'Work & play at ' || CASE WHEN doc_id % 5 = 0 THEN source ELSE 'us' END || CASE WHEN doc_id % 6 = 0 THEN ' the que' ELSE '' END AS text FROM documents)"""
@@ -241,9 +247,9 @@ SQL = {
         SELECT site, url FROM e WHERE {HOST} IN (SELECT host FROM v_pages)""",
     "follow_links": f"""WITH h AS (SELECT DISTINCT url, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS base, regexp_replace(unnest(regexp_extract_all(html, '(?i)<a\\b[^>]*\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)), '#.*$', '') AS href FROM pages)
         SELECT DISTINCT url, base || href AS link FROM h WHERE starts_with(href, '/') AND regexp_matches(base || href, '/(?:[^/]*(?:^|[-_]))?(?:the|to|de|und)(?:(?:[-_])[^/]*)?(?:/|$)') AND NOT regexp_matches(base || href, '{"|".join(P.DENY)}')""",
-    "usable_pages": f"WITH {USABLE} SELECT site, order_key, url, words::INT AS words FROM v_use",
-    "page_index": f"WITH {USABLE} SELECT site, order_key, terms, words::INT AS words, row_number() OVER (PARTITION BY site ORDER BY (terms = '-')::INT, words DESC, order_key) AS place FROM v_index",
-    "dropped_files": f"WITH {USABLE} SELECT DISTINCT site, file FROM v_docs WHERE (site, file) NOT IN (SELECT (site, file) FROM v_use)",
+    "usable_pages": f"WITH RECURSIVE {USABLE} SELECT site, order_key, url, words::INT AS words FROM v_use",
+    "page_index": f"WITH RECURSIVE {USABLE} SELECT site, order_key, terms, words::INT AS words, row_number() OVER (PARTITION BY site ORDER BY (terms = '-')::INT, words DESC, order_key) AS place FROM v_index",
+    "dropped_files": f"WITH RECURSIVE {USABLE} SELECT DISTINCT site, file FROM v_docs WHERE (site, file) NOT IN (SELECT (site, file) FROM v_use)",
     "reachable": """WITH p AS (SELECT regexp_extract(html, 'lang="([a-z]+)"', 1) AS site, page_id FROM pages), e AS (SELECT site, 'p' || page_id AS url, 'p' || unnest([page_id + 1, page_id * 2]) AS link FROM p),
         a AS (SELECT DISTINCT site, url FROM e WHERE url LIKE '%7'), b AS (SELECT DISTINCT site, link AS url FROM e JOIN a USING (site, url) EXCEPT SELECT * FROM a), c AS (SELECT DISTINCT site, link AS url FROM e JOIN b USING (site, url) EXCEPT SELECT * FROM a EXCEPT SELECT * FROM b),
         f AS (SELECT *, 0 AS depth FROM a UNION ALL SELECT *, 1 FROM b UNION ALL SELECT *, 2 FROM c) SELECT site, url, depth FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY depth, url) AS n FROM f) WHERE n <= 50""",
@@ -257,7 +263,7 @@ SQL = {
         SELECT site, title, role, terms, place, more FROM r WHERE place <= 30""",
     "job_mentions": f"WITH {JOBS} SELECT site, count(*) AS postings, count(*) FILTER (doc_id % 5 = 0) AS mentions FROM v_jobs GROUP BY 1",
     "pick_feed": f"WITH {JOBS}, n AS (SELECT site, place, count(*) AS jobs FROM v_jobs GROUP BY 1, 2), b AS (SELECT * FROM n WHERE NOT (length(site) = 12 AND place = 0) UNION ALL SELECT site, place + 1000, jobs FROM n) SELECT site, min(place) AS place, arg_min(jobs, place)::INT AS jobs FROM b GROUP BY 1",
-    "site_summary": f"WITH {USABLE}, i AS (SELECT site, count(*) AS pages, count(*) FILTER (terms <> '-') AS with_terms FROM v_index GROUP BY 1), f AS (SELECT source AS site, count(*) AS refused FROM documents WHERE doc_id % 9 = 0 GROUP BY 1) SELECT site, pages, with_terms, coalesce(refused, 0) AS refused FROM i LEFT JOIN f USING (site)",
+    "site_summary": f"WITH RECURSIVE {USABLE}, i AS (SELECT site, count(*) AS pages, count(*) FILTER (terms <> '-') AS with_terms FROM v_index GROUP BY 1), f AS (SELECT source AS site, count(*) AS refused FROM documents WHERE doc_id % 9 = 0 GROUP BY 1) SELECT site, pages, with_terms, coalesce(refused, 0) AS refused FROM i LEFT JOIN f USING (site)",
     "stream_intake": f"""WITH {FIRST}, h AS (SELECT * FROM (SELECT *, order_key % 2 AS epoch, row_number() OVER (PARTITION BY batch, key, order_key % 2 ORDER BY order_key) AS m FROM v_key) WHERE m = 1 AND key <> 'name:'),
         a AS (SELECT * FROM (SELECT *, count(domain) OVER (PARTITION BY batch ORDER BY order_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, row_number() OVER (PARTITION BY batch ORDER BY order_key) AS source_rank FROM h WHERE epoch = 0)
             WHERE before < {STREAM_CAP}),

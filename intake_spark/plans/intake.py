@@ -88,7 +88,8 @@ def orphan_batches(s, d):
 
 
 def clean_rows(s, d):
-    return clean(s, d).select("batch", "order_key", "domain", "name", "org_id", "account_id", "industry", "headcount", "country", F.col("funding.total").alias("funding_total"))
+    lists = [F.array_join(c, "|").alias(c) for c in ("tech", "job_titles")]
+    return S.clean_rows(V.listed_rows(s, d)).select("batch", "order_key", "domain", "name", "org_id", "account_id", "industry", "headcount", "country", F.col("funding.total").alias("funding_total"), *lists)
 
 
 def row_problems(s, d):
@@ -265,7 +266,10 @@ SQL = {
     "latest_batch": "SELECT greatest(max(b), '1993-01-01') AS batch FROM (SELECT strftime(o_orderdate, '%Y-%m-%d') || ['', 'b', 'e', 'A', '-x'][(o_orderkey % 5 + 1)::INT] AS b FROM orders) WHERE regexp_matches(b, '^[0-9]{4}-[0-9]{2}-[0-9]{2}[b-z]?$')",
     "credits_used": f"WITH {ROWS} SELECT batch, count(*) AS credits FROM v_rows WHERE order_key % 4 <> 0 AND length(domain) > 0 GROUP BY 1",
     "orphan_batches": f"WITH {ROWS} SELECT DISTINCT batch FROM v_rows WHERE batch < '2031-01-01' AND batch NOT IN (SELECT batch FROM v_rows WHERE order_key // 100 % 3 = 1)",
-    "clean_rows": f"WITH {CLEAN} SELECT batch, order_key, domain, name, org_id, account_id, industry, headcount, country, funding_total FROM v_clean",
+    "clean_rows": f"""WITH {CLEAN}, l AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN ['erp', NULL, '', regexp_extract(html, 'lang="([a-z]+)"', 1)] WHEN 1 THEN ['', NULL] WHEN 2 THEN [] WHEN 3 THEN ['crm'] END AS t,
+            CASE WHEN page_id % 3 <> 0 THEN [r.name, '', r.country] END AS j FROM pages JOIN v_rows r ON r.order_key = page_id)
+        SELECT batch, order_key, domain, name, org_id, account_id, industry, headcount, country, funding_total, nullif(array_to_string(list_filter(t, lambda x: x <> ''), '|'), '') AS tech, nullif(array_to_string(list_filter(j, lambda x: x <> ''), '|'), '') AS job_titles
+        FROM v_clean JOIN l ON page_id = order_key""",
     "row_problems": f"WITH {CLEAN} SELECT batch, order_key, problem FROM v_clean WHERE problem IS NOT NULL",
     "keyword_excluded": f"WITH {ROWS} SELECT order_key, keywords, industry FROM v_rows WHERE contains(lower(concat_ws(', ', keywords, industry)), 'whole') OR contains(lower(concat_ws(', ', keywords, industry)), 'fr')",
     "seen_domains": f"WITH {ROWS} SELECT DISTINCT dom AS domain FROM (SELECT {V.sql_domain('domain')} AS dom FROM v_rows WHERE batch <> '2030-01-02') WHERE dom IS NOT NULL",

@@ -28,7 +28,7 @@ def crm(s, d):
 
 def _verdicts(s, d):
     """Verdicts of documents, their domain that of the customer with the document's number."""
-    df = G.fields(G.validate_verdicts(J.verdict_texts(s, d)).filter("problem IS NULL").select("doc_id", "verdict_json")).filter("status = 'ok'")
+    df = G.accepted(J.verdict_texts(s, d).select("doc_id", "text")).filter("status = 'ok'")
     return df.withColumn("domain", F.concat(F.lit("www.C"), F.col("doc_id"), F.lit(".example")))
 
 
@@ -167,6 +167,18 @@ def run_cost(s, d):
     return out.select("run", "calls", "cost", F.round("seconds", 6).alias("seconds"), F.round("mean_seconds", 6).alias("mean_seconds"))
 
 
+def run_quantiles(s, d):
+    """Durations of runs as sketches, merged by night, a seventh of the runs each: whether the quantiles they give are those of the durations, within the error."""
+    runs = J.outcomes(s, d).filter("duration IS NOT NULL").withColumn("night", F.substring_index("run", "-", 1).cast("bigint") % 7)
+    merged = K.merged_durations(K.duration_sketches(runs, "night", "run"), "night")
+    found = K.duration_quantiles(merged, {"median": 0.5, "p95": 0.95})
+    both = runs.select("night", "duration").join(found, "night")
+    shares = [F.avg((F.col("duration") < F.col(c)).cast("double")).alias(f"below_{c}") for c in ("median", "p95")] + [F.avg((F.col("duration") <= F.col(c)).cast("double")).alias(f"upto_{c}") for c in ("median", "p95")]
+    held = both.groupBy("night").agg(F.first("calls").alias("calls"), *shares)
+    near = lambda c, p: (F.col(f"below_{c}") <= p + K.RANK_ERROR) & (F.col(f"upto_{c}") >= p - K.RANK_ERROR)
+    return held.select("night", "calls", near("median", 0.5).alias("median_held"), near("p95", 0.95).alias("p95_held"))
+
+
 def run_notes(s, d):
     missing = V.queue(s, d).filter("account_id IS NULL").select(F.col("batch").alias("run"))
     walked = S.walk(V.source_rows(s, d), S.seen_domains(V.seen(s, d)), V.excluded(s, d), SCOPE, V.CAP)
@@ -177,7 +189,7 @@ def run_notes(s, d):
 
 QUERIES = {f.__name__: f for f in (
     crm_matches, build_properties, bad_options, plan_actions, field_changes, merge_crm, action_counts, pushed, enrich_todo, limit_todo, industry_index, map_industry, apply_enrichment, enrich_leftover, unmapped_industries, enrich_summary, run_counts, report_rows,
-    needs_review, held_rows, run_cost, run_notes,
+    needs_review, held_rows, run_cost, run_quantiles, run_notes,
 )}
 
 CRM = """crm AS (SELECT c_custkey::VARCHAR AS id, 'c' || c_custkey % 1200 || '.example' AS host, ['', 'Not Reviewed', 'Qualified', 'Needs Review', NULL][(c_nationkey % 5 + 1)::INT] AS st, ['', 'Sourced', 'In Outreach'][(c_custkey % 3 + 1)::INT] AS stage,
@@ -237,6 +249,7 @@ SQL = {
     "report_rows": f"WITH {LINES}, w AS (SELECT *, {WHY} AS y FROM ln) SELECT run, order_key, CASE WHEN length(y) > 220 THEN left(y, 217) || '...' ELSE y END AS why, CASE WHEN crm_id IS NOT NULL THEN 'https://app-na2.hubspot.com/contacts/123/record/0-2/' || crm_id ELSE '' END AS link FROM w",
     "needs_review": f"WITH {LINES} SELECT run, order_key, domain FROM ln WHERE status = 'needs_review'",
     "held_rows": f"WITH {LINES}, {J.DOCS} SELECT run, domain, name, t AS account_tier, 'STRONG' AS need_strength, 'because ' || doc_id AS qualification_reason FROM ln JOIN c ON domain = 'c' || doc_id || '.example' WHERE action = 'held' AND problem IS NULL AND doc_id % 19 <> 0",
+    "run_quantiles": f"WITH {J.OUT} SELECT split_part(run, '-', 1)::BIGINT % 7 AS night, count(*) AS calls, true AS median_held, true AS p95_held FROM o WHERE dur IS NOT NULL GROUP BY 1",
     "run_cost": f"WITH {J.OUT} SELECT run, count(*) AS calls, count(*) * 0.5::DOUBLE AS cost, round(sum(dur), 6) AS seconds, round(avg(dur), 6) AS mean_seconds FROM o GROUP BY 1",
     "run_notes": f"""WITH {WALK}, {MATCHED}, {APPLIED}
         SELECT batch AS run, 'missing_ids' AS kind, count(*) || ' without an account id' AS text FROM v_queue WHERE account_id IS NULL GROUP BY 1

@@ -41,6 +41,14 @@ def source_rows(spark, d) -> DataFrame:
     )
 
 
+def listed_rows(spark, d) -> DataFrame:
+    """source_rows with list columns: blanks and nulls among the entries, empty lists, and lists of nothing else."""
+    return source_rows(spark, d).withColumns({
+        "technologies": F.expr("CASE order_key % 5 WHEN 0 THEN array('erp', NULL, '', industry) WHEN 1 THEN array('', NULL) WHEN 2 THEN CAST(array() AS ARRAY<STRING>) WHEN 3 THEN array('crm') END"),
+        "job_titles": F.expr("CASE WHEN order_key % 3 <> 0 THEN array(name, '', country) END"),
+    })
+
+
 def sql_domain(x: str) -> str:
     host = f"split_part(split_part(split_part(regexp_replace(lower(trim({x})), '^[a-z][a-z0-9+.-]*://', ''), '/', 1), '?', 1), '#', 1)"
     host = f"trim(split_part(split_part({host}, '@', -1), ':', 1), '.')"

@@ -63,9 +63,19 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType, batch: str
     return rows if batch is None else rows.withColumn("batch", F.lit(batch))
 
 
-def read_accounts_csv(spark: SparkSession, path: str, batch: str | None = None) -> DataFrame:
-    """An accounts export with our column names, in file order, ready for the import; technologies are split on commas."""
-    df = spark.read.csv(path, header=True, multiLine=True, escape='"')
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a field of a CSV file may hold a line break: then a line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def read_accounts_csv(spark: SparkSession, path: str, batch: str | None = None, line_breaks: bool | None = None) -> DataFrame:
+    """An accounts export with our column names, in file order, ready for the import; technologies are split on commas.
+
+    A file is split over tasks unless its fields hold line breaks. line_breaks: whether they do, where that is known; else the files are looked through.
+    """
+    whole = has_line_breaks(spark, path) if line_breaks is None else line_breaks
+    df = spark.read.csv(path, header=True, multiLine=whole, escape='"')
     names = {c: c.lstrip("\ufeff").strip() for c in df.columns}
     if "Apollo Account Id" not in names.values():
         raise ValueError("this is no accounts export: it has no column 'Apollo Account Id'")
@@ -99,7 +109,7 @@ def write_batch_once(df: DataFrame, path: str) -> None:
 
 def rewrite_batches(df: DataFrame, path: str) -> None:
     """Replace exactly the batches that df holds."""
-    df.write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    df.hint("rebalance", "batch").write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def append_ledger(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -115,7 +125,10 @@ def assign_batch_ids(arrivals: DataFrame, used: DataFrame) -> DataFrame:
     letters = spark.range(26).select(F.when(F.col("id") == 0, "").otherwise(F.chr(F.col("id") + 97)).alias("letter"))
     free = arrivals.select("day").distinct().withColumn("_one", F.lit(1)).join(F.broadcast(letters.withColumn("_one", F.lit(1))), "_one").select("day", F.concat("day", "letter").alias("batch"))
     free = free.join(used.select("batch").distinct(), "batch", "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("day").orderBy("batch")))
-    return arrivals.withColumn("n", F.row_number().over(Window.partitionBy("day").orderBy("order_key"))).join(free, ["day", "n"], "left").drop("n")
+    # Only the first 26 of a day can get an id, and Spark leaves out the others before it shuffles.
+    first = arrivals.select("day", "order_key").withColumn("n", F.row_number().over(Window.partitionBy("day").orderBy("order_key"))).filter("n <= 26")
+    named = first.join(free, ["day", "n"]).groupBy("day", "order_key").agg(F.min("batch").alias("batch"))
+    return arrivals.join(named, ["day", "order_key"], "left")
 
 
 def latest_batch(queue: DataFrame, today: str) -> DataFrame:

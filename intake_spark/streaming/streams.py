@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import crm as H
 from ..operators import selection as S
@@ -53,29 +53,67 @@ def stream_intake(rows: DataFrame, out: str, checkpoint: str, excluded: DataFram
     return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_attempts(events: DataFrame, max_attempts: int = 2) -> DataFrame:
-    """events (key, order_key, ok) to one row per key and micro-batch: attempts, and state done, error or given_up. A done company stays done.
+ATTEMPTS = "attempts bigint, state string"
 
-    No more than the first max_attempts events of a micro-batch can matter, so a task holds that many and the batch at hand, however many a key has.
-    """
-    out = T.StructType([T.StructField("key", T.StringType()), T.StructField("attempts", T.LongType()), T.StructField("state", T.StringType())])
-    kept = T.StructType([T.StructField("attempts", T.LongType()), T.StructField("state", T.StringType())])
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        attempts, now = state.get if state.exists else (0, "pending")
+class Attempts(StatefulProcessor):
+    """Attempts of one company: open ones are kept as long as it takes, what is settled (done or given up) for ttl_ms after its last event, if given."""
+
+    def __init__(self, max_attempts: int, ttl_ms: int | None):
+        self.max_attempts, self.ttl_ms = max_attempts, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getValueState("open", ATTEMPTS)
+        self.settled = handle.getValueState("settled", ATTEMPTS, self.ttl_ms)
+
+    def _now(self) -> tuple[int, str]:
+        for state in (self.open, self.settled):
+            if state.exists():
+                return tuple(state.get())
+        return 0, "pending"
+
+    def _keep(self, attempts: int, now: str) -> None:
+        if now in ("done", "given_up"):
+            self.open.clear()
+            self.settled.update((attempts, now))
+        else:
+            self.open.update((attempts, now))
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
+        for attempts, now in zip(initialState["attempts"], initialState["state"], strict=True):
+            self._keep(int(attempts), now)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         first = None
-        for frame in frames:
+        for frame in rows:
             both = frame if first is None else pd.concat([first, frame])
-            first = both.sort_values("order_key", kind="stable").head(max_attempts)
+            first = both.sort_values("order_key", kind="stable").head(self.max_attempts)
+        attempts, now = self._now()
         for ok in first["ok"]:
             if now in ("done", "given_up"):
                 break
             attempts += 1
-            now = "done" if ok else "given_up" if attempts >= max_attempts else "error"
-        state.update((attempts, now))
+            now = "done" if ok else "given_up" if attempts >= self.max_attempts else "error"
+        self._keep(attempts, now)
         yield pd.DataFrame({"key": [key[0]], "attempts": [attempts], "state": [now]})
 
-    return events.filter("key IS NOT NULL").groupBy("key").applyInPandasWithState(step, out, kept, "update", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
+
+
+def stream_attempts(events: DataFrame, max_attempts: int = 2, ttl_ms: int | None = None, initial: DataFrame | None = None) -> DataFrame:
+    """events (key, order_key, ok) to one row per key and micro-batch: attempts, and state done, error or given_up. A done company stays done, or for ttl_ms.
+
+    initial: (key, attempts, state) of companies before the stream's first event. No more than the first max_attempts events of a micro-batch can matter,
+    so a task holds that many and the batch at hand, however many a key has. State lies in RocksDB, which the session's streams use from now on. With ttl_ms,
+    a stream that is to end when all is read needs spark.sql.streaming.noDataMicroBatches.enabled set to false; time passes between its runs.
+    """
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    keyed = lambda df: df.filter("key IS NOT NULL").groupBy("key")
+    return keyed(events).transformWithStateInPandas(
+        Attempts(max_attempts, ttl_ms), f"key string, {ATTEMPTS}", "Update", "None" if ttl_ms is None else "ProcessingTime", keyed(initial) if initial is not None else None,
+    )
 
 
 def _records(snapshots: str, schema: T.StructType) -> Buckets:

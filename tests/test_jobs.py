@@ -211,3 +211,34 @@ def test_report_and_summaries(spark):
     index = spark.createDataFrame([("s", "x"), ("s", "-"), ("t", "-")], "site string, terms string")
     refused = spark.createDataFrame([("s", "u1"), ("s", "u2")], "site string, url string")
     assert sorted(map(tuple, P.site_summary(index, refused).collect())) == [("s", 2, 1, 2), ("t", 1, 0, 0)]
+
+
+def test_duration_sketches_merge(spark):
+    """Quantiles of merged sketches lie within the rank error of the sorted durations; null durations don't count."""
+    rng = random.Random(9)
+    rows = [(i % 5, f"run{i % 40}", rng.lognormvariate(3, 1) if i % 50 else None) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "night int, run string, duration double").repartition(4)
+    sketches = K.duration_sketches(df, "night", "run")
+    assert sketches.count() == len({r[:2] for r in rows})
+    for got, keep in [(K.duration_quantiles(K.merged_durations(sketches), {"median": 0.5, "p95": 0.95}).first(), lambda n: True)] + [
+        (r, lambda n, night=r.night: n == night) for r in K.duration_quantiles(K.merged_durations(sketches, "night"), {"median": 0.5, "p95": 0.95}).collect()
+    ]:
+        own = sorted(d for n, _, d in rows if d is not None and keep(n))
+        assert got.calls == len(own)
+        for name, p in (("median", 0.5), ("p95", 0.95)):
+            assert own[int((p - K.RANK_ERROR) * len(own))] <= got[name] <= own[min(len(own) - 1, int((p + K.RANK_ERROR) * len(own)))]
+
+
+def test_exports_are_split_unless_fields_hold_line_breaks(spark, tmp_path):
+    header = "Company Name,Website,Apollo Account Id"
+    (tmp_path / "plain.csv").write_text("\n".join([header, *[f'"Name, {i}",c{i}.example,{i:024x}' for i in range(2000)]]) + "\n")
+    (tmp_path / "broken.csv").write_text(f'{header}\n"Two\nlines",a.example,{1:024x}\nOne,b.example,{2:024x}\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        rows = tables.read_accounts_csv(spark, str(tmp_path / "plain.csv"))
+        assert [r.domain for r in rows.orderBy("order_key").collect()] == [f"c{i}.example" for i in range(2000)]
+        assert spark.read.csv(str(tmp_path / "plain.csv"), header=True).rdd.getNumPartitions() > 3 and not tables.has_line_breaks(spark, str(tmp_path / "plain.csv"))
+        assert [r.name for r in tables.read_accounts_csv(spark, str(tmp_path / "broken.csv")).orderBy("order_key").collect()] == ["Two\nlines", "One"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -1,6 +1,7 @@
 """State over micro-batches: cap, rank, registry."""
 
 import random
+import time
 
 from intake_spark.operators import crm as H
 from intake_spark.operators import selection as S
@@ -122,3 +123,26 @@ def test_snapshot_buckets_that_nothing_touches_keep_their_files(spark, tmp_path)
         crc.unlink()
     now = arrive(["c5.example"])
     assert len(now) == 61 and now["c5.example"] == ("5", "Qualified") and len({p.parent for p in set(files()) - added}) == 1
+
+
+def test_settled_companies_expire_and_state_begins_with_a_table(spark, tmp_path):
+    """Over two runs of the stream: what is open goes on, what is settled is forgotten after its time."""
+    schema, start = "key string, order_key bigint, ok boolean", spark.createDataFrame([("old", 1, "error"), ("past", 2, "given_up")], "key string, attempts bigint, state string")
+
+    empty = "spark.sql.streaming.noDataMicroBatches.enabled"
+    spark.conf.set(empty, "false")
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(spark.createDataFrame([], schema).schema).parquet(f"{tmp_path}/in")
+        state = streams.stream_attempts(source, 3, ttl_ms=5_000, initial=start)
+        seen = []
+        write = lambda df, epoch: seen.extend(map(tuple, df.collect()))
+        state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+        return {k: (n, now) for k, n, now in seen}
+
+    first = arrive([("a", 1, True), ("b", 2, False), ("b", 1, False), ("old", 5, False), (None, 1, True)])
+    assert first.items() >= {"a": (1, "done"), "b": (2, "error"), "old": (2, "error")}.items()
+    time.sleep(6)
+    assert arrive([("a", 9, False), ("b", 9, False), ("old", 9, True)]) == {"a": (1, "error"), "b": (3, "given_up"), "old": (3, "done")}
+    spark.conf.unset(empty)
