@@ -1,9 +1,9 @@
 """Exact duplicates by sorting content: range partitions from sampled splitters, an external sort inside each, equal neighbours compared in full.
 
 Splitters are taken over (64 leading characters, 64-bit hash, salt), so that the sample the driver sees is small
-however long the texts are; the full text follows in the sort and in the comparison. Texts with more than one row
-in a thousand (and over HOT_ROWS) would crowd one partition. They are found in a sample of SAMPLE_ROWS rows, at most about a thousand of them can exist,
-and their rows are salted over as many sort groups as hold PART_ROWS each. Every group is sorted and its neighbours compared like any other;
+however long the texts are; the full text follows in the sort and in the comparison. Texts with more than PART_ROWS rows
+would crowd one partition, whatever their share of all rows. They are found by counting rows by hash, before any text is moved, and their rows
+are salted over as many sort groups as hold PART_ROWS each. Every group is sorted and its neighbours compared like any other;
 what the groups of one text find (how many, and which id is best) is then put together.
 
 Nulls: a null text counts as empty; a null id ranks below all others. Ties: of rows with equal id and text exactly one stays.
@@ -15,18 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import join_small, text_of, written
 
-HOT_ROWS, HOT_SHARE, PART_ROWS, SAMPLE_ROWS = 1024, 1000, 1 << 16, 1 << 18
+#: Rows of one text that one sort group takes; texts with more are salted.
+PART_ROWS = 1024
 
 
-def hot_texts(keyed: DataFrame, rows: int) -> DataFrame:
-    """The stored table of (_head, _hash) of texts with more than max(HOT_ROWS, rows / HOT_SHARE) rows, by a sample, and over how many groups to salt them."""
-    share = min(1.0, SAMPLE_ROWS / max(1, rows))
-    some = keyed.select("_head", "_hash") if share == 1 else keyed.select("_head", "_hash").sample(share, 1)
-    about = F.col("count") / F.lit(share)
-    hot = some.groupBy("_head", "_hash").count().filter(about > max(HOT_ROWS, rows / HOT_SHARE))
-    return written(hot.select("_head", "_hash", F.greatest(F.lit(4), F.ceil(about / PART_ROWS)).cast("int").alias("_salts")), "hot-texts")
+def hot_texts(keyed: DataFrame) -> DataFrame:
+    """The stored table of hashes (_hash) that more than PART_ROWS rows have, and over how many groups to salt those."""
+    hot = keyed.groupBy("_hash").count().filter(F.col("count") > PART_ROWS)
+    return written(hot.select("_hash", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("_salts")), "hot-texts")
 
 
 def content_sort(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest", normalise=None) -> DataFrame:
@@ -44,9 +42,10 @@ def content_sort(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         id_.alias("_id"),
         (id_.isNotNull() if largest else id_.isNull()).alias("_none"),
     ).withColumns({"_head": F.substring("_key", 1, 64), "_hash": F.xxhash64("_key")})
-    hot = hot_texts(keyed, docs.count())
+    hot = hot_texts(keyed)
+    many = hot.count()
     salt = F.pmod(F.hash("_id", "_row"), F.col("_salts"))
-    salted = keyed.join(F.broadcast(hot), ["_head", "_hash"], "left").withColumn("_part", F.coalesce(salt, F.lit(-1)))
+    salted = join_small(keyed, hot, ["_hash"], many).withColumn("_part", F.coalesce(salt, F.lit(-1)))
     place = ["_head", "_hash", "_part"]
     group = Window.partitionBy(*place, "_key")
     order = group.orderBy(F.col("_none").desc() if largest else F.col("_none"), F.col("_id").desc() if largest else F.col("_id"))
@@ -56,10 +55,10 @@ def content_sort(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "_n": F.count("*").over(group),
     }).withColumn("_sha", F.sha2("_key", 256))
     total, best, first = F.col("_n"), F.col("_best"), F.col("_rank") == 1
-    if not hot.isEmpty():
+    if many:
         parts = written(ranked.filter("_part >= 0").filter("_rank = 1").select("_sha", "_n", F.struct("_none", "_best", "_part").alias("_top")), "hot-parts")
         whole = parts.groupBy("_sha").agg(F.sum("_n").alias("_hot_n"), (F.max if largest else F.min)("_top").alias("_hot"))
-        ranked = ranked.join(F.broadcast(whole), "_sha", "left")
+        ranked = join_small(ranked, whole, ["_sha"], many)
         salted_ = F.col("_part") >= 0
         total, best = F.when(salted_, F.col("_hot_n")).otherwise(total), F.when(salted_, F.col("_hot._best")).otherwise(best)
         first = first & (~salted_ | (F.col("_hot._part") == F.col("_part")))

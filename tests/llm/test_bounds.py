@@ -129,7 +129,6 @@ def test_crowded_places_in_tiles(spark, monkeypatch, stars):
 
 
 def test_hot_text_under_null_ids_and_small_parts(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 20)
     monkeypatch.setattr(exact_dedup, "PART_ROWS", 16)
     rows = [(i if i % 2 else None, "hot", str(i)) for i in range(200)] + [(1000 + i, f"t{i}", "") for i in range(50)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, _part string")
