@@ -66,9 +66,9 @@ def result_value() -> Column:
 
 
 def unregistered(queue: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows with an account id and a final result that the ledger (account_id, result) does not hold."""
+    """Rows with an account id and a final result that the ledger (account_id, result) does not hold; one that is bucketed by both is read as it lies."""
     rows = queue.withColumn("result", result_value()).filter(C.blank_to_null("account_id").isNotNull() & F.col("result").isNotNull())
-    return rows.join(ledger.select("account_id", "result").distinct(), ["account_id", "result"], "left_anti")
+    return rows.join(ledger.select("account_id", "result"), ["account_id", "result"], "left_anti")
 
 
 def unregistered_batches(queue: DataFrame, ledger: DataFrame, upto: str) -> DataFrame:

@@ -119,6 +119,20 @@ def append_ledger(df: DataFrame, path: str, keys: list[str]) -> None:
     new.dropDuplicates(keys).write.mode("append").parquet(path)
 
 
+def append_bucketed_ledger(df: DataFrame, table: str, path: str, keys: list[str], buckets: int = 256) -> DataFrame:
+    """Append rows whose keys the ledger does not hold yet to a table of the session's catalog that is bucketed and sorted by the keys; the table.
+
+    A join or anti-join on these keys takes the history as it lies, without an exchange: only the other side is dealt out.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        new = df.join(spark.table(table).select(keys), keys, "left_anti").dropDuplicates(keys)
+        new.write.bucketBy(buckets, *keys).sortBy(*keys).mode("append").saveAsTable(table, path=path)
+    else:
+        df.dropDuplicates(keys).repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table, path=path)
+    return spark.table(table)
+
+
 def assign_batch_ids(arrivals: DataFrame, used: DataFrame) -> DataFrame:
     """arrivals (day, order_key) with `batch`: the day, then the day with b ... z, in order, skipping used ones; null when all 26 are taken."""
     spark = arrivals.sparkSession

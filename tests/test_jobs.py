@@ -1,4 +1,5 @@
 import random
+import uuid
 from types import SimpleNamespace
 
 import pytest
@@ -242,3 +243,24 @@ def test_exports_are_split_unless_fields_hold_line_breaks(spark, tmp_path):
         assert [r.name for r in tables.read_accounts_csv(spark, str(tmp_path / "broken.csv")).orderBy("order_key").collect()] == ["Two\nlines", "One"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_bucketed_ledger_is_not_exchanged(spark, tmp_path):
+    """In the plan of an anti-join against it, the other side alone is dealt out."""
+    rows = lambda a, b: spark.createDataFrame([(f"acc{i}", "Error") for i in range(a, b)], "account_id string, result string")
+    keys, table, before = ["account_id", "result"], f"ledger_{uuid.uuid4().hex}", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for a, b in ((0, 50), (25, 80)):
+            ledger = tables.append_bucketed_ledger(rows(a, b), table, str(tmp_path / "ledger"), keys, buckets=4)
+        assert ledger.count() == ledger.distinct().count() == 80
+        queue = spark.createDataFrame([("b", i, f"acc{i}", "error", None) for i in range(60, 100)], "batch string, order_key int, account_id string, status string, verdict string")
+        left = R.unregistered(queue, ledger)
+        assert sorted(r.order_key for r in left.collect()) == list(range(80, 100))
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") <= plan.count("LeftAnti") and "Bucketed: true" in plan
+        history = plan[plan.rindex("FileScan parquet") - 400 :]
+        assert "Exchange" not in history
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
