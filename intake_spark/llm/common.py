@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import uuid
 from collections.abc import Iterator
@@ -39,19 +40,25 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, kind: str, arrow_rows: int | None = None) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
-
-    arrow_rows: at most so many rows go to Python at once, where rows are large; the session's own setting holds again afterwards.
-    """
-    spark, rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    path, before = new_path(spark, kind), spark.conf.get(rows)
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """At most so many rows go to Python at once, where rows are large; the session's own setting holds again afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
     try:
-        if arrow_rows:
-            spark.conf.set(rows, str(min(arrow_rows, int(before) if int(before) > 0 else arrow_rows)))
-        df.write.parquet(path)
+        if rows:
+            spark.conf.set(name, str(min(rows, int(before) if int(before) > 0 else rows)))
+        yield
     finally:
-        spark.conf.set(rows, before)
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, kind: str, arrow_rows: int | None = None) -> DataFrame:
+    """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors. arrow_rows: see arrow_batches."""
+    spark = df.sparkSession
+    path = new_path(spark, kind)
+    with arrow_batches(spark, arrow_rows):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import arrow_batches, written
 
 #: Vectors are whole multiples of 1 / SCALE.
 SCALE = 256
@@ -32,6 +32,8 @@ MOST = 1 << 40
 TOLERANCE = 4e-16
 #: A deviation of this share of the largest is rounding.
 NOTHING = 1e-9
+#: Vectors of a block, and blocks that go to Python at once.
+BLOCK_ROWS, BLOCKS = 4096, 4
 OUT = "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
 
 
@@ -68,16 +70,38 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), dims)
 
 
-def summed(fit: DataFrame, part: Callable[[np.ndarray], np.ndarray], dims: int, size: int) -> np.ndarray:
+def packed(rows: DataFrame) -> DataFrame:
+    """The stored table of rows' x in blocks of rows: block (little-endian 32-bit numbers, or 64-bit ones where they need it), n and d. Every pass reads it."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                flat = np.asarray(batch.column(0).flatten())
+                small = flat.min() >= -(1 << 31) and flat.max() < 1 << 31
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([flat.astype("<i4" if small else "<i8").tobytes()]), pa.array([batch.num_rows], pa.int32()), pa.array([len(flat) // batch.num_rows], pa.int32()),
+                ], ["block", "n", "d"])
+
+    return written(rows.select("x").mapInArrow(each, "block binary, n int, d int"), "fit-vectors", arrow_rows=BLOCK_ROWS)
+
+
+def blocks(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The rows of each block of a batch (block, n, d)."""
+    for block, n, d in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        data = block.as_buffer()
+        yield np.frombuffer(data, "<i4" if len(data) == 4 * n * d else "<i8").reshape(n, d)
+
+
+def summed(fit: DataFrame, part: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
     """The sum over all blocks of rows of part(block), an array of `size` doubles."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
-            if batch.num_rows:
-                total += part(matrix(batch.column(0), dims))
+            for block in blocks(batch):
+                total += part(block)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["i", "value"])
 
-    rows = fit.select("x").mapInArrow(each, "i bigint, value double").groupBy("i").agg(F.sum("value").alias("value")).collect()
+    with arrow_batches(fit.sparkSession, BLOCKS):
+        rows = fit.mapInArrow(each, "i bigint, value double").groupBy("i").agg(F.sum("value").alias("value")).collect()
     out = np.zeros(size)
     for r in rows:
         out[r.i] = r.value
@@ -89,13 +113,14 @@ def exact_sums(fit: DataFrame, dims: int) -> tuple[int, list[int]]:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, [0] * dims
         for batch in batches:
-            if batch.num_rows:
-                n += batch.num_rows
-                total = [a + b for a, b in zip(total, matrix(batch.column(0), dims).sum(axis=0).tolist(), strict=True)]
+            for block in blocks(batch):
+                n += len(block)
+                total = [a + b for a, b in zip(total, block.sum(axis=0, dtype=np.int64).tolist(), strict=True)]
         # Low and high parts, as a sum may need over 64 bits.
         yield pa.RecordBatch.from_arrays([pa.array(range(-1, dims), pa.int32()), pa.array([n & 0x7FFFFFFF, *[t & 0x7FFFFFFF for t in total]], pa.int64()), pa.array([n >> 31, *[t >> 31 for t in total]], pa.int64())], ["i", "low", "high"])
 
-    rows = fit.select("x").mapInArrow(each, "i int, low bigint, high bigint").groupBy("i").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).collect()
+    with arrow_batches(fit.sparkSession, BLOCKS):
+        rows = fit.mapInArrow(each, "i int, low bigint, high bigint").groupBy("i").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).collect()
     found = {r.i: (r.high << 31) + r.low for r in rows}
     return found.get(-1, 0), [found.get(i, 0) for i in range(dims)]
 
@@ -144,7 +169,7 @@ class _Steps:
             u = rows @ w
             return np.append(u @ rows, u @ u)
 
-        found = summed(self.fit, product, self.dims, self.dims + 1)
+        found = summed(self.fit, product, self.dims + 1)
         alpha, xu = float(np.sqrt(max(found[-1], 0.0))), found[:-1]
         self.V.append(v)
         self.alpha.append(alpha)
@@ -206,14 +231,14 @@ def bidiagonalise(fit: DataFrame, mean: np.ndarray, many: int) -> tuple[np.ndarr
 def train(df: DataFrame, many: int = 4, column: str = "embedding") -> tuple[DataFrame, Whitening | None]:
     """(the usable rows of df with x, the whitening that their distinct vectors give; None if there is no deviation at all)."""
     rows = usable(df, column)
-    fit = written(rows.select("x").distinct(), "fit-vectors")
-    first = fit.select(F.size("x").alias("d")).first()
+    fit = packed(rows.select("x").distinct())
+    first = fit.select("d").first()
     if first is None:
         return rows, None
     dims = first.d
     n, sums = exact_sums(fit, dims)
     mean = np.array([s / n for s in sums])
-    trace = float(summed(fit, lambda block: np.array([((block - mean) ** 2).sum()]), dims, 1)[0]) / n
+    trace = float(summed(fit, lambda block: np.array([((block - mean) ** 2).sum()]), 1)[0]) / n
     values, vectors, passes = bidiagonalise(fit, mean, many)
     seen = values > NOTHING * max(values, default=0.0) if trace > 0 else np.zeros(len(values), bool)
     values, vectors = values[seen], vectors[seen]
@@ -225,7 +250,7 @@ def train(df: DataFrame, many: int = 4, column: str = "embedding") -> tuple[Data
         y = (block - mean) @ to
         return np.append(y.sum(axis=0), (y.T @ y).ravel())
 
-    found = summed(fit, moments, dims, k + k * k) / n
+    found = summed(fit, moments, k + k * k) / n
     covariance = found[k:].reshape(k, k) - np.outer(found[:k], found[:k])
     return rows, Whitening(n, tuple(sums), vectors, values**2 / n, trace, float(abs(covariance - np.eye(k)).max()), passes)
 
