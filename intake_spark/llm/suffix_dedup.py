@@ -3,17 +3,17 @@
 A corpus-wide suffix array would order every suffix in one place. Only whether a window of `width` bytes starts elsewhere is asked,
 so suffixes are dealt out first: each window belongs to the place in it with the smallest hash of GRAM bytes (the leftmost, if tied), which
 depends on the window's bytes alone. Windows in a row that share a place form a segment; equal windows meet under the hash of their place.
-Places that occur once are left out. Equal segments of the others are counted, and those counted twice are repeated as a whole (they are told apart
-by 64-bit hashes next to that of the place). Where different segments meet under a place, one copy of each goes into a suffix
-array with the others of its task, a few megabytes at a time:
+Places that occur once are left out. Equal segments of the others (64-bit hashes next to that of the place) are counted. The first and the last copy of
+each that is counted twice go into a suffix array; where many in a row have their copies in the same two texts, as one run of both. Where different
+segments meet under a place, one copy of each goes into an array with the others. Arrays take a few megabytes at a time:
 
 - stage one sorts directly only the suffixes that are smaller than their successors;
 - stage two scans the buckets of first bytes in order and induces each remaining suffix from its successor;
-- common prefixes of neighbours then tell which windows are repeated.
+- common prefixes of neighbours then tell which windows are repeated. What they tell of two copies holds for all copies of that segment.
 
 A place that many texts share (the edge of a common passage) would hold segments without bound. The segments of a place with over CROWD
 of them are cut again, by the smallest hash of a longer run of bytes, and so on up to runs of a whole window; whatever the step, equal windows meet
-and arrays decide where different segments do. No step gathers a place in one task to count it.
+and arrays decide where different segments do (there alone, equal ones are repeated by their count). No step gathers a place in one task to count it.
 
 Nulls: a null text counts as empty, a null id is kept. Repeated rows are occurrences of their own. Texts under width bytes lose nothing.
 Very long texts are cut in runs of BUFFER bytes that overlap by a window; Spark's limit of 2 GB a text holds. Empty input gives an empty
@@ -27,7 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ WIDTH, GRAM, CROWD = 200, 104, 512
 BUFFER, ARRAY_BYTES, BATCH_BYTES = 512 << 10, 2 << 20, 8_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 SEGMENT = "anchor bigint, seg bigint, shape int, k bigint, n int, lo int"
-SPAN = "k bigint, n int, start int, end int"
+SPAN = "anchor bigint, k bigint, n int, start int, end int"
 
 
 @lru_cache(maxsize=1)
@@ -264,14 +264,14 @@ def _ranges(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _array_spans(width: int):
     """Arrow function from (anchor, seg, shape, k, n, lo, times, data), sorted by anchor, to the spans of segments that occur once."""
-    names = pa.schema([("k", pa.int64()), ("n", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+    names = pa.schema([("anchor", pa.int64()), ("k", pa.int64()), ("n", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 
     def solve(held: list[dict]) -> pa.RecordBatch:
         flags, at, out = repeated([r["data"] for r in held], width), 0, []
         for r in held:
             if r["times"] == 1:
                 windows = flags[at : at + len(r["data"]) - width + 1]
-                out += [{"k": r["k"], "n": r["n"], "start": r["lo"] + a, "end": r["lo"] + b - 1 + width} for a, b in _ranges(windows)]
+                out += [{"anchor": r["anchor"], "k": r["k"], "n": r["n"], "start": r["lo"] + a, "end": r["lo"] + b - 1 + width} for a, b in _ranges(windows)]
             at += len(r["data"]) + 1
         return pa.RecordBatch.from_pylist(out, schema=names)
 
@@ -305,12 +305,27 @@ def _met(kinds: DataFrame) -> DataFrame:
 
 
 def _solved(pieces: DataFrame, width: int) -> DataFrame:
-    """Spans of the repeated windows among pieces (SEGMENT, times, data) of places that are not crowded."""
+    """Spans (SPAN) of the repeated windows among pieces (SEGMENT, times, data) of places that are not crowded, and of runs; those of pieces that occur once."""
     columns = ["anchor", "seg", "shape", "k", "n", "lo", "times", "data"]
     dealt = pieces.select(columns).repartition("anchor").sortWithinPartitions("anchor", "seg", "shape")
     return dealt.mapInArrow(_array_spans(width), SPAN)
 
 
+def _runs(repeats: DataFrame) -> DataFrame:
+    """Kinds that occur twice or more (anchor, seg, shape, and their first and last copy), with the run they lie in: kinds in a row whose first copies lie
+    in one text and whose last ones in one text, as far apart. A run begins anew after BUFFER bytes. No group holds more than a text has."""
+    near, far = F.col("rep"), F.col("last")
+    flat = repeats.select(
+        "anchor", "seg", "shape", near.k.alias("k"), near.n.alias("n"), near.lo.alias("lo"), far.k.alias("far_k"), far.n.alias("far_n"),
+        (far.lo - near.lo).alias("apart"), "size", (near.lo + F.col("size")).alias("end"),
+    )
+    pair = ["k", "n", "far_k", "far_n", "apart"]
+    order = Window.partitionBy(*pair, F.floor(F.col("lo") / BUFFER)).orderBy("lo")
+    begins = F.coalesce(F.lag("end").over(order) < F.col("lo"), F.lit(True))
+    begun = flat.withColumn("begins", begins).withColumn("first", F.max(F.when(F.col("begins"), F.col("lo"))).over(order))
+    return begun.drop("begins").withColumn("run", F.xxhash64(*pair, "first"))
+
+
 def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = CROWD) -> DataFrame:
     """texts (text, k, n: bytes) to spans (k, n, start, end) in bytes; together they cover what is repeated. hot: segments that make a place crowded."""
     key = ["anchor", "seg", "shape"]
@@ -319,16 +334,28 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot:
     again = long.mapInArrow(_segments(width, gram, True), "anchor bigint, times bigint").groupBy("anchor").agg(F.sum("times").alias("times")).filter("times > 1").select("anchor")
     again = written(again, "places")
     segments = written(long.mapInArrow(_segments(width, gram, False), SEGMENT).join(again, "anchor", "left_semi"), "segments")
-    kinds = segments.groupBy(*key).agg(F.count("*").alias("times"), F.min(F.struct("k", "n", "lo")).alias("rep"))
-    live = written(_met(kinds), "kinds")
-    spans = segments.join(live.filter("times > 1").select(key), key, "left_semi").select("k", "n", F.col("lo").alias("start"), _end(width).alias("end"))
-
-    wanted = live.filter("kinds > 1 AND once > 0").select("rep.*", *key, "times", "kinds")
-    asked = wanted.groupBy("k", "n").agg(F.collect_list(F.struct("lo", *key, "times", "kinds")).alias("asked"))
+    copy = F.struct("k", "n", "lo")
+    kinds = segments.groupBy(*key).agg(F.count("*").alias("times"), F.min(copy).alias("rep"), F.max(copy).alias("last"))
+    live = written(_met(written(kinds, "kinds")).withColumn("size", F.floor(F.col("shape") / 65536).cast("int") + (width - 1)), "kinds")
+
+    # Copies of the repeated kinds, two of each, as runs; then those that meet others at their place.
+    repeats = written(_runs(live.filter("times > 1")), "runs")
+    runs = repeats.groupBy("run", "k", "n", "far_k", "far_n", "apart", "first").agg((F.max("end") - F.col("first")).alias("size"))
+    side = lambda k, n, lo, seg: F.struct(
+        F.col(k).alias("k"), F.col(n).alias("n"), lo.cast("int").alias("lo"), F.col("run").alias("anchor"), F.lit(seg).cast("bigint").alias("seg"),
+        F.lit(0).alias("shape"), F.lit(seg + 1).cast("bigint").alias("times"), F.lit(0).cast("bigint").alias("kinds"), F.col("size").cast("int").alias("size"),
+    )
+    sides = F.array(side("k", "n", F.col("first"), 0), side("far_k", "far_n", F.col("first") + F.col("apart"), 1))
+    wanted = live.filter("kinds > 1 AND once > 0").select("rep.*", *key, "times", "kinds", "size").unionByName(runs.select(F.inline(sides)))
+    asked = wanted.groupBy("k", "n").agg(F.collect_list(F.struct("lo", *key, "times", "kinds", "size")).alias("asked"))
     taken = long.join(asked, ["k", "n"]).select("k", "n", F.encode("text", "utf-8").alias("bytes"), F.explode("asked").alias("x"))
-    data = F.expr("substring(bytes, x.lo + 1, CAST(x.shape DIV 65536 AS INT) + %d)" % (width - 1))
-    pieces = written(taken.select("x.*", "k", "n", data.alias("data")), "pieces")
-    spans = spans.unionByName(_solved(pieces.filter(F.col("kinds") <= hot), width))
+    pieces = written(taken.select("x.*", "k", "n", F.expr("substring(bytes, x.lo + 1, x.size)").alias("data")), "pieces")
+    decided = written(_solved(pieces.filter(F.col("kinds") <= hot), width), "decided")
+    inside = (F.col("r.run") == F.col("d.anchor")) & (F.col("r.k") == F.col("d.k")) & (F.col("r.n") == F.col("d.n"))
+    inside = inside & (F.col("r.lo") >= F.col("d.start")) & (F.col("r.end") <= F.col("d.end"))
+    whole = repeats.alias("r").join(decided.alias("d"), inside, "left_semi").select(key)
+    spans = segments.join(whole, key, "left_semi").select("k", "n", F.col("lo").alias("start"), _end(width).alias("end"))
+    spans = spans.unionByName(decided.drop("anchor"))
 
     crowded = pieces.filter(F.col("kinds") > hot)
     while gram < width and not crowded.isEmpty():
@@ -338,7 +365,7 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot:
         live = written(_met(kinds), "kinds")
         whole = smaller.filter("times = 1").join(live.filter("times > 1").select(key), key, "left_semi")
         pieces = live.filter("kinds > 1 AND once > 0").select(*key, "rep.*", "times", "kinds")
-        spans = spans.unionByName(whole.select("k", "n", F.col("lo").alias("start"), _end(width).alias("end"))).unionByName(_solved(pieces.filter(F.col("kinds") <= hot), width))
+        spans = spans.unionByName(whole.select("k", "n", F.col("lo").alias("start"), _end(width).alias("end"))).unionByName(_solved(pieces.filter(F.col("kinds") <= hot), width).drop("anchor"))
         crowded = pieces.filter(F.col("kinds") > hot)
     return spans
 
