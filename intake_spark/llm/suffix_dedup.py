@@ -151,9 +151,16 @@ def _cut_again(width: int, gram: int):
     return each
 
 
+def _loaded(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, without a copy."""
+    return np.ndarray(len(data) - 7, np.dtype("<u8"), data, strides=(1,))
+
+
 def _words(data: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Eight bytes at each place as a big-endian number, zero beyond the `left` bytes there; data has 8 bytes to spare at its end."""
-    loaded = np.ndarray(len(data) - 7, np.dtype("<u8"), data, strides=(1,))[np.minimum(at, len(data) - 8)].byteswap()
+    loaded = _loaded(data)[np.minimum(at, len(data) - 8)].byteswap()
+    if left.min(initial=8) >= 8:
+        return loaded
     beyond = (8 - np.clip(left, 0, 8)).astype(np.uint64) * np.uint64(8)
     return np.where(beyond < 64, (loaded >> np.minimum(beyond, np.uint64(63))) << np.minimum(beyond, np.uint64(63)), np.uint64(0))
 
@@ -248,10 +255,17 @@ def repeated(segments: list[bytes], width: int) -> np.ndarray:
     left = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(int(ends[-1]) + 1)
     a, b = order[:-1], order[1:]
     keep = (left[a] >= width) & (left[b] >= width)
-    a, b = a[keep], b[keep]
+    after = np.full(len(data), -1)
+    after[a[keep]] = b[keep]
+    a = np.flatnonzero(after >= 0)  # in the order of the bytes, which are then read one after the other
+    b, words = after[a], _loaded(data)
     for come in range(0, width, 8):  # how far neighbours agree; those that do up to width remain
-        same = _words(data, a + come, np.full(len(a), width - come)) == _words(data, b + come, np.full(len(b), width - come))
-        a, b = a[same], b[same]
+        if come + 8 <= width:
+            same = words[a + come] == words[b + come]
+        else:
+            same = _words(data, a + come, np.full(len(a), width - come)) == _words(data, b + come, np.full(len(b), width - come))
+        if not same.all():
+            a, b = a[same], b[same]
     flags = np.zeros(int(ends[-1]) + 1, bool)
     flags[a] = flags[b] = True
     return flags
