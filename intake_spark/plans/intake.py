@@ -40,8 +40,9 @@ def read_jsonl_quarantine(s, d):
 def page_order(s, d):
     """events written as JSON lines in page files, and read back in page order: the place of each line."""
     path = scratch(s)
-    events = table(s, d, "events").selectExpr("event_id", "CAST(event_id DIV 1000 + 1 AS STRING) AS page", "to_json(named_struct('event_id', event_id)) AS value")
-    events.repartition("page").sortWithinPartitions("page", "event_id").select(F.concat(F.lit("page-"), "page").alias("page"), "value").write.partitionBy("page").text(path)
+    events = table(s, d, "events").selectExpr("coalesce(concat('page-', event_id DIV 1000 + 1), 'none') AS page", "event_id", "to_json(named_struct('event_id', event_id)) AS value")
+    # Sorted by the column that the writer parts by, which has no nulls: else the writer sorts anew, and the order within a page is lost.
+    events.repartition("page").sortWithinPartitions("page", "event_id").select("page", "value").write.partitionBy("page").text(path)
     rows = tables.read_pages(s, path, T.StructType([T.StructField("event_id", T.LongType())]))
     ends = [F.min_by("event_id", "order_key").alias("first_event"), F.max_by("event_id", "order_key").alias("last_event")]
     return rows.groupBy("page_no").agg(F.count("*").alias("lines"), *ends)

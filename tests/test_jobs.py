@@ -12,6 +12,7 @@ from intake_spark.operators import report as K
 from intake_spark.operators import runs as N
 from intake_spark.operators import searches as E
 from intake_spark.operators import selection as S
+from intake_spark.plans import intake
 from intake_spark.sources import tables
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,13 @@ def nobody(spark):
     return spark.createDataFrame([], "org_id string, domain string")
 
 
+def test_pages_keep_the_order_of_events_that_lie_in_any_order(spark, tmp_path):
+    ids = random.Random(5).sample(range(4000), 4000)
+    spark.createDataFrame([(i,) for i in ids], "event_id bigint").repartition(7).write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(tuple(r) for r in intake.page_order(spark, str(tmp_path)).collect())
+    assert got == [(n + 1, 1000, 1000 * n, 1000 * n + 999) for n in range(4)]
+
+
 def test_page_files_feed_the_selection_in_line_order(spark, tmp_path):
     """Files of several splits: page-2 comes before page-10, and lines keep their order in each."""
     domains, before = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
