@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html
+import html.entities
+
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -222,17 +225,33 @@ JOBS = """v_jobs AS (SELECT source || '.example' AS site, source, doc_id, doc_id
 BOARDS = """v_boards AS (SELECT source AS site, CASE doc_id % 3 WHEN 0 THEN 'lever' WHEN 1 THEN 'greenhouse' ELSE 'other' END AS kind, CASE doc_id % 3 WHEN 0 THEN 'slug' || doc_id % 7 WHEN 1 THEN 'g' || doc_id % 5 ELSE 'icims.com' END AS slug, min(doc_id) AS k FROM documents WHERE doc_id % 3 <> 2 OR length(source) = 4 GROUP BY 1, 2, 3),
     v_slugs AS (SELECT site, kind, slug, row_number() OVER (PARTITION BY site, kind ORDER BY k, slug) AS place FROM v_boards)"""
 
-def _entities(x: str) -> str:
-    """SQL that replaces the character references that the pages hold; the ampersand last."""
-    for name, char in (("copy", "©"), ("middot", "·"), ("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
-        x = f"replace({x}, '&{name};', '{char}')"
-    return x
+def _values(pairs: dict) -> str:
+    return ", ".join("(%s, '%s')" % (repr(k) if isinstance(k, int) else f"'{k}'", v.replace("'", "''")) for k, v in pairs.items())
+
+
+# What html.unescape replaces: names, the longest that a reference begins with; and numbers that stand for another character than their own, or for none.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+NUMBERS = {n: c for n in (*range(160), *range(0xFDD0, 0xFDF0), *(p << 16 | e for p in range(17) for e in (0xFFFE, 0xFFFF))) if (c := html.unescape(f"&#{n};")) != chr(n)}
+UNESCAPED = f"""v_refs AS (SELECT DISTINCT unnest(regexp_extract_all(x, '{REFERENCE}')) AS ref FROM (SELECT title AS x FROM t UNION ALL SELECT body FROM t)),
+        v_names(name, char) AS (VALUES {_values(html.entities.html5)}), v_odd(n, char) AS (VALUES {_values(NUMBERS)}),
+        v_digits AS (SELECT ref, ref[3] IN ('x', 'X') AS hex, ltrim(rtrim(ref, ';'), '&#xX0') AS digits FROM v_refs WHERE ref[2] = '#'),
+        v_numbers AS (SELECT ref, CASE WHEN digits = '' THEN 0 WHEN length(digits) > 8 THEN 1114112 WHEN hex THEN ('0x' || digits)::BIGINT ELSE digits::BIGINT END AS n FROM v_digits),
+        v_chars AS (SELECT ref, CASE WHEN v_odd.n IS NOT NULL THEN v_odd.char WHEN v_numbers.n BETWEEN 55296 AND 57343 OR v_numbers.n > 1114111 THEN chr(65533) ELSE chr(v_numbers.n::INT) END AS char FROM v_numbers LEFT JOIN v_odd USING (n)
+            UNION ALL SELECT ref, arg_max(char || substr(ref, length(name) + 2), length(name)) FROM v_refs JOIN v_names ON starts_with(substr(ref, 2), name) GROUP BY 1),
+        v_map AS (SELECT map(list(ref), list(char)) AS chars FROM v_chars)"""
+WHITE = r"[\x{09}-\x{0d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def _folded(x: str) -> str:
+    """SQL of x with its references replaced, each once, and its white space folded."""
+    parts = f"list_transform(regexp_extract_all({x}, '{REFERENCE}|[^&]+|&'), lambda p: CASE WHEN p[1] = '&' THEN coalesce(chars[p], p) ELSE p END)"
+    return f"CASE WHEN {x} IS NOT NULL THEN trim(regexp_replace(coalesce(array_to_string({parts}, ''), ''), '{WHITE}', ' ', 'g')) END"
 
 
 SQL = {
-    "page_text": r"""WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)', 1) AS title, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
-            '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?is)<nav\b.*?</nav>', ' ', 'g'), '(?is)<title\b.*?</title>', ' ', 'g'), '<[^>]+>', ' ', 'g') AS body FROM pages)
-        SELECT page_id, trim(regexp_replace(plain_title, '\s+', ' ', 'g')) AS title, trim(regexp_replace(plain_body, '\s+', ' ', 'g')) AS markdown FROM (SELECT page_id, %s AS plain_title, %s AS plain_body FROM t)""" % (_entities("title"), _entities("body")),
+    "page_text": rf"""WITH t AS (SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, regexp_replace(regexp_replace(html,
+            '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<nav\b.*?</nav>|<title\b.*?</title>', ' ', 'g'), '<[^>]+>', ' ', 'g') AS body FROM pages), {UNESCAPED}
+        SELECT page_id, {_folded("title")} AS title, {_folded("body")} AS markdown FROM t, v_map""",
     "page_names": """WITH u AS (SELECT page_id, url || repeat('/section', (page_id % 15)::INT) AS url FROM pages), n AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://([^?#]+)', 1), '^/+|/+$', '', 'g'), '[^A-Za-z0-9._-]+', '-', 'g'), '-') AS name FROM u)
         SELECT page_id, CASE WHEN length(name) > 90 THEN left(name, 80) || '-' || left(sha1(url), 8) ELSE name END AS name FROM n""",
     "refusal": "SELECT page_id AS n, CASE page_id % 6 WHEN 5 THEN 'no answer' WHEN 1 THEN 'http 401' WHEN 3 THEN 'http 503' ELSE CASE WHEN page_id % 10 = 0 THEN 'bot challenge' END END AS reason FROM pages",

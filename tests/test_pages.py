@@ -1,9 +1,11 @@
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from intake_spark.operators import pages as P
+from intake_spark.plans import corpus
 
 SIG = P.Signals(topic_terms=("distribution cent(?:er|re)s?", "food waste", "fresh (?:produce|food|departments?)"), role_terms=("replenishment", "category manag\\w+"), path_tokens=("stores", "careers", "locator"), priority_paths=("stores",), secondary_paths=("careers",), seed_subdomains=("news",), seed_paths=("about",), skip=("/coupons",))
 
@@ -16,6 +18,15 @@ def test_text_and_refusal(spark):
     assert [r.w for r in df.select(P.refusal("status", "body").alias("w")).collect()] == [None, "http 403", "no answer", "bot challenge", None, None]
 
 
+def test_text_has_the_rows_of_its_sql_on_odd_references(spark, tmp_path):
+    pages = ["<title>a &amp;&amp</title>b", "&amplt;&notit;&notin;&eacute &EACUTE;", "&#0;&#128;&#xD800;&#x110000;&#99999999999;&#1;&#13;&#65&#x41;z", "<TITLE\nid=x>T &lt t</Title > <script>x<!-- </SCRIPT>y<nav a>n</NAV>", "a&nbsp;\u3000b\x0b\x85c", "&&amp;lt;&;", "", None]
+    spark.createDataFrame(list(enumerate(pages)), "page_id bigint, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.title, r.markdown) for r in corpus.page_text(spark, str(tmp_path)).collect()}
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == {n: (title, text) for n, title, text in db.sql(corpus.SQL["page_text"]).fetchall()} and got[0] == ("a &&", "b") and len(got) == len(pages)
+
+
 def test_robots(spark):
     body = "User-agent: bot\nDisallow: /stores\nAllow: /stores/open$\n\nUser-agent: *\nDisallow: /private\nDisallow: /*.pdf$\n"
     robots = spark.createDataFrame([("a.example", 200, body), ("b.example", 404, None), ("c.example", 403, None), ("d.example", 503, ""), ("e.example", None, None), ("f.example", 200, "")], "host string, status int, body string")
