@@ -59,20 +59,43 @@ def _decoded(c: Column) -> Column:
     return F.when(coded(c), C.let(C.let(once(c), once), once)).otherwise(c)
 
 
+def _addresses(urls: DataFrame) -> DataFrame:
+    """urls (search_id, url) to search_id, route, and the pairs of the query, with spaces for plus signs.
+
+    Each is a row of an array that is exploded: no filter or column that comes after goes below it and takes the address apart again.
+    """
+    bare = F.coalesce(F.regexp_replace(C.strip("url"), "^[\"']+|[\"']+$", ""), F.lit(""))
+    after = lambda text, mark: F.when(F.contains(text, F.lit(mark)), F.substr(text, F.instr(text, F.lit(mark)) + 1))
+    parts = lambda u, fragment: F.struct(F.substring_index(fragment, "?", 1).alias("route"), F.split(F.replace(F.coalesce(after(fragment, "?"), after(F.substring_index(u, "#", 1), "?"), F.lit("")), F.lit("+"), F.lit(" ")), "&").alias("pairs"))
+    fragment = lambda u: F.coalesce(F.substring_index(after(u, "#"), "\x00", 1), F.lit(""))
+    address = F.transform(F.array(bare), lambda u: C.let(fragment(u), lambda f: parts(u, f)))
+    return urls.select("search_id", F.explode(address).alias("a")).select("search_id", "a.route", "a.pairs")
+
+
+def _param(pair: Column) -> Column:
+    return C.let(F.substring_index(pair, "=", 1), _decoded)
+
+
+def _base(param: Column) -> Column:
+    return F.when(F.contains(param, F.lit("[")) & _shaped(param), F.substring_index(param, "[", 1)).otherwise(param)
+
+
+def _shaped(param: Column) -> Column:
+    return param.rlike(r"^[^\[]+(\[[^\]]*\])?$")
+
+
 def address_params(urls: DataFrame) -> DataFrame:
-    """urls (search_id, url) to one row per parameter: search_id, n, param, base, side, value, and whether the tab is right."""
-    url = F.regexp_replace(C.strip("url"), "^[\"']+|[\"']+$", "")
-    fragment = F.when(F.contains(url, F.lit("#")), F.substring_index(F.regexp_replace(url, "^[^#]*#", ""), "\x00", 1)).otherwise("")
-    after = lambda text: F.when(F.contains(text, F.lit("?")), F.regexp_replace(text, r"^[^?]*\?", ""))
-    query = F.coalesce(after(fragment), after(F.substring_index(url, "#", 1)), F.lit(""))
-    out = urls.select("search_id", query.alias("query"), F.substring_index(fragment, "?", 1).alias("route")).select("search_id", "route", F.posexplode(F.split("query", "&")).alias("n", "pair")).filter("pair <> ''")
-    plus = lambda c: F.replace(c, F.lit("+"), F.lit(" "))
-    param, value = F.substring_index("pair", "=", 1), F.when(F.contains("pair", F.lit("=")), F.expr("substring(pair, instr(pair, '=') + 1)")).otherwise("")
-    out = out.select("search_id", "n", "route", plus(param).alias("param"), plus(value).alias("value"))
-    out = out.withColumns({"param": _decoded(F.col("param")), "value": _decoded(F.col("value"))})
-    shaped = F.col("param").rlike(r"^[^\[]+(\[[^\]]*\])?$")
-    side = F.when(shaped & F.contains("param", F.lit("[")), F.regexp_extract("param", r"\[([^\]]*)\]$", 1))
-    return out.withColumn("base", F.when(shaped, F.substring_index("param", "[", 1)).otherwise(F.col("param"))).withColumn("side", side)
+    """urls (search_id, url) to one row per parameter: search_id, n, param, base, side, value, and whether the tab is right.
+
+    Pairs are taken apart before they become rows: what comes after reads columns, and no filter or join repeats the decoding.
+    """
+    def taken(pair: Column) -> Column:
+        value = C.let(F.when(F.contains(pair, F.lit("=")), F.substr(pair, F.instr(pair, F.lit("=")) + 1)).otherwise(""), _decoded)
+        side = lambda p: F.when(F.contains(p, F.lit("[")) & _shaped(p), F.regexp_extract(p, r"\[([^\]]*)\]$", 1))
+        return F.when(pair != "", C.let(_param(pair), lambda p: F.struct(p.alias("param"), _base(p).alias("base"), side(p).alias("side"), value.alias("value"))))
+
+    out = _addresses(urls).select("search_id", "route", F.posexplode(F.transform("pairs", taken)).alias("n", "taken")).filter("taken IS NOT NULL")
+    return out.select("search_id", "n", "route", "taken.param", "taken.value", "taken.base", "taken.side")
 
 
 def _params(df: DataFrame) -> DataFrame:
@@ -108,16 +131,19 @@ def search_params(urls: DataFrame) -> DataFrame:
 
 def search_mode(urls: DataFrame, params: DataFrame | None = None) -> DataFrame:
     """search_id and mode; params: the urls' parameters, if they are at hand."""
-    hit = F.coalesce(F.bool_or(F.col("base") == "accountLabelIds"), F.lit(False))
-    listed = (_params(urls) if params is None else params).groupBy("search_id").agg(hit.alias("listed"))
-    every = urls.select("search_id").distinct().join(listed, "search_id", "left")
+    labelled = lambda base: base == "accountLabelIds"
+    if params is None:
+        found = _addresses(urls).select("search_id", (F.exists("pairs", lambda p: labelled(C.let(_param(p), _base))) & F.col("search_id").isNotNull()).alias("found"))
+        every = found.groupBy("search_id").agg(F.bool_or("found").alias("listed"))
+    else:
+        listed = params.groupBy("search_id").agg(F.bool_or(labelled(F.col("base"))).alias("listed"))
+        every = urls.select("search_id").distinct().join(listed, "search_id", "left")
     return every.select("search_id", F.when(F.col("listed"), "list").otherwise("net_new_search").alias("mode"))
 
 
 def unmapped_params(urls: DataFrame) -> DataFrame:
     """search_id, param, value, reason, fallback of what does not translate. urls: see _params."""
-    params = _params(urls)
-    p = _kinds(params)
+    p = _kinds(_params(urls))
     team = F.col("base") == "prospectedByCurrentTeam"
     no_side = F.startswith("kind", F.lit("range")) & F.col("_flat").isNull() & ~F.coalesce(F.col("side").isin("min", "max"), F.lit(False))
     reason = (
@@ -126,7 +152,8 @@ def unmapped_params(urls: DataFrame) -> DataFrame:
     )
     fallback = F.when(team, "list mode").when(no_side, "set it by hand").otherwise(F.coalesce("known_fallback", F.lit("check what it does; add it to the parameters if a filter stands for it")))
     rows = p.select("search_id", "param", "value", reason.alias("reason"), fallback.alias("fallback")).filter("reason IS NOT NULL")
-    wrong = params.filter((F.col("route") != "") & ~F.col("route").isin("/companies", "/accounts", "/organizations")).select("search_id", "route").distinct()
+    routes = urls if "base" in urls.columns else _addresses(urls).filter(F.exists("pairs", lambda p: p != ""))
+    wrong = routes.filter((F.col("route") != "") & ~F.col("route").isin("/companies", "/accounts", "/organizations")).select("search_id", "route").distinct()
     return rows.unionByName(wrong.select("search_id", F.concat(F.lit("#"), "route").alias("param"), F.lit("").alias("value"), F.lit("not an address of the companies tab").alias("reason"), F.lit("copy the address from the companies tab").alias("fallback")))
 
 
@@ -180,9 +207,11 @@ def exclusion_params(params: DataFrame, tags: list[str]) -> DataFrame:
     """The filters that the exclusion lookup takes, with the tags as keyword filter; nothing without tags."""
     if not tags:
         return params.limit(0)
-    kept = params.filter(F.col("filter").isin(LOOKUP))
-    tag = params.select("search_id").distinct().select("search_id", F.lit("q_organization_keyword_tags").alias("filter"), F.lit("list").alias("kind"), F.array(*[F.lit(t) for t in tags]).alias("items"), *[F.lit(None).cast("string").alias(c) for c in ("low", "high", "scalar")])
-    return kept.select(tag.columns).unionByName(tag)
+    columns = ["filter", "kind", "items", "low", "high", "scalar"]
+    tag = F.struct(F.lit("q_organization_keyword_tags").alias("filter"), F.lit("list").alias("kind"), F.array(*[F.lit(t) for t in tags]).alias("items"), *[F.lit(None).cast("string").alias(c) for c in ("low", "high", "scalar")])
+    # A search's filters are a few; with them together the parameters are gone through once, for the tags as well.
+    kept = params.groupBy("search_id").agg(F.collect_list(F.when(F.col("filter").isin(LOOKUP), F.struct(*columns))).alias("kept"))
+    return kept.select("search_id", F.explode(F.concat("kept", F.array(tag))).alias("x")).select("search_id", "x.*")
 
 
 def company_filter(df: DataFrame, spec: dict) -> DataFrame:

@@ -29,8 +29,11 @@ OTHER_URL = "element_at(array(%s), CAST(p_partkey %% %d + 1 AS INT))" % (", ".jo
 
 
 def urls(s, d):
-    """Every part as a search address; each parameter that there is occurs in some."""
-    return table(s, d, "part").selectExpr(
+    """Every part as a search address; each parameter that there is occurs in some.
+
+    A part is some bytes and its address over a score of parameters, so parts, which may be one split of a file, are dealt out first: by the key that searches are grouped by.
+    """
+    return table(s, d, "part").repartition("p_partkey").selectExpr(
         "p_partkey AS search_id",
         "concat(CASE WHEN p_partkey % 7 = 0 THEN '\"' ELSE '' END, 'https://app.example/#/', element_at(array('companies', 'people', 'accounts'), CAST(p_partkey % 3 + 1 AS INT)), '?page=1&organizationLocations[]=', replace(p_name, ' ', '%2520'),"
         " '&organizationLocations[]=Chile&organizationLocations[]=Chile&organizationNumEmployeesRanges[]=', p_size, '%2C99', '&revenueRange[min]=$', p_size, ',000.9&revenueRange[max]=', CASE WHEN p_partkey % 4 = 0 THEN '' ELSE 'many' END,"

@@ -12,7 +12,7 @@ from intake_spark.operators import report as K
 from intake_spark.operators import runs as N
 from intake_spark.operators import searches as E
 from intake_spark.operators import selection as S
-from intake_spark.plans import intake
+from intake_spark.plans import intake, judging
 from intake_spark.sources import tables
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +25,17 @@ def nobody(spark):
     return spark.createDataFrame([], "org_id string, domain string")
 
 
+def test_addresses_are_taken_apart_once_and_by_many_tasks(spark, tmp_path):
+    """Parts lie in one split: they are dealt out before their addresses are made, and no filter or other branch repeats the decoding."""
+    rows = [(i, f"name {i % 9}", f"Brand#{i % 5}", "T", i % 50 + 1, 1.0) for i in range(600)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("unmapped_params", "search_params", "resolve_dates", "exclusion_params", "search_mode"):
+        plan = judging.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan()
+        text = plan.toString()
+        assert "RepartitionByExpression" in text and text.count("UrlCodec") <= 6, name
+        assert all("UrlCodec" not in line for line in text.splitlines() if line.strip(" :+-").startswith(("Filter", "Project", "Join"))) or name == "search_mode", name
+
+
 def test_pages_keep_the_order_of_events_that_lie_in_any_order(spark, tmp_path):
     ids = random.Random(5).sample(range(4000), 4000)
     spark.createDataFrame([(i,) for i in ids], "event_id bigint").repartition(7).write.parquet(f"{tmp_path}/events.parquet")
