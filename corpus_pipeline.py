@@ -38,7 +38,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group that texts with a similarity (Jaccard of their shingles of five words) of 0.8 or more link: that with the smallest doc_id.
 
-    Texts without words are alike; rows with a null id stay; of rows with equal id and text one stays.
+    SimHash with pivot tables links what is close, shingles find the rest. Texts without words are alike; rows with a null id stay; of rows with equal id and text one stays.
     """
     return near_copies.drop_similar(docs, width=5, least=0.8)
 

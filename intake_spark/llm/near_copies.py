@@ -1,11 +1,12 @@
 """Near copies by similarity: Jaccard of the sets of word shingles, exact for every pair that is looked at.
 
-SimHash bits alone can't deal entries out at this similarity (0.8 is about 10 of 64 bits, and any block of bits that pairs so far apart still share
-is shared by most others), so entries meet by BANDS keys of ROWS smallest shingles each, under seeded orders: two at 0.8 share a key but for 1 in
+Entries are first held against each other by SimHash and pivot tables, as op 6 does: of the fingerprints of the sets, those within CLOSE bits are found by
+blocks and pivot distances, and the pairs are verified. SimHash bits alone can't deal entries out at this similarity (0.8 is about 10 of 64 bits, and any block
+of bits that pairs so far apart still share is shared by most others), so what is still apart meets by BANDS keys of ROWS smallest shingles each, under seeded orders: two at 0.8 share a key but for 1 in
 2,800. Where they meet, pairs whose sizes rule the similarity out, or whose fingerprints (of the set) differ in over MOST of 64 bits, are discarded;
 the rest are verified by their shingle sets, and verified links make components.
 
-In a group of n copies, pairs grow with its square. So each entry is first held against one centre of each place, STARS times, which
+In a group of n copies, pairs grow with its square. So each entry is then held against one centre of each place, STARS times, which
 connects a group of any size by as many pairs as it has entries. Where entries of different components still meet, the place is split into tiles of bounded
 size; a tile holds the shingle sets of its entries, compares those of different components, and gives only links that
 connect what was apart. No pair that meets is left out, but those whose ends are connected already, and no pairs are listed.
@@ -27,9 +28,9 @@ from pyspark.sql import types as T
 from .caches import TEXT_ROWS, give_back
 from .common import join_small, sliced, text_of, written
 from .components import components
-from .simhash import shingle_hashes
+from .simhash import blocks_for, links as simhash_links, shingle_hashes
 
-BANDS, ROWS, MOST, STARS = 20, 5, 22, 2
+BANDS, ROWS, MOST, STARS, CLOSE = 20, 5, 22, 2, 4
 #: Entries of a slice of a crowded place, and shingles of all of them, about; a tile holds two slices.
 SLICE, SLICE_SHINGLES = 2048, 1 << 20
 #: Rows with shingle sets that go to Python at once.
@@ -176,21 +177,33 @@ def tiled(rows: DataFrame, docs: DataFrame, width: int, least: float, text_colum
     return written(dealt.mapInArrow(each, "a bigint, b bigint"), "links", ARROW_ROWS)
 
 
+def close_links(entries: DataFrame, docs: DataFrame, width: int, least: float, text_column: str) -> DataFrame:
+    """The stored links (a, b) that SimHash finds: entries with fingerprints within CLOSE bits, or equal ones, by blocks and pivot tables; verified by their texts.
+
+    Of equal fingerprints each is held against that with the smallest node, which stands for them.
+    """
+    heads = written(entries.groupBy("bits").agg(F.min("node").alias("head")), "fingerprints")
+    same = entries.join(heads, "bits").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    near = simhash_links(heads.select(F.col("bits").alias("fp")), CLOSE, blocks_for(heads.count(), CLOSE))
+    end = lambda c: heads.select(F.col("bits").alias(c), F.col("head").alias(f"_{c}"))
+    near = near.join(end("a"), "a").join(end("b"), "b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+    return verified(written(same.unionByName(near), "pairs"), docs, width, least, text_column)
+
+
 def near_components(entries: DataFrame, docs: DataFrame, width: int, least: float, text_column: str, most: int = MOST, stars: int = STARS) -> DataFrame:
     """(node, root) of the entries (node, bits, n, places) that are linked to another."""
     key = ["band", "place"]
     meet = entries.select("node", "bits", "n", F.posexplode("places").alias("band", "place"))
     met = meet.groupBy(*key).agg(F.count("*").alias("_met")).filter("_met > 1").select(*key)
     meet = written(meet.join(met, key), "meeting-places")
-    links = roots = None
+    links = close_links(entries, docs, width, least, text_column)
+    roots = components(links)
     for turn in range(stars + 1):
-        rows = meet.withColumn("root", F.col("node"))
-        if roots is not None:
-            rows = meet.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            apart = rows.groupBy(*key).agg(F.min("root").alias("_r"), F.max("root").alias("_s")).filter("_r <> _s").select(*key)
-            rows = written(rows.join(apart, key), "open-places")
+        rows = meet.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rows.groupBy(*key).agg(F.min("root").alias("_r"), F.max("root").alias("_s")).filter("_r <> _s").select(*key)
+        rows = written(rows.join(apart, key), "open-places")
         if turn == stars:
-            found = tiled(written(rows, "open-places") if roots is None else rows, docs, width, least, text_column, most)
+            found = tiled(rows, docs, width, least, text_column, most)
         else:
             first = rows.groupBy(*key).agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "bits", "n", "root")).alias("c"))
             centre = first.select(*key, *[F.col(f"c.{c}").alias(f"_{c}") for c in ("node", "bits", "n", "root")])
@@ -198,7 +211,7 @@ def near_components(entries: DataFrame, docs: DataFrame, width: int, least: floa
             pairs = rows.join(centre, key).filter(near & (F.col("root") != F.col("_root")))
             pairs = written(pairs.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct(), "pairs")
             found = verified(pairs, docs, width, least, text_column)
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(found)
         roots = components(links)
     return roots
 

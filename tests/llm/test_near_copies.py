@@ -3,6 +3,7 @@ import random
 import corpus_pipeline as cp
 import pytest
 from intake_spark.llm import near_copies
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -66,3 +67,15 @@ def test_stars_change_no_component(spark, stars, monkeypatch):
     got = near_copies.drop_similar(docs).collect()
     assert sorted(map(repr, ((r.doc_id, r.text) for r in got))) == sorted(map(repr, [(3, "A B c d e f g"), (4, "another text"), (None, None), (None, "a b c d e f g")]))
     assert near_copies.drop_similar(docs.limit(0)).collect() == []
+
+
+def test_simhash_and_pivots_find_close_pairs_by_themselves(spark, monkeypatch):
+    """Where no two texts meet by smallest shingles, those whose fingerprints are close are still found, and verified."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(2000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "end"])), (3, " ".join(words[:1999])), (4, " ".join(reversed(words)))]
+    alone = lambda df, *args: made(df, *args).withColumn("places", F.array(F.monotonically_increasing_id()))
+    made = near_copies.sketches
+    monkeypatch.setattr(near_copies, "sketches", alone)
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA)
+    assert sorted(r.doc_id for r in cp.drop_near_copies(spark, docs, "").collect()) == [1, 4]
