@@ -5,14 +5,15 @@ Each micro-batch writes under a name from its number, so that a replayed one rep
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import MapState, StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import crm as H
 from ..operators import selection as S
@@ -54,65 +55,109 @@ def stream_intake(rows: DataFrame, out: str, checkpoint: str, excluded: DataFram
 
 
 ATTEMPTS = "attempts bigint, state string"
+SETTLED = ("done", "given_up")
+#: Groups that companies are dealt into for their state: what a call of Python costs is shared by those of a group. It is part of a stream's checkpoint.
+ATTEMPT_GROUPS = 4096
+#: Events that a task holds before the shuffle.
+EVENTS_HELD = 1 << 17
 
 
 class Attempts(StatefulProcessor):
-    """Attempts of one company: open ones are kept as long as it takes, what is settled (done or given up) for ttl_ms after its last event, if given."""
+    """Attempts of a group of companies, a map entry each: open ones are kept as long as it takes, what is settled (done or given up) for ttl_ms after its
+    last event, if given. Each use of an entry is a message to the JVM, so without a time to live one map holds both, a group without entries is asked once,
+    and what stays as it was is not written.
+    """
 
     def __init__(self, max_attempts: int, ttl_ms: int | None):
         self.max_attempts, self.ttl_ms = max_attempts, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", ATTEMPTS)
-        self.settled = handle.getValueState("settled", ATTEMPTS, self.ttl_ms)
-
-    def _now(self) -> tuple[int, str]:
-        for state in (self.open, self.settled):
-            if state.exists():
-                return tuple(state.get())
-        return 0, "pending"
-
-    def _keep(self, attempts: int, now: str) -> None:
-        if now in ("done", "given_up"):
-            self.open.clear()
-            self.settled.update((attempts, now))
-        else:
-            self.open.update((attempts, now))
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
-        for attempts, now in zip(initialState["attempts"], initialState["state"], strict=True):
-            self._keep(int(attempts), now)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        first = None
-        for frame in rows:
-            both = frame if first is None else pd.concat([first, frame])
-            first = both.sort_values("order_key", kind="stable").head(self.max_attempts)
-        attempts, now = self._now()
-        for ok in first["ok"]:
-            if now in ("done", "given_up"):
-                break
-            attempts += 1
-            now = "done" if ok else "given_up" if attempts >= self.max_attempts else "error"
-        self._keep(attempts, now)
-        yield pd.DataFrame({"key": [key[0]], "attempts": [attempts], "state": [now]})
+        self.open = handle.getMapState("open", "key string", ATTEMPTS)
+        self.settled = self.open if self.ttl_ms is None else handle.getMapState("settled", "key string", ATTEMPTS, self.ttl_ms)
+
+    def _states(self) -> list[MapState]:
+        both = (self.open,) if self.settled is self.open else (self.open, self.settled)
+        return [state for state in both if state.exists()]
+
+    def _had(self, key: str, states: list[MapState]) -> tuple[int, str] | None:
+        for state in states:
+            if state.containsKey((key,)):  # a value that is not there would be logged
+                return tuple(state.getValue((key,)))
+        return None
+
+    def _keep(self, key: str, had: tuple[int, str] | None, now: tuple[int, str]) -> None:
+        if self.settled is self.open or now[1] not in SETTLED:
+            if now != had:
+                self.open.updateValue((key,), now)
+            return
+        if had and had[1] not in SETTLED:
+            self.open.removeKey((key,))
+        self.settled.updateValue((key,), now)  # also as it was: the time to live begins anew
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
+        self._keep(initialState.key, self._had(initialState.key, self._states()), (initialState.attempts, initialState.state))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        first: dict[str, list[tuple[int, bool]]] = {}
+        for row in rows:
+            kept, event = first.setdefault(row.key, []), (row.order_key, row.ok)
+            if len(kept) < self.max_attempts or event < kept[-1]:
+                insort(kept, event)
+                del kept[self.max_attempts :]
+        states = self._states()
+        for company, events in first.items():
+            had = self._had(company, states)
+            attempts, now = had or (0, "pending")
+            for _, ok in events:
+                if now in SETTLED:
+                    break
+                attempts += 1
+                now = "done" if ok else "given_up" if attempts >= self.max_attempts else "error"
+            self._keep(company, had, (attempts, now))
+            yield Row(key=company, attempts=attempts, state=now)
 
     def close(self) -> None:
         pass
 
 
+def _first_events(frames: Iterator[pd.DataFrame], max_attempts: int) -> Iterator[pd.DataFrame]:
+    """The first events of each company among those that are held; they are handed on when that leaves too few out."""
+    def cut(held: list[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(held).sort_values(["order_key", "ok"]).groupby("key", sort=False).head(max_attempts)
+
+    held, size = [], 0
+    for frame in frames:
+        held.append(cut([frame]))
+        size += len(held[-1])
+        if size > EVENTS_HELD:
+            held = [cut(held)]
+            size = len(held[0])
+        if size > EVENTS_HELD // 2 and len(held) == 1:
+            yield held[0]
+            held, size = [], 0
+    if held:
+        yield cut(held)
+
+
 def stream_attempts(events: DataFrame, max_attempts: int = 2, ttl_ms: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """events (key, order_key, ok) to one row per key and micro-batch: attempts, and state done, error or given_up. A done company stays done, or for ttl_ms.
 
-    initial: (key, attempts, state) of companies before the stream's first event. No more than the first max_attempts events of a micro-batch can matter,
-    so a task holds that many and the batch at hand, however many a key has. State lies in RocksDB, which the session's streams use from now on. With ttl_ms,
+    initial: (key, attempts, state) of companies before the stream's first event. No more than the first max_attempts events of a company and micro-batch can
+    matter (of one order key, what failed comes first; rows without one come last), so tasks leave out others before the shuffle, and then a task holds that
+    many of each company of a group, however many events a company has. State lies in RocksDB, which the session's streams use from now on. With ttl_ms,
     a stream that is to end when all is read needs spark.sql.streaming.noDataMicroBatches.enabled set to false; time passes between its runs.
     """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    keyed = lambda df: df.filter("key IS NOT NULL").groupBy("key")
-    return keyed(events).transformWithStateInPandas(
-        Attempts(max_attempts, ttl_ms), f"key string, {ATTEMPTS}", "Update", "None" if ttl_ms is None else "ProcessingTime", keyed(initial) if initial is not None else None,
+
+    def dealt(df: DataFrame) -> GroupedData:
+        return df.withColumn("_group", F.pmod(F.xxhash64("key"), F.lit(ATTEMPT_GROUPS)).cast("int")).groupBy("_group")
+
+    key, last = F.col("key").cast("string").alias("key"), F.lit((1 << 63) - 1)
+    whole = events.filter("key IS NOT NULL").select(key, F.coalesce(F.col("order_key").cast("long"), last).alias("order_key"), F.coalesce("ok", F.lit(False)).alias("ok"))
+    return dealt(whole.mapInPandas(lambda frames: _first_events(frames, max_attempts), whole.schema)).transformWithState(
+        Attempts(max_attempts, ttl_ms), f"key string, {ATTEMPTS}", "Update", "None" if ttl_ms is None else "ProcessingTime",
+        dealt(initial.filter("key IS NOT NULL").select(key, F.col("attempts").cast("long"), "state")) if initial is not None else None,
     )
 
 

@@ -3,10 +3,12 @@
 import random
 import time
 
+import pandas as pd
 from intake_spark.operators import crm as H
 from intake_spark.operators import selection as S
 from intake_spark.streaming import streams
 from intake_spark.streaming.registry import Registry
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 ROWS = "batch string, order_key bigint, org_id string, name string, domain string"
@@ -146,3 +148,89 @@ def test_settled_companies_expire_and_state_begins_with_a_table(spark, tmp_path)
     time.sleep(6)
     assert arrive([("a", 9, False), ("b", 9, False), ("old", 9, True)]) == {"a": (1, "error"), "b": (3, "given_up"), "old": (3, "done")}
     spark.conf.unset(empty)
+
+
+def test_attempts_cost_few_messages_a_company():
+    """A map entry is asked for and written once at most; a group without entries is asked once, and what is settled stays as it was without a write."""
+    class Entries:
+        def __init__(self, ttl):
+            self.of, self.ttl, self.calls = {}, ttl, []
+
+        def exists(self):
+            self.calls.append("exists")
+            return bool(self.of)
+
+        def containsKey(self, key):  # noqa: N802
+            self.calls.append("asked")
+            return key in self.of
+
+        def getValue(self, key):  # noqa: N802
+            return self.of[key]
+
+        def updateValue(self, key, value):  # noqa: N802
+            self.calls.append("written")
+            self.of[key] = value
+
+        def removeKey(self, key):  # noqa: N802
+            del self.of[key]
+
+    class Handle:
+        def __init__(self):
+            self.states = {}
+
+        def getMapState(self, name, key, value, ttl=None):  # noqa: N802
+            return self.states.setdefault(name, Entries(ttl))
+
+    def events(oks, start=0):
+        return iter([Row(key=f"c{i}", order_key=start + at, ok=ok) for at, ok in enumerate(oks) for i in range(500)])
+
+    handle, attempts = Handle(), streams.Attempts(2, None)
+    attempts.init(handle)
+    assert {tuple(r) for r in attempts.handleInputRows(7, events([False]), None)} == {(f"c{i}", 1, "error") for i in range(500)}
+    assert list(handle.states) == ["open"] and handle.states["open"].calls == ["exists", *["written"] * 500]
+    assert {r[1:] for r in attempts.handleInputRows(7, events([True, False]), None)} == {(2, "done")}
+    handle.states["open"].calls.clear()
+    assert {r[1:] for r in attempts.handleInputRows(7, events([False, False]), None)} == {(2, "done")}
+    assert handle.states["open"].calls == ["exists", *["asked"] * 500]
+    handle, attempts = Handle(), streams.Attempts(2, 1000)
+    attempts.init(handle)
+    attempts.handleInitialState(7, Row(key="c1", attempts=1, state="pending"), None)
+    assert {r.key: (r.attempts, r.state) for r in attempts.handleInputRows(7, events([False]), None)}["c1"] == (2, "given_up")
+    assert handle.states["settled"].ttl == 1000 and handle.states["settled"].of == {("c1",): (2, "given_up")} and ("c1",) not in handle.states["open"].of
+
+
+def test_events_that_cannot_matter_stay_before_the_shuffle():
+    """One company with most of 400,000 events, in batches of 10,000 in any order, and 2,000 others, by one task."""
+    rng = random.Random(3)
+    order = rng.sample(range(400_000), 400_000)
+    events = pd.DataFrame({"key": ["hot" if i % 20 else f"c{i % 40_000}" for i in order], "order_key": order, "ok": [i % 7 == 0 for i in order]})
+    got = pd.concat(streams._first_events((events[at : at + 10_000] for at in range(0, len(events), 10_000)), 2))
+    want = events.sort_values("order_key").groupby("key").head(2)
+    assert sorted(got.itertuples(index=False, name=None)) == sorted(want.itertuples(index=False, name=None)) and len(got) == 2 * 2001
+
+
+def test_events_are_handed_on_where_few_can_be_left_out(monkeypatch):
+    monkeypatch.setattr(streams, "EVENTS_HELD", 100)
+    events = pd.DataFrame({"key": [f"c{i % 900}" for i in range(1800)], "order_key": range(1800), "ok": False})
+    got = list(streams._first_events((events[at : at + 30] for at in range(0, 1800, 30)), 2))
+    assert max(map(len, got)) <= 130 and sorted(pd.concat(got)["order_key"]) == list(range(1800))
+
+
+def test_attempts_are_those_of_a_loop(spark, tmp_path):
+    """Two arrivals; several events of one order key (what failed comes first), rows without an order key (last), a key or an outcome."""
+    rng, schema = random.Random(8), "key string, order_key bigint, ok boolean"
+    arrivals = [[(f"c{rng.randint(0, 60)}", rng.choice([None, *range(9)]), rng.choice([None, True, False, False])) for _ in range(200)] + [(None, 1, True), ("tie", 1, True), ("tie", 1, False)] for _ in range(2)]
+    state, want, got = {}, [], []
+    for rows in arrivals:
+        now = {}
+        for key, _, ok in sorted((r for r in rows if r[0]), key=lambda r: (r[0], r[1] is None, r[1] or 0, bool(r[2]))):
+            attempts, was = state.get(key, (0, "pending"))
+            if was not in ("done", "given_up"):
+                state[key] = (attempts + 1, "done" if ok else "given_up" if attempts == 2 else "error")
+            now[key] = state[key]
+        want.append(now)
+    for rows in arrivals:
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(f"{tmp_path}/in")
+        found = streams.stream_attempts(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 3)
+        found.writeStream.outputMode("update").foreachBatch(lambda df, epoch: got.append(df.collect())).option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+    assert [{r.key: (r.attempts, r.state) for r in rows} for rows in got] == want and [len(rows) for rows in got] == [len(now) for now in want]
